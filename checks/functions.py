@@ -13,6 +13,7 @@ from tidemark import storage
 from tidemark.functions import dates, decode, nulls
 from tidemark.schemas import SUBMISSION_RECORD
 from tidemark.sources.dimensions import with_subreddit_url
+from tidemark.sources.json_lines import scan_json
 from tidemark.sources.pages import read_pages
 
 FETCHED_AT = datetime(2025, 3, 5, 6, 7, 8, tzinfo=UTC)
@@ -204,14 +205,17 @@ _EDITED = (
 
 
 def _record(spark, sf_dir, *names):
+    """Some fields of the raw submissions, read from files."""
     fields = T.StructType([f for f in SUBMISSION_RECORD if f.name in names])
-    return b.submission_lines(spark, sf_dir).select(F.from_json("value", fields).alias("r"))
+    folder = f"{storage.scratch(spark, 'raw')}/documents_submissions.json"
+    b.write_lines(b.submission_lines(spark, sf_dir), folder)
+    return scan_json(spark, [folder], fields)
 
 
 @query("fn_falsy_to_null", f"SELECT doc_id::VARCHAR AS id, {_EDITED} AS edited FROM documents")
 def fn_falsy_to_null(spark, sf_dir):
     record = _record(spark, sf_dir, "id", "edited")
-    return record.select("r.id", nulls.falsy_to_null(F.col("r.edited")).alias("edited"))
+    return record.select("id", nulls.falsy_to_null(F.col("edited")).alias("edited"))
 
 
 @query(
@@ -222,4 +226,4 @@ def fn_falsy_to_null(spark, sf_dir):
 def fn_dict_passthrough(spark, sf_dir):
     """An object kept as its text, a map as a map."""
     record = _record(spark, sf_dir, "id", "media", "gildings")
-    return record.select("r.id", "r.media", F.col("r.gildings")["gid_1"].alias("gid_1"))
+    return record.select("id", "media", F.col("gildings")["gid_1"].alias("gid_1"))

@@ -513,12 +513,7 @@ SELECT 'page' || page_id, html, 1, DATE '2025-01-01' + (page_id % 60)::INTEGER F
 
 def _sparse(df, table):
     """The columns at hand as rows of a table, NULL for the others."""
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in table.schema
-        ]
-    )
+    return df.to(table.schema)
 
 
 def _first_submissions(spark, sf_dir):

@@ -10,9 +10,12 @@ from tidemark.schemas import Table
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The declared columns in the declared types. Under ANSI a value that
-    does not fit fails the job instead of wrapping around."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    """The declared columns in the declared types. A value that does not fit
+    fails the job instead of wrapping around."""
+    missing = [f.name for f in schema if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing: {', '.join(missing)}")
+    return df.to(schema)
 
 
 def repartition_by(df: DataFrame, *columns: str, partitions: int | None = None) -> DataFrame:

@@ -117,6 +117,9 @@ def _merge(
     stage: str,
 ) -> None:
     part = table.partition
+    if not storage.partition_values(spark, path, part):
+        overwrite_partitions(source, path, table)
+        return
     laid_out(source, table).write.parquet(f"{stage}/source")
     batch, names = _with_keys(spark.read.parquet(f"{stage}/source"), keys)
     incoming = _values(batch, part)
@@ -179,12 +182,8 @@ def _updated(touched: DataFrame, batch: DataFrame, keys: list[str], table: Table
         *names, _level(names).alias("_spread"), F.struct(*table.schema.names).alias("_new")
     )
     joined = _spread_nulls(target, names).join(new, [*names, "_spread"], "left")
-    return joined.select(
-        *[
-            F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
-            for c in table.schema.names
-        ]
-    )
+    row = F.coalesce(F.col("_new"), F.struct(*table.schema.names))
+    return joined.select(row.alias("_row")).select("_row.*")
 
 
 def merge_into_catalog(source: DataFrame, target: str, keys: Sequence[str]) -> None:

@@ -32,7 +32,7 @@ from tidemark.schemas import (
 from tidemark.sources.dimensions import BANDS, TRACKED, Project
 from tidemark.sources.json_lines import scan_comments, scan_submissions
 from tidemark.sources.tables import scan_table, scan_table_partition
-from tidemark.sources.validation import split_records, write_records
+from tidemark.sources.validation import check_records, record_lines, write_records
 
 TABLES = {"submissions": SUBMISSIONS, "comments": COMMENTS}
 
@@ -54,10 +54,9 @@ def prepared(records: DataFrame, kind: str) -> DataFrame:
 
 def ingest_records(lines: DataFrame, root: str, kind: str, fetched_at: datetime) -> None:
     """Validate raw lines and write both outcomes as JSON lines."""
-    fetched_date = fetched_at.date().isoformat()
-    valid, invalid = split_records(lines, kind, fetched_at)
-    write_records(valid, root, kind, "valid", fetched_date)
-    write_records(invalid, root, kind, "invalid", fetched_date)
+    checked = check_records(lines, kind)
+    kept = record_lines(checked, kind, fetched_at)
+    write_records(kept, root, kind, fetched_at.date().isoformat())
 
 
 def load_content(

@@ -30,110 +30,165 @@ MODELS = {
     "submissions": (SUBMISSION_RECORD, REQUIRED_SUBMISSION),
     "comments": (COMMENT_RECORD, REQUIRED_COMMENT),
 }
-_NUMBER = "BIGINT|DOUBLE|FLOAT|DECIMAL\\(.*"
+_NUMBER = ("BIGINT", "DOUBLE", "FLOAT", "DECIMAL")
 
 
-def _expected(field: T.StructField) -> tuple[str, str]:
-    """What a field must be: in words, and as a pattern on the JSON type."""
+def _expected(field: T.StructField) -> tuple[str, tuple[str, ...]]:
+    """What a field must be: in words, and as JSON types."""
     if field.name == "edited":
-        return "boolean or number", f"BOOLEAN|{_NUMBER}"
+        return "boolean or number", ("BOOLEAN", *_NUMBER)
     if field.name in OBJECT_TEXT_FIELDS or isinstance(field.dataType, T.MapType):
-        return "object", "OBJECT<.*"
+        return "object", ("OBJECT",)
     if isinstance(field.dataType, T.ArrayType):
-        return "list", "ARRAY<.*"
+        return "list", ("ARRAY",)
     if isinstance(field.dataType, T.BooleanType):
-        return "boolean", "BOOLEAN"
+        return "boolean", ("BOOLEAN",)
     if isinstance(field.dataType, T.IntegerType):
-        return "integer", "BIGINT"
+        return "integer", ("BIGINT",)
     if isinstance(field.dataType, T.DoubleType):
         return "number", _NUMBER
-    return "string", "STRING"
+    return "string", ("STRING",)
 
 
-def _kind(name: str) -> Column:
-    """JSON type of a field; NULL if it is missing, VOID if it is null."""
-    return F.schema_of_variant(F.try_variant_get("_json", f"$.{name}", "variant"))
+def _lookup(name: str) -> str:
+    return f"try_variant_get(_json, '$.{name}', 'variant')"
 
 
-def _field_error(field: T.StructField, required: Collection[str]) -> Column:
-    words, pattern = _expected(field)
-    kind = _kind(field.name)
-    null_error = F.lit(f"{field.name}: null") if field.name in required else F.lit(None)
-    absent_error = F.lit(None) if field.name in MAY_BE_ABSENT else F.lit(f"{field.name}: missing")
+def _kind(name: str) -> str:
+    """JSON type of a field without its parameters; NULL if the field is
+    missing, VOID if it is null."""
+    return f"substring_index(substring_index(schema_of_variant({_lookup(name)}), '<', 1), '(', 1)"
+
+
+def _rule(field: T.StructField, required: Collection[str]) -> str:
+    """A field's rule as a SQL literal: accepted types, and an error per case."""
+    words, kinds = _expected(field)
+    name = field.name
+    absent = "CAST(NULL AS STRING)" if name in MAY_BE_ABSENT else f"'{name}: missing'"
+    null = f"'{name}: null'" if name in required else "CAST(NULL AS STRING)"
+    accepted = ", ".join(f"'{kind}'" for kind in kinds)
     return (
-        F.when(kind.isNull(), absent_error)
-        .when(kind == "VOID", null_error)
-        .when(~kind.rlike(f"^(?:{pattern})$"), F.lit(f"{field.name}: not a {words}"))
+        f"named_struct('kinds', array({accepted}), 'absent', {absent}, 'null', {null},"
+        f" 'wrong', '{name}: not a {words}')"
     )
 
 
 def check_records(lines: DataFrame, kind: str, value: str = "value") -> DataFrame:
     """Add ``errors``: one text per field that breaks the model, empty if none.
-    Each line is parsed once, into a variant that all fields are looked up in."""
-    schema, required = MODELS[kind]
-    fields = [f for f in schema if f.name not in FETCH_FIELDS]
-    parsed = lines.withColumn("_json", F.try_parse_json(value))
+
+    Each line is parsed once, into a variant that the fields are looked up in.
+    It comes out of a generator because filters on ``errors`` are not pushed
+    below one: they would parse the line again for every field.
+    """
+    fields, required = _fields(kind), MODELS[kind][1]
+    parsed = lines.select("*", F.explode(F.array(F.try_parse_json(value))).alias("_json"))
+    kinds = F.expr(f"array({', '.join(_kind(f.name) for f in fields)})")
+    rules = F.expr(f"array({', '.join(_rule(f, required) for f in fields)})")
+
+    def error(found: Column, rule: Column) -> Column:
+        return (
+            F.when(found.isNull(), rule["absent"])
+            .when(found == "VOID", rule["null"])
+            .when(~F.array_contains(rule["kinds"], found), rule["wrong"])
+        )
+
     is_object = F.schema_of_variant("_json").startswith("OBJECT<")
-    found = F.array_compact(F.array(*[_field_error(f, required) for f in fields]))
-    errors = F.when(is_object, found).otherwise(F.array(F.lit("not a JSON object")))
+    errors = F.when(is_object, F.array_compact(F.zip_with(kinds, rules, error))).otherwise(
+        F.array(F.lit("not a JSON object"))
+    )
     return parsed.withColumn("errors", errors)
 
 
+def _fields(kind: str) -> list[T.StructField]:
+    return [f for f in MODELS[kind][0] if f.name not in FETCH_FIELDS]
+
+
+def _values(kind: str) -> dict[str, Column]:
+    """The model's fields of a line parsed into ``_r``. ``edited`` and the
+    objects that are kept as text come out of the variant, which keeps numbers
+    as they were written."""
+    values = {f.name: F.col(f"_r.{f.name}") for f in _fields(kind)}
+    edited = F.try_variant_get("_json", "$.edited", "string")
+    # A whole number reads as the float it stands for.
+    whole = F.expr(_kind("edited")) == "BIGINT"
+    edited = F.when(whole, F.concat(edited, F.lit(".0"))).otherwise(edited)
+    values["edited"] = falsy_to_null(edited)
+    for name in OBJECT_TEXT_FIELDS:
+        if name in values:
+            is_object = F.expr(_kind(name)) == "OBJECT"
+            values[name] = F.when(is_object, F.to_json(F.expr(_lookup(name))))
+    return values
+
+
+def _others(checked: DataFrame, value: str) -> list[str]:
+    return [c for c in checked.columns if c not in (value, "_json", "errors")]
+
+
 def valid_records(
     checked: DataFrame, kind: str, fetched_at: datetime, value: str = "value"
 ) -> DataFrame:
     """The records without errors, typed, with their fetch time. ``edited``
     is NULL for a record that never was."""
-    schema, _ = MODELS[kind]
-    own = T.StructType([f for f in schema if f.name not in FETCH_FIELDS])
-    others = [c for c in checked.columns if c not in (value, "_json", "errors")]
-    whole = _kind("edited") == "BIGINT"
-    record = checked.where(F.size("errors") == 0).select(
-        *others, F.from_json(value, own).alias("r"), whole.alias("_whole")
+    parsed = F.from_json(value, T.StructType(_fields(kind)))
+    values = {**_values(kind), **fetch_metadata(fetched_at)}
+    return (
+        checked.where(F.size("errors") == 0)
+        .withColumn("_r", parsed)
+        .select(*_others(checked, value), *[v.alias(name) for name, v in values.items()])
     )
-    # A whole number reads as the float it stands for.
-    edited = F.when(F.col("_whole"), F.concat("edited", F.lit(".0"))).otherwise(F.col("edited"))
-    flat = record.select(*others, "r.*", "_whole").withColumn("edited", falsy_to_null(edited))
-    return flat.drop("_whole").withColumns(fetch_metadata(fetched_at))
 
 
 def invalid_records(checked: DataFrame, value: str = "value") -> DataFrame:
     """The records with errors, kept as they came, and what is wrong."""
-    others = [c for c in checked.columns if c not in (value, "_json", "errors")]
     return checked.where(F.size("errors") > 0).select(
-        *others,
+        *_others(checked, value),
         F.coalesce(F.col("_json"), F.col(value).cast("variant")).alias("invalid_record"),
         F.concat_ws("; ", "errors").alias("error"),
     )
 
 
-def write_records(df: DataFrame, root: str, kind: str, status: str, fetched_date: str) -> None:
-    """JSON lines under ``root/kind/fetched_date=…/status=…/subreddit=…``. A set
-    without rows writes nothing; a repeated run replaces its own files."""
+def record_lines(
+    checked: DataFrame, kind: str, fetched_at: datetime, value: str = "value"
+) -> DataFrame:
+    """Every record as the JSON line that is kept of it, and its status."""
+    is_valid = F.size("errors") == 0
+    parsed = F.when(is_valid, F.from_json(value, T.StructType(_fields(kind))))
+    values = {**_values(kind), **fetch_metadata(fetched_at)}
+    record = checked.withColumn("_r", parsed)
+    valid = F.to_json(
+        F.struct(*[v.alias(name) for name, v in values.items()]), {"ignoreNullFields": "false"}
+    )
+    invalid = F.to_json(
+        F.struct(
+            F.coalesce(F.col("_json"), F.col(value).cast("variant")).alias("invalid_record"),
+            F.concat_ws("; ", "errors").alias("error"),
+        )
+    )
+    return record.select(
+        *_others(checked, value),
+        F.when(is_valid, "valid").otherwise("invalid").alias("status"),
+        F.when(is_valid, valid).otherwise(invalid).alias("value"),
+    )
+
+
+def write_records(lines: DataFrame, root: str, kind: str, fetched_date: str) -> None:
+    """Both outcomes, in one pass, as JSON lines under
+    ``root/kind/fetched_date=…/status=…/subreddit=…``. A set without rows
+    writes nothing; a repeated run replaces its own files."""
     (
-        df.withColumns(
-            {
-                "fetched_date": F.lit(fetched_date),
-                "status": F.lit(status),
-                "subreddit": F.lower("subreddit"),
-            }
+        lines.select(
+            F.lit(fetched_date).alias("fetched_date"),
+            "status",
+            F.lower("subreddit").alias("subreddit"),
+            "value",
         )
-        .hint("rebalance", "subreddit")
+        .hint("rebalance", "status", "subreddit")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("ignoreNullFields", "false")
         .partitionBy("fetched_date", "status", "subreddit")
-        .json(f"{root}/{kind}")
+        .text(f"{root}/{kind}")
     )
 
 
-def split_records(
-    lines: DataFrame, kind: str, fetched_at: datetime, value: str = "value"
-) -> tuple[DataFrame, DataFrame]:
-    """(valid, invalid) of raw lines; see :func:`write_records` for the sinks."""
-    checked = check_records(lines, kind, value)
-    return valid_records(checked, kind, fetched_at, value), invalid_records(checked, value)
-
-
 def records_folder(root: str, kind: str, status: str, fetched_date: str) -> str:
     return f"{root}/{kind}/fetched_date={fetched_date}/status={status}"
