@@ -108,7 +108,7 @@ def staged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     some values break a rule, some two."""
     return table(spark, sf_dir, "lineitem").select(
         F.to_date("l_shipdate").alias("download_date"),
-        F.col("l_partkey").cast("string").alias("project"),
+        F.col("l_suppkey").cast("string").alias("project"),
         F.when(F.col("l_linenumber") < 7, F.col("l_linenumber").cast("string")).alias(
             "project_version"
         ),

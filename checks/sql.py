@@ -34,7 +34,7 @@ dl AS (
   SELECT {KEYS}, SUM(download_count)::BIGINT AS download_count FROM dl_rows GROUP BY ALL)"""
 
 STAGED = """staged AS (
-  SELECT l_shipdate::DATE AS download_date, l_partkey::VARCHAR AS project,
+  SELECT l_shipdate::DATE AS download_date, l_suppkey::VARCHAR AS project,
     CASE WHEN l_linenumber < 7 THEN l_linenumber::VARCHAR END AS project_version,
     l_linestatus AS python, l_returnflag AS system_name,
     CASE l_suppkey % 5 WHEN 0 THEN 'US' WHEN 1 THEN 'us' WHEN 2 THEN 'BRA' WHEN 3 THEN 'DE' END

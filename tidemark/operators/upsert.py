@@ -188,10 +188,10 @@ def _updated(touched: DataFrame, batch: DataFrame, keys: list[str], table: Table
 
 def merge_into_catalog(source: DataFrame, target: str, keys: Sequence[str]) -> None:
     """The same merge on a catalog table that supports row-level operations."""
-    on = reduce(lambda a, b: a & b, [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys])
+    on = reduce(lambda a, b: a & b, [F.col(f"s.{k}") == F.col(f"{target}.{k}") for k in keys])
     (
         source.alias("s")
-        .mergeInto(f"{target} t", on)
+        .mergeInto(target, on)
         .whenMatched()
         .updateAll()
         .whenNotMatched()
