@@ -172,16 +172,23 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def test_scorer(batch):
+def example_scorer():
     """The test score as a batch scorer. It is not told the counts, so the
     number of projects of the text takes their place."""
-    return [
-        [
-            (p, f"{p}: {len(text)}", ((len(text) * 7919 + len(p) * 17 + len(projects) * 31) % 22001 - 11000) / 10000.0)
-            for p in projects
-        ]
-        for projects, text in batch
-    ]
+
+    def score(batch):
+        results = []
+        for projects, text in batch:
+            base = len(text) * 7919 + len(projects) * 31
+            results.append(
+                [
+                    (p, f"{p}: {len(text)}", ((base + len(p) * 17) % 22001 - 11000) / 10000.0)
+                    for p in projects
+                ]
+            )
+        return results
+
+    return score
 
 
 def tracked_brands(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -211,7 +211,7 @@ _TEST_SCORE = (
     ),
 )
 def score_mentions_(spark, sf_dir):
-    scored = score_mentions(b.mentioned(spark, sf_dir), b.test_scorer)
+    scored = score_mentions(b.mentioned(spark, sf_dir), b.example_scorer())
     return scored.select("content_type", "id", F.inline("projects_mentions_polarity"))
 
 
@@ -224,7 +224,7 @@ def score_mentions_(spark, sf_dir):
 )
 def when_guard(spark, sf_dir):
     """Scores only where something is mentioned, NULL elsewhere."""
-    scored = score_mentions(b.mentioned(spark, sf_dir), b.test_scorer)
+    scored = score_mentions(b.mentioned(spark, sf_dir), b.example_scorer())
     found = F.col("projects_mentions_polarity")
     return scored.select(
         "content_type", "id", F.when(found.isNotNull(), F.size(found)).cast("long").alias("scores")

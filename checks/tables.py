@@ -756,7 +756,7 @@ def mentions_job(spark, sf_dir):
     submissions, comments = _content_tables(spark, sf_dir)
     path = _new(spark)
     content_jobs.mentions_job(
-        spark, _MENTION_DAY, submissions, comments, path, b.PROJECTS, b.test_scorer
+        spark, _MENTION_DAY, submissions, comments, path, b.PROJECTS, b.example_scorer()
     )
     written = scan_table(spark, path, MENTIONS)
     pairs = F.arrays_zip("projects_mentions", "projects_mentions_polarity")

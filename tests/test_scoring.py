@@ -46,7 +46,7 @@ def test_scorer_never_sees_rows_without_mentions(spark):
 
 
 def test_lexicon():
-    (good,), (bad,), (none,) = lexicon_scorer(
+    (good,), (bad,), (none,) = lexicon_scorer()(
         [(["a"], "a is great. Really fast, slow once"), (["a"], "awful"), (["a"], "")]
     )
     assert good == ("a", "a is great.", 0.333)

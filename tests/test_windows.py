@@ -7,42 +7,15 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from checks.baselines import right_join_chain
 from tidemark.operators.layout import conform
-from tidemark.operators.windows import (
-    WINDOWS,
-    pypi_cumulative,
-    pypi_cumulative_next,
-    suffix,
-    window_sum,
-)
-from tidemark.schemas import CUMULATIVE_DOWNLOADS, CUMULATIVE_KEYS
+from tidemark.operators.windows import pypi_cumulative, pypi_cumulative_next
+from tidemark.schemas import CUMULATIVE_DOWNLOADS
 
 REF = date(2024, 6, 30)
 SCHEMA = "download_date date, project string, project_version string, country_code string, download_count int"
 
 
-def literal_chain(downloads, ref):
-    """Six aggregates and five right joins, as a check of the single pass."""
-    spans = [*WINDOWS, None]
-    frames = [
-        window_sum(downloads, ref, d).select(
-            *[F.col(k).alias(f"{k}_{i}") for k in CUMULATIVE_KEYS], F.col("download_count").alias(f"n{i}")
-        )
-        for i, d in enumerate(spans)
-    ]
-    chain = frames[0]
-    for i, right in enumerate(frames[1:], 1):
-        on = [F.col(f"{k}_{i - 1}") == F.col(f"{k}_{i}") for k in CUMULATIVE_KEYS]
-        chain = chain.join(right, on, "right")
-    last = len(spans) - 1
-    return chain.select(
-        F.lit(ref).alias("reference_date"),
-        *[F.coalesce(*[f"{k}_{i}" for i in range(last + 1)]).alias(k) for k in CUMULATIVE_KEYS],
-        *[F.coalesce(F.col(f"n{i}"), F.lit(0)).alias(f"download_count{suffix(d)}") for i, d in enumerate(spans[:-1])],
-        F.col(f"n{last}").alias("download_count_since_first_record"),
-    )
-
-
 def test_window_edges(spark):
     back = [0, 6, 7, 29, 30, 89, 90, 364, 365]
     rows = [(REF - timedelta(days=d), "p", "1", "US", 1) for d in back]
@@ -76,7 +49,7 @@ _ROW = st.tuples(
 def test_single_pass_equals_chain(spark, data):
     df = spark.createDataFrame(data, SCHEMA)
     got = sorted(map(tuple, pypi_cumulative(df, REF).collect()), key=repr)
-    assert got == sorted(map(tuple, literal_chain(df, REF).collect()), key=repr)
+    assert got == sorted(map(tuple, right_join_chain(df, REF).collect()), key=repr)
     for row in got:
         windows = row[4:9]
         assert list(windows) == sorted(windows)

@@ -11,6 +11,7 @@ of Java's ``\b`` depends on the JDK and on flags.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -84,6 +85,12 @@ def leading_words(term: str) -> list[str] | None:
     return found
 
 
+def is_plain_word(term: str) -> bool:
+    """Whether the term is one ASCII word, so that its matches are the words
+    of a text that equal it."""
+    return re.fullmatch(r"\w+", term, re.ASCII) is not None
+
+
 def term_count(text: Column, term: str) -> Column:
     """Non-overlapping matches of a term; NULL text gives NULL."""
     return F.regexp_count(text, F.lit(term_pattern(term)))
@@ -92,3 +99,23 @@ def term_count(text: Column, term: str) -> Column:
 def text_words(text: Column) -> Column:
     """Lower-case words of a text, in order, from one pass over it."""
     return F.split(F.lower(text), NOT_WORD)
+
+
+def word_counts(text: Column, wanted: Sequence[str]) -> Column:
+    """Map of the wanted words that a text holds, with how often it does. Each
+    text is cut into words once, and most hold no wanted word at all."""
+
+    def counts(words: Column) -> Column:
+        held = F.array_intersect(words, F.array(*map(F.lit, wanted)))
+        return _bind(held, lambda present: F.map_from_arrays(present, _occurrences(words, present)))
+
+    return _bind(text_words(text), counts)
+
+
+def _occurrences(words: Column, present: Column) -> Column:
+    return F.transform(present, lambda p: F.size(F.filter(words, lambda w: w == p)))
+
+
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Use a value several times and compute it once."""
+    return F.element_at(F.transform(F.array(value), use), 1)

@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.nulls import empty_to_null
-from tidemark.functions.terms import CASE_ODDITIES, leading_words, term_count, text_words
+from tidemark.functions.terms import (
+    CASE_ODDITIES,
+    is_plain_word,
+    leading_words,
+    term_count,
+    word_counts,
+)
 from tidemark.sources.dimensions import Project
 
 CONTENT_COLUMNS = (
@@ -67,32 +74,32 @@ def find_mentions(
     when nothing is mentioned or the text is NULL.
 
     A match can only begin at one of a few whole words per term. Each text is
-    cut into words once and intersected with all those words; a term's regular
-    expression then runs only on texts that hold one of its words, and most
-    texts run none. Terms without such words, and texts with letters that fold
-    to ASCII in unusual ways, always run the expressions, so counts are exact.
+    cut into words once, and those that some term can begin with are counted.
+    For a term of one word that is the result; the regular expression of any
+    other runs only on texts that hold one of its words. Terms without such
+    words, and texts with letters that fold to ASCII in unusual ways, always
+    run the expressions, so counts are exact.
     """
     leads = {term: leading_words(term) for p in projects for term in p.terms}
     lead_words = sorted({w for words in leads.values() for w in words or ()})
     unguarded = any(words is None for words in leads.values())
 
-    found = F.array_intersect(text_words(F.col(text)), F.array(*map(F.lit, lead_words)))
-    prepared = df.withColumn("_leads", found if lead_words else F.array()).withColumn(
-        "_odd", F.col(text).rlike(CASE_ODDITIES)
-    )
+    found = word_counts(F.col(text), lead_words) if lead_words else F.create_map()
+    prepared = df.withColumn("_leads", found).withColumn("_odd", F.col(text).rlike(CASE_ODDITIES))
 
     def count(term: str) -> Column:
-        n = term_count(F.col(text), term)
+        by_pattern = term_count(F.col(text), term)
         words = leads[term]
         if words is None:
-            return n
-        present = reduce(
-            lambda a, b: a | b, [F.array_contains("_leads", word) for word in words]
-        )
-        return F.when(F.col("_odd") | present, n).otherwise(F.lit(0))
+            return by_pattern
+        if is_plain_word(term):
+            held = F.coalesce(F.try_element_at("_leads", F.lit(words[0])), F.lit(0))
+            return F.when(F.col("_odd"), by_pattern).otherwise(held)
+        present = reduce(or_, [F.map_contains_key("_leads", word) for word in words])
+        return F.when(F.col("_odd") | present, by_pattern).otherwise(F.lit(0))
 
     def mention(project: Project) -> Column:
-        n = reduce(lambda a, b: a + b, [count(term) for term in project.terms])
+        n = reduce(add, [count(term) for term in project.terms])
         return F.struct(F.lit(project.name).alias("project"), n.cast("int").alias("mentions"))
 
     mentions = F.filter(F.array(*map(mention, projects)), lambda m: m["mentions"] > 0)
@@ -100,10 +107,12 @@ def find_mentions(
         mentions = F.when(F.col("_odd") | (F.size("_leads") > 0), mentions)
     # _odd is NULL exactly when the text is.
     mentions = F.when(F.col("_odd").isNotNull(), mentions)
-    return (
-        prepared.withColumn(output, mentions)
-        .withColumn(output, empty_to_null(F.col(output)))
-        .drop("_leads", "_odd")
+    # The list leaves through a generator of one row: a filter on it is not
+    # pushed below, where it would count every term a second time.
+    counted = prepared.withColumn("_mentions", mentions)
+    kept = [c for c in df.columns if c != output]
+    return counted.select(
+        *kept, F.explode(F.array(empty_to_null(F.col("_mentions")))).alias(output)
     )
 
 

@@ -36,6 +36,8 @@ def score_mentions(
     Python runs on Arrow batches. The text is blanked out for rows without
     mentions before it leaves the JVM, so a row that needs no score costs
     neither transfer nor a call, and no join is needed to bring rows together.
+    The function counts as nondeterministic, as a model may be: Spark then
+    calls it once per row, whatever is done with the result.
     """
 
     @F.arrow_udf(POLARITY_TYPE)
@@ -51,34 +53,38 @@ def score_mentions(
                 ] or None
             yield pa.array(results, type=_ARROW_TYPE)
 
+    once = run.asNondeterministic()
     has_mentions = F.col(mentions).isNotNull()
     return df.withColumn(
         output,
-        run(
+        once(
             F.when(has_mentions, mentioned_projects(F.col(mentions))),
             F.when(has_mentions, F.coalesce(F.col(text), F.lit(""))),
         ),
     )
 
 
-_SENTENCE = re.compile(r"(?<=[.!?])\s+")
-_GOOD = frozenset(
-    "good great love excellent fast easy best nice reliable solid amazing helpful stable".split()
-)
-_BAD = frozenset(
-    "bad slow hate terrible broken hard worst buggy awful expensive unstable painful poor".split()
-)
-
-
-def lexicon_scorer(batch: Sequence[tuple[Sequence[str], str]]) -> list[Scored]:
+def lexicon_scorer() -> Scorer:
     """The built-in deterministic scorer: good against bad words of the whole
-    text, with the first sentence as the summary."""
-    results = []
-    for projects, text in batch:
-        words = re.findall(r"\w+", text.lower())
-        good = sum(word in _GOOD for word in words)
-        bad = sum(word in _BAD for word in words)
-        polarity = round((good - bad) / (good + bad), 3) if good + bad else 0.0
-        summary = _SENTENCE.split(text.strip(), maxsplit=1)[0]
-        results.append([(project, summary, polarity) for project in projects])
-    return results
+    text, with the first sentence as the summary. A closure, so that it
+    reaches the executors by value."""
+    good = frozenset(
+        "good great love excellent fast easy best nice reliable solid amazing helpful stable".split()
+    )
+    bad = frozenset(
+        "bad slow hate terrible broken hard worst buggy awful expensive unstable painful poor".split()
+    )
+    word, sentence_end = re.compile(r"\w+"), re.compile(r"(?<=[.!?])\s+")
+
+    def score(batch: Sequence[tuple[Sequence[str], str]]) -> list[Scored]:
+        results = []
+        for projects, text in batch:
+            words = word.findall(text.lower())
+            liked, disliked = sum(w in good for w in words), sum(w in bad for w in words)
+            total = liked + disliked
+            polarity = round((liked - disliked) / total, 3) if total else 0.0
+            summary = sentence_end.split(text.strip(), maxsplit=1)[0]
+            results.append([(project, summary, polarity) for project in projects])
+        return results
+
+    return score

@@ -77,9 +77,9 @@ def load_content(
 
 
 def mentions_of(
-    content: DataFrame, projects: Sequence[Project] = TRACKED, scorer: Scorer = lexicon_scorer
+    content: DataFrame, projects: Sequence[Project] = TRACKED, scorer: Scorer | None = None
 ) -> DataFrame:
-    return score_mentions(find_mentions(content, projects), scorer)
+    return score_mentions(find_mentions(content, projects), scorer or lexicon_scorer())
 
 
 def mentions_job(
@@ -89,7 +89,7 @@ def mentions_job(
     comments_path: str,
     target_path: str,
     projects: Sequence[Project] = TRACKED,
-    scorer: Scorer = lexicon_scorer,
+    scorer: Scorer | None = None,
 ) -> None:
     """One day's mentions and scores, overwriting that day."""
     content = union_content(
