@@ -13,7 +13,7 @@ from tidemark.functions import dates, nulls
 from tidemark.operators import audit, layout, windows
 from tidemark.operators.downloads import agg_daily_downloads, agg_daily_project, flatten_events
 from tidemark.plans.downloads import audit_downloads
-from tidemark.schemas import CUMULATIVE_DOWNLOADS, INVALID_DOWNLOADS
+from tidemark.schemas import CUMULATIVE_DOWNLOADS, DOWNLOADS, quarantine_of
 from tidemark.sources.dimensions import package_names
 from tidemark.sources.events import project_list, scan_raw_events
 from tidemark.sources.tables import scan_table
@@ -359,5 +359,6 @@ def audit_downloads_(spark, sf_dir):
     """The audit of clean keys with some bad country codes: passes at a
     tolerance of a tenth, and keeps the bad rows aside."""
     path = storage.scratch(spark, "quarantine")
-    audit_downloads(b.downloads(spark, sf_dir), path, b.REFERENCE, tolerance=0.1)
-    return scan_table(spark, path, INVALID_DOWNLOADS.widened())
+    wide = DOWNLOADS.widened()
+    audit_downloads(b.downloads(spark, sf_dir), path, b.REFERENCE, tolerance=0.1, table=wide)
+    return scan_table(spark, path, quarantine_of(wide))

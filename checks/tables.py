@@ -693,6 +693,21 @@ def aggregate_downloads(spark, sf_dir):
     return scan_table(spark, path, WIDE_CUMULATIVE)
 
 
+@query("aggregate_downloads_incremental", sql.select(EVD, _rollup_sql("2024-01-30")))
+def aggregate_downloads_incremental(spark, sf_dir):
+    """The last day's rollup on top of the one before it, out of six days."""
+    source, path = _new(spark), _new(spark)
+    rows = event_downloads(spark, sf_dir)
+    last = F.col("download_date") == date_literal("2024-01-30")
+    sinks.overwrite_partitions(rows.where(~last), source, WIDE)
+    download_jobs.aggregate_downloads(spark, source, path, "2024-01-29", WIDE, WIDE_CUMULATIVE)
+    sinks.overwrite_partitions(rows.where(last), source, WIDE)
+    download_jobs.aggregate_downloads(
+        spark, source, path, "2024-01-30", WIDE, WIDE_CUMULATIVE, incremental=True
+    )
+    return scan_table_partition(spark, path, WIDE_CUMULATIVE, "reference_date", "2024-01-30")
+
+
 @query(
     "load_serving",
     sql.select(

@@ -264,3 +264,51 @@ def test_widened_keeps_everything_else():
     wide = DOWNLOADS.widened()
     assert wide.schema["download_count"].dataType.simpleString() == "bigint"
     assert replace(wide, schema=DOWNLOADS.schema) == DOWNLOADS
+
+
+def test_dedupe_orders_nulls_last(spark):
+    data = posts(spark, ("a", "x", None, D1), ("a", "y", 1, D1), ("b", "z", None, D1), (None, "n", 1, D1), (None, "m", 2, D1))
+    from tidemark.operators.upsert import latest_per_key
+
+    kept = sorted((r["id"] or "", r["text"]) for r in latest_per_key(data, ["id"], "score").collect())
+    assert kept == [("", "m"), ("", "n"), ("a", "y"), ("b", "z")]
+
+
+def test_failed_audit_leaves_production_alone(spark, tmp_path):
+    from tidemark.operators.audit import AuditFailure
+    from tidemark.plans.downloads import publish_downloads
+    from tidemark.schemas import RAW_DOWNLOAD_EVENTS
+    from datetime import datetime
+
+    def event(day, country, version="1"):
+        return (datetime(2024, 1, day, 12), "p", (version,), ("3", ("L",)), country)
+
+    paths = [str(tmp_path / n) for n in ("staging", "invalid", "production")]
+    good = spark.createDataFrame([event(1, "US"), event(1, "US"), event(2, "US")], RAW_DOWNLOAD_EVENTS)
+    result = publish_downloads(spark, good, D1, "p", *paths)
+    assert (result.row_count, result.total_invalid) == (1, 0)
+    bad = spark.createDataFrame([event(2, "usa"), event(2, "US")], RAW_DOWNLOAD_EVENTS)
+    with pytest.raises(AuditFailure):
+        publish_downloads(spark, bad, D2, "p", *paths)
+    production = scan_table(spark, paths[2], DOWNLOADS)
+    assert [(r["download_date"], r["download_count"]) for r in production.collect()] == [(D1, 2)]
+    # What failed stays staged for inspection.
+    assert scan_table(spark, paths[0], DOWNLOADS).count() == 2
+
+
+def test_backfill_is_the_union_of_days(spark, tmp_path, rows):
+    from datetime import datetime
+
+    from tidemark.plans.downloads import backfill_downloads
+    from tidemark.schemas import RAW_DOWNLOAD_EVENTS
+
+    events = spark.createDataFrame(
+        [(datetime(2024, 1, 1 + i % 4, i % 24), "pq"[i % 2], ("1",), ("3", (None,)), None) for i in range(60)],
+        RAW_DOWNLOAD_EVENTS,
+    )
+    whole, daily = str(tmp_path / "whole"), str(tmp_path / "daily")
+    backfill_downloads(events, "2024-01-01", "2024-01-04", "p,q", whole)
+    for day in (1, 2, 3):
+        backfill_downloads(events, date(2024, 1, day), date(2024, 1, day + 1), ["p", "q"], daily)
+    got = rows(scan_table(spark, whole, DOWNLOADS))
+    assert got == rows(scan_table(spark, daily, DOWNLOADS)) and len(got) == 3

@@ -13,7 +13,7 @@ from tidemark.sources.dimensions import TRACKED, Project
 
 TERMS = [
     "Spark", "Duck DB", "Weights & Biases", "Evidence.dev", "Neo 4j", "SQL Server", "C++", ".NET",
-    "a b c", "Monte Carlo Data", "Öl", "foo-",
+    "a b c", "Monte Carlo Data", "Öl", "foo-", "rock 'n' roll", 'x"y', "back\\slash",
 ]
 
 
@@ -61,7 +61,7 @@ def test_leading_words():
 
 _PIECES = st.sampled_from(
     ["spark", "SPARK", "Duck", "db", "DB", "weights", "&", "biases", "evidence.dev", "neo", "4j",
-     "c++", ".net", "a", "b", "c", "foo", "öl", "monte", "carlo", "data", "sql", "server", "İ", "ı",
+     "c++", ".net", "rock", "'n'", "roll", 'x"y', "back\\slash", "a", "b", "c", "foo", "öl", "monte", "carlo", "data", "sql", "server", "İ", "ı",
      "ſ", "K", "é", "_", "́", "9", "٣", "漢"]
 )
 _JOINS = st.sampled_from(["", " ", "-", "  ", "\n", " ", ".", ",", "\x1d", "—"])

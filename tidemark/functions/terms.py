@@ -56,7 +56,9 @@ def term_pattern(term: str) -> str:
 
 
 def _escaped(word: str) -> str:
-    return _META.sub(r"\\\1", word)
+    # Quotes by their code, so that a pattern also fits in a SQL string.
+    quoted = {'"': r"\x22", "'": r"\x27"}
+    return _META.sub(lambda m: quoted.get(m[1], "\\" + m[1]), word)
 
 
 def _edge(word: str, char: str, *, before: bool) -> str:
@@ -102,11 +104,12 @@ def text_words(text: Column) -> Column:
 
 
 def word_counts(text: Column, wanted: Sequence[str]) -> Column:
-    """Map of the wanted words that a text holds, with how often it does. Each
-    text is cut into words once, and most hold no wanted word at all."""
+    """Map of the wanted words (of ASCII letters) that a text holds, with how
+    often it does. Each text is cut into words once, and most hold none."""
 
     def counts(words: Column) -> Column:
-        held = F.array_intersect(words, F.array(*map(F.lit, wanted)))
+        literals = ", ".join(f"'{word}'" for word in wanted)
+        held = F.array_intersect(words, F.expr(f"array({literals})"))
         return _bind(held, lambda present: F.map_from_arrays(present, _occurrences(words, present)))
 
     return _bind(text_words(text), counts)

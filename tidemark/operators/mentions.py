@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +12,7 @@ from tidemark.functions.terms import (
     CASE_ODDITIES,
     is_plain_word,
     leading_words,
-    term_count,
+    term_pattern,
     word_counts,
 )
 from tidemark.sources.dimensions import Project
@@ -87,22 +85,25 @@ def find_mentions(
     found = word_counts(F.col(text), lead_words) if lead_words else F.create_map()
     prepared = df.withColumn("_leads", found).withColumn("_odd", F.col(text).rlike(CASE_ODDITIES))
 
-    def count(term: str) -> Column:
-        by_pattern = term_count(F.col(text), term)
+    # One SQL text for all counts: a dictionary has hundreds of terms, and
+    # every call for a column is a round trip to the JVM.
+    def count(term: str) -> str:
+        by_pattern = f'regexp_count(`{text}`, r"{term_pattern(term)}")'
         words = leads[term]
         if words is None:
             return by_pattern
         if is_plain_word(term):
-            held = F.coalesce(F.try_element_at("_leads", F.lit(words[0])), F.lit(0))
-            return F.when(F.col("_odd"), by_pattern).otherwise(held)
-        present = reduce(or_, [F.map_contains_key("_leads", word) for word in words])
-        return F.when(F.col("_odd") | present, by_pattern).otherwise(F.lit(0))
-
-    def mention(project: Project) -> Column:
-        n = reduce(add, [count(term) for term in project.terms])
-        return F.struct(F.lit(project.name).alias("project"), n.cast("int").alias("mentions"))
-
-    mentions = F.filter(F.array(*map(mention, projects)), lambda m: m["mentions"] > 0)
+            held = f"coalesce(try_element_at(_leads, '{words[0]}'), 0)"
+            return f"if(_odd, {by_pattern}, {held})"
+        present = " OR ".join(f"map_contains_key(_leads, '{word}')" for word in words)
+        return f"if(_odd OR {present}, {by_pattern}, 0)"
+
+    counts = F.expr(f"array({', '.join(' + '.join(map(count, p.terms)) for p in projects)})")
+    names = F.array(*[F.lit(p.name) for p in projects])
+    every = F.zip_with(
+        names, counts, lambda name, n: F.struct(name.alias("project"), n.alias("mentions"))
+    )
+    mentions = F.filter(every, lambda m: m["mentions"] > 0)
     if not unguarded:
         mentions = F.when(F.col("_odd") | (F.size("_leads") > 0), mentions)
     # _odd is NULL exactly when the text is.

@@ -60,11 +60,13 @@ def clear_table(spark: SparkSession, path: str, table: Table) -> None:
     full_refresh(spark.createDataFrame([], table.schema), path, table)
 
 
-def append_quarantine(invalid: DataFrame, path: str, run_date: date | str) -> None:
+def append_quarantine(
+    invalid: DataFrame, path: str, run_date: date | str, table: Table = INVALID_DOWNLOADS
+) -> None:
     """Keep a run's invalid rows. A run owns one partition, so a retry
     replaces its rows instead of adding them again."""
     rows = invalid.withColumn("run_date", date_literal(run_date))
-    replace_partition(rows, path, INVALID_DOWNLOADS, run_date)
+    replace_partition(rows, path, table, run_date)
 
 
 def export_clustered(

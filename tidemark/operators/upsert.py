@@ -76,7 +76,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFra
     best = (
         keyed.where(~_null_key(names))
         .groupBy(*names)
-        .agg(F.max_by(row, F.col(order_by)).alias("_row"))
+        .agg(F.max_by(row, F.struct(order_by)).alias("_row"))
         .select("_row.*")
     )
     return best.unionByName(keyed.where(_null_key(names)).drop(*names))
@@ -121,7 +121,8 @@ def _merge(
         overwrite_partitions(source, path, table)
         return
     laid_out(source, table).write.parquet(f"{stage}/source")
-    batch, names = _with_keys(spark.read.parquet(f"{stage}/source"), keys)
+    staged = spark.read.schema(table.stored_schema).parquet(f"{stage}/source")
+    batch, names = _with_keys(staged, keys)
     incoming = _values(batch, part)
 
     stored = spark.read.schema(table.stored_schema).parquet(path)

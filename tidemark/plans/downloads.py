@@ -22,13 +22,14 @@ from tidemark.operators.sinks import (
     replace_partition,
 )
 from tidemark.operators.upsert import PUBLISH_KEYS, upsert
-from tidemark.operators.windows import pypi_cumulative
+from tidemark.operators.windows import pypi_cumulative, pypi_cumulative_next
 from tidemark.schemas import (
     CUMULATIVE_DOWNLOADS,
     DAILY_PROJECT_DOWNLOADS,
     DOWNLOADS,
     STAGED_DOWNLOADS,
     Table,
+    quarantine_of,
 )
 from tidemark.sources.tables import scan_table, scan_table_partition
 
@@ -48,14 +49,18 @@ def ingest_downloads(
 
 
 def audit_downloads(
-    staged: DataFrame, invalid_path: str, run_date: date | str, tolerance: float = TOLERANCE
+    staged: DataFrame,
+    invalid_path: str,
+    run_date: date | str,
+    tolerance: float = TOLERANCE,
+    table: Table = DOWNLOADS,
 ) -> AuditResult:
     """Check the staged rows: duplicates stop the job, invalid rows are kept
     aside, and too many of them stop it as well."""
     result = audit(staged)
     result.raise_on_duplicates()
     if result.total_invalid:
-        append_quarantine(result.invalid, invalid_path, run_date)
+        append_quarantine(result.invalid, invalid_path, run_date, quarantine_of(table))
     result.raise_on_ratio(tolerance)
     return result
 
@@ -83,7 +88,8 @@ def publish_downloads(
 ) -> AuditResult:
     """Write, audit, publish one day. A failed audit leaves production alone."""
     ingest_downloads(events, ds, ds_add(ds, 1), projects, staging_path, table)
-    result = audit_downloads(scan_table(spark, staging_path, table), invalid_path, ds, tolerance)
+    staged = scan_table(spark, staging_path, table)
+    result = audit_downloads(staged, invalid_path, ds, tolerance, table)
     publish_staged(spark, staging_path, production_path, table)
     compact_partition(spark, production_path, table, ds)
     return result
@@ -108,11 +114,23 @@ def aggregate_downloads(
     ds: date | str,
     downloads_table: Table = DOWNLOADS,
     table: Table = CUMULATIVE_DOWNLOADS,
+    incremental: bool = False,
 ) -> None:
-    """Rebuild the cumulative rollup of a date."""
+    """Rebuild the cumulative rollup of a date, from all history.
+
+    ``incremental`` builds it on the rollup of the day before instead and reads
+    six days of downloads. That is for the regular daily run: it needs the
+    rollup of the day before, and no older day changed since. A day whose
+    predecessor is not there is built from all history.
+    """
     create_table(spark, path, table)
     downloads = scan_table(spark, downloads_path, downloads_table)
-    replace_partition(pypi_cumulative(downloads, ds), path, table, ds)
+    before = scan_table_partition(spark, path, table, "reference_date", ds_add(ds, -1))
+    if incremental and not before.isEmpty():
+        rollup = pypi_cumulative_next(before, downloads, ds)
+    else:
+        rollup = pypi_cumulative(downloads, ds)
+    replace_partition(rollup, path, table, ds)
     compact_partition(spark, path, table, ds)
 
 

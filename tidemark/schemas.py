@@ -96,11 +96,18 @@ DOWNLOADS = Table(
     keys=DOWNLOAD_KEYS,
 )
 STAGED_DOWNLOADS = replace(DOWNLOADS, name="stg_pypi_file_downloads")
-INVALID_DOWNLOADS = Table(
-    "pypi_file_downloads_invalid",
-    T.StructType([*DOWNLOADS.schema.fields, T.StructField("run_date", _DATE)]),
-    partition="run_date",
-)
+
+
+def quarantine_of(table: Table) -> Table:
+    """Where the invalid rows of a table are kept, by the run that found them."""
+    return Table(
+        f"{table.name}_invalid",
+        T.StructType([*table.schema.fields, T.StructField("run_date", _DATE)]),
+        partition="run_date",
+    )
+
+
+INVALID_DOWNLOADS = quarantine_of(DOWNLOADS)
 
 CUMULATIVE_KEYS = ("project", "project_version", "country_code")
 CUMULATIVE_DOWNLOADS = Table(
