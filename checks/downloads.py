@@ -146,7 +146,7 @@ def coalesce_keys(spark, sf_dir):
 def coalesce_zero(spark, sf_dir):
     week = F.sum(windows.within("download_date", b.REFERENCE, 7, F.col("download_count")))
     return (
-        b.downloads(spark, sf_dir)
+        b.download_rows(spark, sf_dir)
         .groupBy("project", "project_version")
         .agg(nulls.zero_if_null(week).alias("download_count_last_7_days"))
     )
@@ -196,7 +196,7 @@ def _register_window_sums() -> None:
         )
 
         def run(spark, sf_dir, days=days):
-            return windows.window_sum(b.downloads(spark, sf_dir), b.REFERENCE, days)
+            return windows.window_sum(b.download_rows(spark, sf_dir), b.REFERENCE, days)
 
         query(f"agg_window_sum_{days or 'all'}", sql.select(sql.DOWNLOADS, body))(run)
 
@@ -209,7 +209,7 @@ _register_window_sums()
     sql.select(f"{sql.DOWNLOADS}, {sql.right_join_chain('dl')}", "SELECT * FROM chain"),
 )
 def pypi_cumulative_(spark, sf_dir):
-    return windows.pypi_cumulative(b.downloads(spark, sf_dir), b.REFERENCE)
+    return windows.pypi_cumulative(b.download_rows(spark, sf_dir), b.REFERENCE)
 
 
 @query(
@@ -263,7 +263,7 @@ def conform_to_sink(spark, sf_dir):
     ),
 )
 def agg_daily_project_(spark, sf_dir):
-    return agg_daily_project(b.downloads(spark, sf_dir), b.REFERENCE)
+    return agg_daily_project(b.download_rows(spark, sf_dir), b.REFERENCE)
 
 
 # --- audit -------------------------------------------------------------------

@@ -23,7 +23,7 @@ _CTES = f"{sql.DOWNLOADS}, {sql.BRAND_CATEGORIES}"
 )
 def q_popularity_by_category(spark, sf_dir):
     return insights.popularity_by_category(
-        b.downloads(spark, sf_dir), b.tracked_brands(spark, sf_dir)
+        b.download_rows(spark, sf_dir), b.tracked_brands(spark, sf_dir)
     )
 
 
@@ -43,7 +43,7 @@ _BASE = "download_date BETWEEN DATE '2001-05-03' AND DATE '2001-06-01'"
     ),
 )
 def q_adoption_rate(spark, sf_dir):
-    rates = insights.adoption_rate(b.downloads(spark, sf_dir), b.REFERENCE)
+    rates = insights.adoption_rate(b.download_rows(spark, sf_dir), b.REFERENCE)
     return rates.withColumn("adoption_rate", F.round("adoption_rate", 10))
 
 
@@ -58,7 +58,7 @@ def q_adoption_rate(spark, sf_dir):
     ),
 )
 def q_category_trend(spark, sf_dir):
-    return insights.category_trend(b.downloads(spark, sf_dir), b.tracked_brands(spark, sf_dir))
+    return insights.category_trend(b.download_rows(spark, sf_dir), b.tracked_brands(spark, sf_dir))
 
 
 def _leader(name: str, reference: str) -> str:
@@ -82,5 +82,5 @@ def _leader(name: str, reference: str) -> str:
 )
 def q_leader_then_now(spark, sf_dir):
     return insights.leader_then_now(
-        b.downloads(spark, sf_dir), b.tracked_brands(spark, sf_dir), "1998-07-01", b.REFERENCE
+        b.download_rows(spark, sf_dir), b.tracked_brands(spark, sf_dir), "1998-07-01", b.REFERENCE
     )

@@ -146,8 +146,8 @@ def test_partition_scan_prunes(spark, tmp_path):
     sinks.overwrite_partitions(posts, path, POSTS)
     day = scan_table_partition(spark, path, POSTS, "created_date", D3)
     assert [r["id"] for r in day.collect()] == ["b"]
-    plan = day._jdf.queryExecution().executedPlan().toString()
-    assert "created_month" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert all("created_month=2024-02" in f for f in day.inputFiles()) and day.inputFiles()
+    assert scan_table_partition(spark, path, POSTS, "created_date", date(2030, 1, 1)).count() == 0
 
 
 # --- merges ------------------------------------------------------------------

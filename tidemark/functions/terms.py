@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,7 +25,7 @@ _GAP = r"[-\s\x1c-\x1f]?"
 # Unicode case folding, and \s by Unicode property.
 _FLAGS = "(?iuU)"
 # Characters beyond ASCII that equal an ASCII letter when case is ignored.
-CASE_ODDITIES = "[\u0130\u0131\u017f\u212a]"
+CASE_ODDITIES = "\u0130\u0131\u017f\u212a"
 
 _SPLIT = re.compile(r"[-\s]+")
 _META = re.compile(r"([^\w\s])")
@@ -98,6 +100,12 @@ def term_count(text: Column, term: str) -> Column:
     return F.regexp_count(text, F.lit(term_pattern(term)))
 
 
+def has_case_oddities(text: Column) -> Column:
+    """Whether a text holds one of those letters; four byte searches, which
+    cost less than one regular expression."""
+    return reduce(or_, [F.contains(text, F.lit(letter)) for letter in CASE_ODDITIES])
+
+
 def text_words(text: Column) -> Column:
     """Lower-case words of a text, in order, from one pass over it."""
     return F.split(F.lower(text), NOT_WORD)

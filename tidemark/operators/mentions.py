@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.nulls import empty_to_null
 from tidemark.functions.terms import (
-    CASE_ODDITIES,
+    has_case_oddities,
     is_plain_word,
     leading_words,
     term_pattern,
@@ -83,7 +83,7 @@ def find_mentions(
     unguarded = any(words is None for words in leads.values())
 
     found = word_counts(F.col(text), lead_words) if lead_words else F.create_map()
-    prepared = df.withColumn("_leads", found).withColumn("_odd", F.col(text).rlike(CASE_ODDITIES))
+    prepared = df.withColumn("_leads", found).withColumn("_odd", has_case_oddities(F.col(text)))
 
     # One SQL text for all counts: a dictionary has hundreds of terms, and
     # every call for a column is a round trip to the JVM.

@@ -11,6 +11,7 @@ from tidemark import storage
 from tidemark.functions.dates import date_literal, ds_add, parse_day
 from tidemark.operators.layout import clustered, conform, laid_out, repartition_by
 from tidemark.schemas import INVALID_DOWNLOADS, Table
+from tidemark.sources.tables import read_partitions
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -45,7 +46,7 @@ def replace_partition(df: DataFrame, path: str, table: Table, value: date | str)
     day = parse_day(value)
     rows = conform(df, table.schema).where(F.col(table.partition) == date_literal(day))
     rows.drop(table.partition).write.mode("overwrite").parquet(
-        f"{path}/{table.partition}={day.isoformat()}"
+        storage.partition_dir(path, table.partition, day.isoformat())
     )
 
 
@@ -88,15 +89,11 @@ def compact_partition(
     """Merge one partition's small files into files near a target size, without
     a shuffle. Returns how many files were asked for; 0 if there was nothing."""
     day = parse_day(value).isoformat()
-    size = storage.size_in_bytes(spark, f"{path}/{table.partition}={day}")
+    size = storage.size_in_bytes(spark, storage.partition_dir(path, table.partition, day))
     if size == 0:
         return 0
     files = -(-size // target_bytes)
-    rows = (
-        spark.read.schema(table.stored_schema)
-        .parquet(path)
-        .where(F.col(table.partition) == F.lit(day).cast(table.stored_schema[table.partition].dataType))
-    )
+    rows = read_partitions(spark, path, table, [day])
     _write_partitions(rows.coalesce(files), path, table)
     return files
 
@@ -112,7 +109,7 @@ def drop_expired(
         if value < cutoff
     ]
     for value in expired:
-        storage.delete_tree(spark, f"{path}/{table.partition}={value}")
+        storage.delete_tree(spark, storage.partition_dir(path, table.partition, value))
     return expired
 
 

@@ -20,6 +20,7 @@ from tidemark import storage
 from tidemark.operators.layout import laid_out
 from tidemark.operators.sinks import overwrite_partitions
 from tidemark.schemas import Table
+from tidemark.sources.tables import read_partitions
 
 PUBLISH_KEYS = (
     "download_date",
@@ -125,10 +126,12 @@ def _merge(
     batch, names = _with_keys(staged, keys)
     incoming = _values(batch, part)
 
-    stored = spark.read.schema(table.stored_schema).parquet(path)
     # A partition column among the keys confines matches to the batch's own
     # partitions; otherwise a row may match, and leave, any of them.
-    candidates = stored.where(_among(part, incoming)) if part in keys else stored
+    if part in keys:
+        candidates = read_partitions(spark, path, table, incoming)
+    else:
+        candidates = spark.read.schema(table.stored_schema).parquet(path)
     target, _ = _with_keys(candidates, keys)
     per_key = batch.where(~_null_key(names)).groupBy(*names).agg(F.count("*").alias("_sources"))
     (
@@ -142,33 +145,20 @@ def _merge(
     if not matched.where(F.col("_sources") > 1).isEmpty():
         raise CardinalityViolation(f"several source rows match one row of {table.name}")
 
-    # Partitions that rows leave for another one, with how many leave.
-    left_behind = (
-        matched.where(~_among(part, incoming)).groupBy(part).agg(F.sum("_targets").alias("_moved"))
-    )
-    leaving = {row[part]: row["_moved"] for row in left_behind.collect()}
-    emptied = [v for v, n in leaving.items() if stored.where(_among(part, [v])).count() == n]
+    # Partitions that rows leave for another one, and those that all rows leave.
+    matches = matched.groupBy(part).agg(F.sum("_targets").alias("n")).collect()
+    leaving = {row[part]: row["n"] for row in matches if row[part] not in incoming}
+    held = read_partitions(spark, path, table, leaving).groupBy(part).agg(F.count("*").alias("n"))
+    emptied = [row[part] for row in held.collect() if row["n"] == leaving[row[part]]]
 
-    touched = stored.where(_among(part, [*incoming, *leaving]))
+    touched = read_partitions(spark, path, table, [*incoming, *leaving])
     inserted = left_anti_on(batch, matched, names)
     merged = _updated(touched, batch, keys, table).unionByName(
         inserted.select(*table.schema.names)
     )
     overwrite_partitions(merged, path, table)
     for value in emptied:
-        storage.delete_tree(spark, f"{path}/{part}={_directory_value(value)}")
-
-
-def _among(part: str, values: Sequence) -> Column:
-    """Rows of some partitions; NULL is one of its own."""
-    known = [v for v in values if v is not None]
-    among = F.col(part).isin(known)
-    missing = F.col(part).isNull()
-    return (missing | among) if None in values else (~missing & among)
-
-
-def _directory_value(value) -> str:
-    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+        storage.delete_tree(spark, storage.partition_dir(path, part, value))
 
 
 def _values(df: DataFrame, column: str) -> list:

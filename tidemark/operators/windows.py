@@ -97,6 +97,12 @@ def _shown(
     )
 
 
+def changing_days(reference: date | str, windows: Sequence[int] = WINDOWS) -> list[date]:
+    """The days a rollup differs by from the one of the day before: the new
+    day, and the day that falls out of each window."""
+    return [ds_add(reference, 0), *(ds_add(reference, -d) for d in windows)]
+
+
 def pypi_cumulative_next(
     previous: DataFrame,
     downloads: DataFrame,
@@ -111,12 +117,11 @@ def pypi_cumulative_next(
     the previous rollup and no later day is present; recompute otherwise.
     """
     day, n = "download_date", F.col("download_count")
-    leaving = {d: ds_add(reference, -d) for d in windows}
-    days = [date_literal(d) for d in (ds_add(reference, 0), *leaving.values())]
+    days = [date_literal(d) for d in changing_days(reference, windows)]
     is_new = F.col(day) == date_literal(reference)
 
     def change(days_back: int) -> Column:
-        left = F.col(day) == date_literal(leaving[days_back])
+        left = F.col(day) == date_literal(ds_add(reference, -days_back))
         return F.when(is_new, n).when(left, -n).otherwise(F.lit(0))
 
     changes = downloads.where(F.col(day).isin(days)).select(

@@ -22,7 +22,7 @@ from tidemark.operators.sinks import (
     replace_partition,
 )
 from tidemark.operators.upsert import PUBLISH_KEYS, upsert
-from tidemark.operators.windows import pypi_cumulative, pypi_cumulative_next
+from tidemark.operators.windows import changing_days, pypi_cumulative, pypi_cumulative_next
 from tidemark.schemas import (
     CUMULATIVE_DOWNLOADS,
     DAILY_PROJECT_DOWNLOADS,
@@ -31,7 +31,7 @@ from tidemark.schemas import (
     Table,
     quarantine_of,
 )
-from tidemark.sources.tables import scan_table, scan_table_partition
+from tidemark.sources.tables import read_partitions, scan_table, scan_table_partition
 
 
 def ingest_downloads(
@@ -124,12 +124,14 @@ def aggregate_downloads(
     predecessor is not there is built from all history.
     """
     create_table(spark, path, table)
-    downloads = scan_table(spark, downloads_path, downloads_table)
     before = scan_table_partition(spark, path, table, "reference_date", ds_add(ds, -1))
     if incremental and not before.isEmpty():
-        rollup = pypi_cumulative_next(before, downloads, ds)
+        days = changing_days(ds)
+        rollup = pypi_cumulative_next(
+            before, read_partitions(spark, downloads_path, downloads_table, days), ds
+        )
     else:
-        rollup = pypi_cumulative(downloads, ds)
+        rollup = pypi_cumulative(scan_table(spark, downloads_path, downloads_table), ds)
     replace_partition(rollup, path, table, ds)
     compact_partition(spark, path, table, ds)
 

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Recording the call site of every column costs more than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _SHUFFLE_TARGET = 128 * 1024 * 1024

@@ -54,6 +54,11 @@ def size_in_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(handle).getLength() if fs.exists(handle) else 0
 
 
+def partition_dir(path: str, column: str, value) -> str:
+    name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+    return f"{path}/{column}={name}"
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Directory values of one partition column (the catalog's own listing)."""
     prefix = f"{column}="
