@@ -331,7 +331,7 @@ _DAILY_CONTENT = """daily AS (
   SELECT DATE '2025-01-01' + (doc_id % 60)::INTEGER AS created_date, source AS project,
     CASE lang WHEN 'en' THEN 'Positive' WHEN 'fr' THEN 'Negative' WHEN 'de' THEN 'Neutral' END
       AS polarity_category,
-    COUNT(*) AS mentions_count, round(AVG(n_chars % 100 / 100::DOUBLE), 10) AS avg_polarity
+    COUNT(*) AS mentions_count, AVG(n_chars % 100 / 100::DOUBLE) AS avg_polarity
   FROM documents GROUP BY ALL)"""
 _SOURCES = "projects AS (SELECT DISTINCT source AS project_name FROM documents)"
 
@@ -352,7 +352,7 @@ def _daily_by_source(spark, sf_dir):
         )
         .agg(
             F.count("*").alias("mentions_count"),
-            F.round(F.avg(F.col("n_chars") % 100 / F.lit(100.0)), 10).alias("avg_polarity"),
+            F.avg(F.col("n_chars") % 100 / F.lit(100.0)).alias("avg_polarity"),
         )
     )
 

@@ -32,12 +32,11 @@ from tidemark.schemas import (
     SUBMISSION_RECORD,
     SUBMISSIONS,
     TRACKED_PROJECTS,
-    TRACKED_SUBREDDITS,
 )
 from tidemark.sources.dimensions import project_rows, with_subreddit_url
-from tidemark.sources.json_lines import scan_comments, scan_json, scan_submissions, select_files
+from tidemark.sources.json_lines import scan_comments, scan_json
 from tidemark.sources.tables import scan_table, scan_table_partition
-from tidemark.sources.validation import check_records, invalid_records, records_folder
+from tidemark.sources.validation import check_records, records_folder
 from tidemark.streaming.ingest import ingest_new_files
 
 # Counts of the driver's tables may outgrow INT.

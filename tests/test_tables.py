@@ -100,6 +100,7 @@ def test_compaction_keeps_rows(spark, tmp_path, rows):
     assert sinks.compact_partition(spark, str(path), DOWNLOADS, D1) == 1
     assert len(files()) == 1
     assert rows(scan_table(spark, str(path), DOWNLOADS)) == before
+    assert sinks.compact_partition(spark, str(path), DOWNLOADS, D1) == 0
     assert sinks.compact_partition(spark, str(path), DOWNLOADS, D3) == 0
 
 

@@ -23,12 +23,13 @@ def create_table(spark: SparkSession, path: str, table: Table) -> None:
         (empty.partitionBy(table.partition) if table.partition else empty).parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, table: Table) -> None:
+def overwrite_partitions(df: DataFrame, path: str, table: Table, *, gather: bool = True) -> None:
     """Replace exactly the partitions that occur in the new rows; no rows, no
     change. Rows are gathered by partition first, so a partition gets few
-    files however many tasks its rows come from."""
-    rows = repartition_by(laid_out(df, table), table.partition)
-    _write_partitions(rows, path, table)
+    files however many tasks its rows come from. Rows of a single partition
+    need no such shuffle: pass ``gather=False`` for them."""
+    rows = laid_out(df, table)
+    _write_partitions(repartition_by(rows, table.partition) if gather else rows, path, table)
 
 
 def _write_partitions(rows: DataFrame, path: str, table: Table) -> None:
@@ -87,12 +88,12 @@ def compact_partition(
     target_bytes: int = TARGET_FILE_BYTES,
 ) -> int:
     """Merge one partition's small files into files near a target size, without
-    a shuffle. Returns how many files were asked for; 0 if there was nothing."""
+    a shuffle. Returns how many files it wrote; 0 if they were few already."""
     day = parse_day(value).isoformat()
-    size = storage.size_in_bytes(spark, storage.partition_dir(path, table.partition, day))
-    if size == 0:
+    folder = storage.partition_dir(path, table.partition, day)
+    files = -(-storage.size_in_bytes(spark, folder) // target_bytes)
+    if len(storage.glob(spark, f"{folder}/part-*")) <= files:
         return 0
-    files = -(-size // target_bytes)
     rows = read_partitions(spark, path, table, [day])
     _write_partitions(rows.coalesce(files), path, table)
     return files

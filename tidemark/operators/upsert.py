@@ -156,7 +156,7 @@ def _merge(
     merged = _updated(touched, batch, keys, table).unionByName(
         inserted.select(*table.schema.names)
     )
-    overwrite_partitions(merged, path, table)
+    overwrite_partitions(merged, path, table, gather=len(incoming) + len(leaving) > 1)
     for value in emptied:
         storage.delete_tree(spark, storage.partition_dir(path, part, value))
 

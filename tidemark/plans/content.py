@@ -91,13 +91,16 @@ def mentions_job(
     projects: Sequence[Project] = TRACKED,
     scorer: Scorer | None = None,
 ) -> None:
-    """One day's mentions and scores, overwriting that day."""
+    """One day's mentions and scores, overwriting that day. Texts are not
+    shuffled: tasks write what they scored, and small files are merged after."""
     content = union_content(
         scan_table_partition(spark, submissions_path, SUBMISSIONS, "created_date", ds),
         scan_table_partition(spark, comments_path, COMMENTS, "created_date", ds),
     )
     create_table(spark, target_path, MENTIONS)
-    overwrite_partitions(mentions_of(content, projects, scorer), target_path, MENTIONS)
+    found = mentions_of(content, projects, scorer)
+    overwrite_partitions(found, target_path, MENTIONS, gather=False)
+    compact_partition(spark, target_path, MENTIONS, ds)
 
 
 def aggregate_mentions(

@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.functions.dates import ds_add
+from tidemark.functions.dates import ds_add, parse_day
 from tidemark.operators.audit import TOLERANCE, AuditResult, audit
 from tidemark.operators.downloads import agg_daily_downloads, agg_daily_project
 from tidemark.operators.sinks import (
@@ -45,7 +45,8 @@ def ingest_downloads(
     """Aggregate raw events of a day range into a table, replacing those days.
     Nothing passes through the driver."""
     create_table(events.sparkSession, path, table)
-    overwrite_partitions(agg_daily_downloads(events, start, end, projects), path, table)
+    daily = agg_daily_downloads(events, start, end, projects)
+    overwrite_partitions(daily, path, table, gather=parse_day(end) > ds_add(start, 1))
 
 
 def audit_downloads(
