@@ -65,8 +65,9 @@ def _escaped(word: str) -> str:
 
 def _edge(word: str, char: str, *, before: bool) -> str:
     # A term that begins or ends with a separator has an optional gap at its
-    # edge; the engine's own boundary covers both readings there.
-    return _boundary(char, before=before) if word else r"\b"
+    # edge, so a boundary of either direction may follow or precede it.
+    either = f"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
+    return _boundary(char, before=before) if word else either
 
 
 def leading_words(term: str) -> list[str] | None:
