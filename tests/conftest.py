@@ -4,11 +4,16 @@ import sys
 from pathlib import Path
 
 import pytest
+from hypothesis import settings
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from tidemark.session import build_session  # noqa: E402
 
+# The same examples in every run.
+settings.register_profile("fixed", derandomize=True)
+settings.load_profile("fixed")
+
 SF = "/root/testdata/sf0.001"
 
 
