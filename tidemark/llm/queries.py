@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language, lines, mixing, near
+from tidemark.llm import bpe, language, licenses, lines, mixing, near, quality
 from tidemark.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,3 +67,16 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near.near_groups(documents(spark, sf_dir).select("doc_id", "text"))
     return groups.select("doc_id", F.col("lead_doc_id").alias("class_id"))
+
+
+@query("op2_quality_rules")
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.filtered(documents(spark, sf_dir))
+    return out.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality"
+    )
+
+
+@query("op7_license_scan")
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licensed(documents(spark, sf_dir))
