@@ -35,10 +35,10 @@ def _share(part: str, whole: str) -> Column:
 
 RULES = (
     Rule("symbols", lambda: _share("n_symbols", "word_chars") > 0.05, lambda: _share("n_symbols", "word_chars") < 0.01),
-    Rule("letters", lambda: _share("n_letters", "word_chars") < 0.88, lambda: _share("n_letters", "word_chars") >= 0.92),
+    Rule("letters_digits", lambda: _share("n_alnum", "word_chars") < 0.88, lambda: _share("n_alnum", "word_chars") >= 0.92),
     Rule("bare_marks", lambda: _share("n_marks", "n_words") > 0.1, lambda: _share("n_marks", "n_words") < 0.03),
     Rule("word_length", lambda: ~_share("word_chars", "n_words").between(2, 12), lambda: _share("word_chars", "n_words").between(3, 7)),
-    Rule("repeats", lambda: _share("n_repeat_words", "n_words") > 0.15, lambda: F.col("n_repeat_words") == 0),
+    Rule("repeats", lambda: _share("n_repeat_words", "n_words") > 0.3, lambda: F.col("n_repeat_words") == 0),
     Rule("equal_lines", lambda: _share("n_dup_lines", "n_lines") > 0.3, lambda: F.col("n_dup_lines") == 0),
     Rule("variety", lambda: _share("n_distinct", "n_words") < 0.3, lambda: _share("n_distinct", "n_words") >= 0.6),
     Rule("length", lambda: F.col("n_words") < 20, lambda: F.col("n_words") >= 60),
@@ -105,7 +105,7 @@ def measured(docs: DataFrame, *names: str) -> DataFrame:
             F.size("__lines").cast("long").alias("n_lines"),
             (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
             repeated_words(F.col("__hashes")).alias("n_repeat_words"),
-            F.length(F.regexp_replace(text, r"\P{L}+", "")).cast("long").alias("n_letters"),
+            F.length(F.regexp_replace(text, r"[^\p{L}\p{N}]+", "")).cast("long").alias("n_alnum"),
             F.regexp_count(text, F.lit(r"(?<![^\x20\x09-\x0D])[^\p{L}\p{N}\x20\x09-\x0D]+(?![^\x20\x09-\x0D])"))
             .cast("long")
             .alias("n_marks"),
@@ -115,21 +115,23 @@ def measured(docs: DataFrame, *names: str) -> DataFrame:
 
 
 def learn_accuracies(patterns: DataFrame, n_rules: int, rounds: int = ROUNDS) -> DataFrame:
-    """One row (prior, accuracy) from (votes, n): the share of good documents,
-    and how often each rule is right when it votes, by expectation-maximisation.
+    """One row (prior, on_good, on_bad) from (votes, n): the share of good
+    documents, and for each rule how often it is right when it votes on a good
+    and on a bad one, by expectation-maximisation.
 
     Nothing is labelled. Given the accuracies, Bayes' rule tells for each
     pattern of votes how probably it is good; given those, accuracies and prior
-    are weighted shares. It starts from rules that are right four times in five.
-    Accuracies stay within 0.55 and 0.99, so that good remains good, and the
-    prior within 0.05 and 0.95. There are 3^rules patterns at most, so that
-    all of this is one small row whatever the number of documents.
+    are weighted shares. Two accuracies for each rule are needed: a rule that
+    nearly always votes good is nearly always right on good documents, and
+    still tells nothing. It starts from rules that are right four times in
+    five. No rule is taken to be worse than chance, so that good remains good.
+    There are 3^rules patterns at most, so that all of this is one small row
+    whatever the number of documents.
     """
     one = patterns.agg(F.sort_array(F.collect_list(F.struct("votes", F.col("n").cast("double").alias("n")))).alias("p"))
     every = F.sequence(F.lit(0), F.lit(n_rules - 1))
-    start = F.struct(
-        F.lit(0.8).alias("prior"), F.array(*[F.lit(0.8)] * n_rules).alias("accuracy")
-    )
+    four_in_five = F.array(*[F.lit(0.8)] * n_rules)
+    start = F.struct(F.lit(0.8).alias("prior"), four_in_five.alias("on_good"), four_in_five.alias("on_bad"))
 
     def step(model: Column, _: Column) -> Column:
         judged = F.transform(
@@ -138,24 +140,22 @@ def learn_accuracies(patterns: DataFrame, n_rules: int, rounds: int = ROUNDS) ->
         )
         return _let(judged, shares)
 
+    def right(judged: Column, j: Column, vote: int, weight: Callable[[Column], Column]) -> Column:
+        voted = _sum(judged, lambda p: weight(p) * F.abs(F.get(p["votes"], j)))
+        agreed = _sum(judged, lambda p: F.when(F.get(p["votes"], j) == vote, weight(p)).otherwise(0.0))
+        return _within(agreed, voted, 0.001, 0.999, 0.8)
+
     def shares(judged: Column) -> Column:
-        total = _sum(judged, lambda p: p["n"])
-        good = _sum(judged, lambda p: p["n"] * p["good"])
-        accuracy = F.transform(
-            every,
-            lambda j: _within(
-                _sum(
-                    judged,
-                    lambda p: p["n"]
-                    * F.when(F.get(p["votes"], j) == 1, p["good"]).when(F.get(p["votes"], j) == -1, 1 - p["good"]).otherwise(0.0),
-                ),
-                _sum(judged, lambda p: p["n"] * F.abs(F.get(p["votes"], j))),
-                0.55,
-                0.99,
-                0.8,
-            ),
+        on_good = F.transform(every, lambda j: right(judged, j, 1, lambda p: p["n"] * p["good"]))
+        on_bad = F.transform(every, lambda j: right(judged, j, -1, lambda p: p["n"] * (1 - p["good"])))
+        prior = _within(
+            _sum(judged, lambda p: p["n"] * p["good"]), _sum(judged, lambda p: p["n"]), 0.01, 0.99, 0.8
+        )
+        return F.struct(
+            prior.alias("prior"),
+            on_good.alias("on_good"),
+            F.zip_with(on_good, on_bad, lambda g, b: F.greatest(b, 1 - g)).alias("on_bad"),
         )
-        return F.struct(_within(good, total, 0.05, 0.95, 0.8).alias("prior"), accuracy.alias("accuracy"))
 
     model = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step)
     return one.select(model.alias("model")).select("model.*")
@@ -173,10 +173,14 @@ def _within(part: Column, whole: Column, low: float, high: float, otherwise: flo
 def posterior(model: Column, votes: Column) -> Column:
     """How probably a document with these votes is good. An abstaining rule
     says nothing."""
-    logit = lambda x: F.log(x / (1 - x))
+
+    def evidence(right: Column, vote: Column) -> Column:
+        good, bad = right["on_good"], right["on_bad"]
+        return F.when(vote == 1, F.log(good / (1 - bad))).when(vote == -1, F.log((1 - good) / bad)).otherwise(0.0)
+
     odds = F.aggregate(
-        F.zip_with(model["accuracy"], votes, lambda a, v: v * logit(a)),
-        logit(model["prior"]),
+        F.zip_with(F.arrays_zip(model["on_good"].alias("on_good"), model["on_bad"].alias("on_bad")), votes, evidence),
+        F.log(model["prior"] / (1 - model["prior"])),
         lambda total, x: total + x,
     )
     return 1 / (1 + F.exp(-odds))
@@ -191,10 +195,11 @@ def judged(docs: DataFrame, names: tuple[str, ...], rules: tuple[Rule, ...] = RU
     )
     patterns = saved(rows.groupBy("votes").agg(F.count("*").alias("n")), "patterns")
     model = saved(learn_accuracies(patterns, len(rules)), "accuracies")
-    (learned,) = model.collect() or [None]
+    # One row of constants.
+    learned = model.first()
     known = F.struct(
         F.lit(learned["prior"]).alias("prior"),
-        F.array(*[F.lit(a) for a in learned["accuracy"]]).alias("accuracy"),
+        *[F.array(*[F.lit(x) for x in learned[c]]).alias(c) for c in ("on_good", "on_bad")],
     )
     return rows.withColumn("quality", posterior(known, F.col("votes")))
 
