@@ -13,7 +13,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 ORDER = 3
 # The bound on what is learned from: texts of a language, and their bytes.
-TRAIN_TEXTS = 2000
+TRAIN_TEXTS = 1000
 TRAIN_BYTES = 1_000_000
 UNDETERMINED = "und"
 # Mean bits a byte above which a text is in none of the learned languages.
