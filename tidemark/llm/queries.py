@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language, licenses, lines, mixing, near, quality, tokens
+from tidemark.llm import bpe, fingerprints, language, licenses, lines, mixing, near, quality, tokens
 from tidemark.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +86,8 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return tokens.token_table(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op3_fingerprints")
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprinted(documents(spark, sf_dir))
