@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fingerprints, language, licenses, lines, mixing, near, quality, tokens
+from tidemark.llm import bpe, fingerprints, language, licenses, lines, mixing, near, quality, repeats, tokens
 from tidemark.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,3 +91,15 @@ def op10_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_fingerprints")
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprinted(documents(spark, sf_dir))
+
+
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.without_repeats(documents(spark, sf_dir))
+    return out.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
