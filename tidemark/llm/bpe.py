@@ -99,11 +99,9 @@ def encode_distinct(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> D
     ids = joined.groupBy("key").agg(
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pos", "piece_ids"))), lambda x: x["piece_ids"])).alias("ids")
     )
-    return (
-        docs.withColumn("__key", F.xxhash64("text"))
-        .join(ids.withColumnRenamed("key", "__key"), "__key", "left")
-        .select(*[c for c in docs.columns if c != "ids"], F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
-    )
+    rows = docs.drop("ids").withColumn("__key", F.xxhash64("text"))
+    joined = rows.join(ids.withColumnRenamed("key", "__key"), "__key", "left").drop("__key")
+    return joined.withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
 
 
 def _joined(ids: Column, by_id: list[bytes]) -> Column:

@@ -92,36 +92,65 @@ def linked_groups(
     keys: DataFrame,
     contents: Callable[[DataFrame], DataFrame],
     verify: Callable[[DataFrame, DataFrame], DataFrame],
+    plausible: Callable[[str, str], Column],
+    rounds: int = 2,
 ) -> DataFrame:
     """(node, root) of the groups that verified links make among rows that
-    share a bucket. ``keys`` is (bucket, id); ``contents`` gives what is to be
-    compared for a table of ids; ``verify`` takes candidate pairs (a, b), each
-    once, with those contents, and returns the pairs that hold.
-
-    First every row is held against the smallest id of its bucket, which is
-    linear in the rows. Rows that are then connected need no further
-    comparison; only buckets that still hold several groups are compared
-    between groups. So no link between groups is lost, and a bucket full of
-    copies of one thing never becomes all of its pairs.
+    share a bucket. ``keys`` is (bucket, id, sketch); ``plausible`` tells from
+    two sketches, by the names of their columns, whether a link is possible;
+    ``contents`` gives what is to be compared for a table of ids; ``verify``
+    takes candidate pairs (a, b), each once, with those contents, and returns
+    the pairs that hold.
+
+    In each round a bucket picks one row by hash, and every row of another group
+    is held against it, which is linear in the rows. The picks of a row's
+    buckets differ, so that even in a family whose members are not all similar
+    nearly all are soon connected. Rows that are connected need no further
+    comparison; what then still differs within a bucket is compared pair by
+    pair, between groups only. So no link between groups is lost, and a bucket
+    full of copies of one thing never becomes all of its pairs.
     """
     shared = (
         keys.groupBy("bucket")
-        .agg(F.min("id").alias("lead"), F.max("id").alias("last"))
-        .where(F.col("lead") != F.col("last"))
-        .select("bucket", "lead")
+        .agg(F.min("id").alias("low"), F.max("id").alias("high"))
+        .where(F.col("low") != F.col("high"))
+        .select("bucket")
     )
-    members = saved(keys.join(shared, "bucket").distinct(), "members")
+    members = saved(keys.join(shared, "bucket").dropDuplicates(["bucket", "id"]), "members")
     payload = saved(contents(members.select("id").distinct()), "contents")
-    stars = saved(
-        members.where(F.col("id") != F.col("lead"))
-        .select(F.col("lead").alias("a"), F.col("id").alias("b"))
-        .distinct(),
-        "stars",
-    )
-    roots = saved(components(saved(verify(stars, payload), "star-links")), "roots")
-    placed = members.join(roots, members["id"] == roots["node"], "left").select(
-        "bucket", "id", F.coalesce("root", "id").alias("root")
-    )
+    placed = members.withColumn("root", F.col("id"))
+    tested = links = None
+    for number in range(rounds):
+        ranked = placed.withColumn("h", F.xxhash64(F.lit(number), "bucket", "id"))
+        leads = (
+            ranked.groupBy("bucket")
+            .agg(
+                F.min_by("id", "h").alias("lead"),
+                F.min_by("root", "h").alias("lead_root"),
+                F.min_by("sketch", "h").alias("lead_sketch"),
+                F.min("root").alias("low"),
+                F.max("root").alias("high"),
+            )
+            .where(F.col("low") != F.col("high"))
+            .select("bucket", "lead", "lead_root", "lead_sketch")
+        )
+        pairs = (
+            placed.join(leads, "bucket")
+            .where((F.col("root") != F.col("lead_root")) & plausible("sketch", "lead_sketch"))
+            .select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
+            .distinct()
+        )
+        stars = saved(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "stars")
+        found = saved(verify(stars, payload), "star-links")
+        tested = stars if tested is None else tested.unionByName(stars)
+        links = found if links is None else links.unionByName(found)
+        roots = saved(components(links), "roots")
+        placed = saved(
+            members.join(roots, members["id"] == roots["node"], "left").select(
+                "bucket", "id", "sketch", F.coalesce("root", "id").alias("root")
+            ),
+            "placed",
+        )
     mixed = (
         placed.groupBy("bucket")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"))
@@ -129,14 +158,14 @@ def linked_groups(
         .select("bucket")
     )
     several = saved(placed.join(mixed, "bucket"), "several")
-    left = several.toDF("bucket", "left", "left_root")
-    right = several.toDF("bucket", "right", "right_root")
+    left = several.toDF("bucket", "left", "left_sketch", "left_root")
+    right = several.toDF("bucket", "right", "right_sketch", "right_root")
     rest = (
         left.join(right, "bucket")
-        .where(F.col("left_root") < F.col("right_root"))
+        .where((F.col("left_root") < F.col("right_root")) & plausible("left_sketch", "right_sketch"))
         .select(F.least("left", "right").alias("a"), F.greatest("left", "right").alias("b"))
         .distinct()
-        .join(stars, ["a", "b"], "left_anti")
+        .join(tested, ["a", "b"], "left_anti")
     )
     more = verify(saved(rest, "rest"), payload)
     # Roots stand for their groups: only the new links have to be followed.

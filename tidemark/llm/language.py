@@ -105,7 +105,7 @@ def learn(texts: dict[str, list[str]], order: int = ORDER) -> Model:
         for lang in langs:
             keys = [_grams(x, order, length, size) for x in padded[lang]]
             grams[lang] = np.unique(np.concatenate([np.zeros(0, np.int64), *keys]), return_counts=True)
-        known = np.unique(np.concatenate([g // size for g, _ in grams.values()]))
+        known = np.unique(np.concatenate([np.zeros(0, np.int64), *(g // size for g, _ in grams.values())]))
         # The context without its first symbol is known at the length below.
         below = state[known % size ** (length - 1)] if length else np.zeros(len(known), np.int32)
         fresh = bits[below].copy()
@@ -191,7 +191,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         frozen = Model(*shared.value)
         for batch in batches:
             lettered = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
-            bits, sizes = score_texts(frozen, batch.column(names.index("text")))
+            texts = batch.column(names.index("text"))
+            bits, sizes = score_texts(frozen, texts) if frozen.langs else (None, np.zeros(len(texts)))
             label, score, mean = _decide(frozen.langs, bits, sizes, lettered.astype(bool))
             columns = [*batch.columns[:-1], pa.array(label, pa.string()), pa.array(score), mean]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)

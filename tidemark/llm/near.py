@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import linked_groups, saved, words
@@ -16,6 +16,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 16
 ROWS = 4
+# Pairs of which fewer samples agree are not compared. A pair at 0.8 has a chance
+# of about 1 in 100,000 to be among them.
+PLAUSIBLE = 0.6
 # Shingles are counted, as in Spark's HashingTF, by hash.
 FEATURES = 1 << 16
 # Variates of a sample; shingles choose theirs by hash.
@@ -23,6 +26,8 @@ _POOL = 1 << 16
 # Weights are sampled on a grid of this step in their logarithm.
 _STEP = 0.1
 _CHUNK = 1 << 18
+# Words that are worked on at a time; a longer text is worked on by itself.
+_WORDS = 1 << 20
 _ODD = 0x9E3779B97F4A7C15
 
 
@@ -77,6 +82,20 @@ def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return values[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def _slices(*offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Rows that are worked on together."""
+    total = np.sum(offsets, axis=0)
+    at, n = 0, len(total) - 1
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(total, total[at] + _WORDS, "right")) - 1)
+        yield at, min(to, n)
+        at = to
+
+
+def _part(values: np.ndarray, offsets: np.ndarray, at: int, to: int) -> tuple[np.ndarray, np.ndarray]:
+    return values[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
+
+
 def hashed_words(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(*names, F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("words"))
 
@@ -90,10 +109,11 @@ def document_counts(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
         seen = np.zeros(FEATURES + 1, np.int64)
         for batch in batches:
             values, offsets = _flat(batch.column(0))
-            found = shingle(values, offsets, size)
-            cell = np.unique(found.text * FEATURES + (found.hash >> np.uint64(48)).astype(np.int64))
-            seen[:FEATURES] += np.bincount(cell % FEATURES, minlength=FEATURES)
-            seen[FEATURES] += len(np.unique(found.text))
+            for at, to in _slices(offsets):
+                found = shingle(*_part(values, offsets, at, to), size)
+                cell = np.unique(found.text * FEATURES + (found.hash >> np.uint64(48)).astype(np.int64))
+                seen[:FEATURES] += np.bincount(cell % FEATURES, minlength=FEATURES)
+                seen[FEATURES] += len(np.unique(found.text))
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], names=["cell", "n"])
 
@@ -190,32 +210,57 @@ def _content(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, idf: np.ndarray, size: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, doc, content, bands): the row's key, a hash of its words (NULL
-    if it has none), and its band keys."""
+    """(doc_id, doc, content, bands, sketch): the row's key, a hash of its words
+    (NULL if it has none), its band keys, and a byte of each sample."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(bands * rows)
         for batch in batches:
             values, offsets = _flat(batch.column(2))
-            found = shingle(values, offsets, size)
-            samples = sampler.sample(found, log_weights(found, shared.value), batch.num_rows)
-            keys = band_keys(samples, rows).view(np.int64)
-            content = _content(values, offsets).view(np.int64)
-            empty = np.diff(offsets) == 0
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32)), pa.array(keys.ravel())
-            )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(content, mask=empty), lists],
-                names=["doc_id", "doc", "content", "bands"],
-            )
+            for at, to in _slices(offsets):
+                own, cuts = _part(values, offsets, at, to)
+                found = shingle(own, cuts, size)
+                samples = sampler.sample(found, log_weights(found, shared.value), to - at)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0)[at:to],
+                        batch.column(1)[at:to],
+                        pa.array(_content(own, cuts).view(np.int64), mask=np.diff(cuts) == 0),
+                        _lists(band_keys(samples, rows).view(np.int64)),
+                        _lists(sketch(samples)),
+                    ],
+                    names=["doc_id", "doc", "content", "bands", "sketch"],
+                )
 
     keyed = docs.withColumn("doc", F.xxhash64("doc_id", "text"))
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, doc long, content long, bands array<long>"
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, doc long, content long, bands array<long>, sketch array<long>"
     return hashed_words(keyed, "doc_id", "doc").mapInArrow(sign, schema)
 
 
+def _lists(table: np.ndarray) -> pa.ListArray:
+    ends = np.arange(0, table.size + 1, table.shape[1], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.ascontiguousarray(table).ravel()))
+
+
+def sketch(samples: np.ndarray) -> np.ndarray:
+    """A byte of each sample, eight to a long."""
+    low = _mix(samples).astype(np.uint8)
+    pad = -low.shape[1] % 8
+    return np.ascontiguousarray(np.pad(low, ((0, 0), (0, pad)))).view(np.int64)
+
+
+def agreeing(a: str, b: str, samples: int) -> Column:
+    """How many samples of two sketches are equal, but for chance."""
+    different = F.lit(0)
+    for k in range(-(-samples // 8)):
+        x = F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))
+        for shift in (4, 2, 1):
+            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
+        different = different + F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+    return F.lit(samples) - different
+
+
 def weighted_jaccard(left: Shingled, right: Shingled, idf: np.ndarray, n_pairs: int) -> np.ndarray:
     """Sum of lesser over sum of greater weights, pair by pair; TF times IDF."""
     a, b = np.exp(log_weights(left, idf)), np.exp(log_weights(right, idf))
@@ -257,10 +302,10 @@ def near_groups(
     classes = saved(
         signed.where(F.col("content").isNotNull())
         .groupBy("content")
-        .agg(F.min(order).alias("lead"), F.first("bands").alias("bands")),
+        .agg(F.min(order).alias("lead"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")),
         "classes",
     )
-    keys = classes.select(F.explode("bands").alias("bucket"), F.col("content").alias("id"))
+    keys = classes.select(F.explode("bands").alias("bucket"), F.col("content").alias("id"), "sketch")
 
     def texts(ids: DataFrame) -> DataFrame:
         wanted = classes.join(ids, classes["content"] == ids["id"], "left_semi").select(
@@ -277,16 +322,20 @@ def near_groups(
 
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (shingle(*_flat(batch.column(k)), size) for k in (2, 3))
-            ok = weighted_jaccard(left, right, shared.value, batch.num_rows) >= similarity
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok))
+            pairs = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"])
+            left, right = _flat(batch.column(2)), _flat(batch.column(3))
+            for at, to in _slices(left[1], right[1]):
+                both = (shingle(*_part(*side, at, to), size) for side in (left, right))
+                ok = weighted_jaccard(*both, shared.value, to - at) >= similarity
+                yield pairs[at:to].filter(pa.array(ok))
 
     def verify(pairs: DataFrame, payload: DataFrame) -> DataFrame:
         hashes = lambda c: F.transform(words(F.col(c)), lambda w: F.xxhash64(w))
         both = pairs.join(payload.toDF("a", "x"), "a").join(payload.toDF("b", "y"), "b")
         return both.select("a", "b", hashes("x").alias("x"), hashes("y").alias("y")).mapInArrow(hold, "a long, b long")
 
-    roots = saved(linked_groups(keys, texts, verify), "near-roots")
+    plausible = lambda a, b: agreeing(a, b, bands * rows) >= PLAUSIBLE * bands * rows
+    roots = saved(linked_groups(keys, texts, verify, plausible), "near-roots")
     rooted = classes.join(roots, classes["content"] == roots["node"], "left").select(
         "content", "lead", F.coalesce("root", "content").alias("root")
     )

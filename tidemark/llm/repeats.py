@@ -17,7 +17,6 @@ LENGTH = 200
 ANCHOR = 50
 # A group of more contexts than this is split by what it shares.
 LARGE = 4096
-_SPLIT = 25
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _RUN = 1 << 20
 _OCCURRENCE, _PARTNER, _EDGE = 1, 2, 3
@@ -302,7 +301,7 @@ def occurrences(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, large
 
     Anchors with equal contexts are combined in each task before the shuffle.
     An anchor with very many different contexts is split: two that share a
-    passage also share 175 bytes that start at one of seven places.
+    passage also share seven eighths of its bytes, from one of a few places on.
     """
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("doc"), "text")
     found = keyed.mapInArrow(_find(length, size), _ROWS)
@@ -319,6 +318,8 @@ def occurrences(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, large
     )
     wanted = keyed.join(by_doc, "doc")
 
+    step = max(1, length // 8)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["route", "doc", "at", "left", "raw"]
         for batch in batches:
@@ -331,15 +332,15 @@ def occurrences(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, large
                     if not p["many"]:
                         rows.append((p["group"], doc, at, left, raw))
                         continue
-                    for j in range(0, length - size + 1, _SPLIT):
-                        key = raw[left - j : left + max(size, length - _SPLIT - j)] if j <= left else b""
-                        if len(key) >= length - _SPLIT:
+                    for j in range(0, min(left, length - size) + 1, step):
+                        after = max(size, length - step - j)
+                        key = raw[left - j : left + after]
+                        if len(key) == j + after:
                             data_key = np.frombuffer(key, np.uint8)
                             route = _Hashes(data_key, _BASES[1]).of(np.zeros(1, np.int64), np.full(1, len(key)))
                             rows.append((int((route + np.uint64(j)).view(np.int64)[0]), doc, at, left, raw))
-            step = 1 << 14
-            for a in range(0, len(rows), step):
-                columns = zip(*rows[a : a + step], strict=True)
+            for a in range(0, len(rows), 1 << 14):
+                columns = zip(*rows[a : a + (1 << 14)], strict=True)
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
