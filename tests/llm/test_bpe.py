@@ -39,13 +39,14 @@ def test_equals_library(spark, docs, ranks, library):
 
 def test_folded_merges_equal_library(spark, ranks, library):
     rows = spark.createDataFrame(list(enumerate(WORDS)), "doc_id long, text string")
-    out = bpe.encode_distinct(rows, ranks, public_tokenizers.PATTERN).collect()
-    assert {r.doc_id: list(r.ids) for r in out} == {i: library.encode_ordinary(t) for i, t in enumerate(WORDS)}
+    for size in (3, 100):
+        out = bpe.encode(rows, ranks, public_tokenizers.PATTERN, size).collect()
+        assert {r.doc_id: list(r.ids) for r in out} == {i: library.encode_ordinary(t) for i, t in enumerate(WORDS)}
 
 
 def test_edge_rows(edges, nothing, ranks, library):
-    out = bpe.with_ids(edges.where("doc_id IS NULL OR doc_id != 10"), ranks, public_tokenizers.PATTERN).collect()
-    assert len(out) == len(EDGES) - 1
+    out = bpe.with_ids(edges, ranks, public_tokenizers.PATTERN).collect()
+    assert len(out) == len(EDGES)
     for r in out:
         assert r.round_trip and list(r.ids) == library.encode_ordinary(r.text or "") and r.n_tokens == len(r.ids)
         assert r.doc == "own doc"

@@ -52,6 +52,15 @@ def test_cut_off_file_is_refused():
         tokens.Reader(io.BytesIO(sink.getvalue()[:-1]))
 
 
+def test_words_beyond_the_kept_ones(monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 2)
+    library = Tokenizer.from_file(FILE)
+    encoder = tokens.WordEncoder(library.to_str())
+    for texts in ([["a", " b", " c"]], [[" d", " e", "a", " f"], []], [[" e", " g", "zz"]]):
+        want = [np.array([i for w in t for i in library.encode(w).ids], "<u4").tobytes() + b"END!" for t in texts]
+        assert encoder.encode(texts, b"END!") == want
+
+
 def plain(rows):
     tokenizer = Tokenizer.from_file(FILE)
     tokenizer.encode_special_tokens = True
@@ -70,12 +79,12 @@ def key(row):
 
 @pytest.mark.parametrize("partitions", [None, 5])
 def test_equals_library(docs, texts, partitions):
-    got = tokens.token_table(docs, FILE, partitions=partitions).collect()
+    got = tokens.token_table(docs, FILE, public_tokenizers.PATTERN, partitions=partitions).collect()
     assert sorted(map(tuple, got)) == plain(texts.items())
 
 
 def test_edge_rows(edges, nothing, tmp_path):
-    got = tokens.token_table(edges, FILE, folder=str(tmp_path / "new"), partitions=3).collect()
+    got = tokens.token_table(edges, FILE, public_tokenizers.PATTERN, folder=str(tmp_path / "new"), partitions=3).collect()
     assert sorted(map(tuple, got), key=key) == sorted(plain([r[:2] for r in EDGES]), key=key)
     assert list((tmp_path / "new").glob("*.planes"))
-    assert tokens.token_table(nothing, FILE).collect() == []
+    assert tokens.token_table(nothing, FILE, public_tokenizers.PATTERN).collect() == []

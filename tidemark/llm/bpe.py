@@ -14,6 +14,8 @@ from tidemark.llm.common import saved
 # Java's form of the pattern: white space as Unicode defines it.
 JAVA_FLAGS = "(?U)"
 _BUCKETS = 1 << 16
+# The most frequent words, which are folded once and then looked up.
+DICTIONARY = 1 << 16
 _NEVER = (1 << 31) - 1
 
 
@@ -24,19 +26,27 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in pairs}
 
 
+def _literal(entries: dict[str, object], value: str) -> Column:
+    """A map as a literal. Spark looks a key up in a map by going through it, so
+    the map is cut into buckets by the key's hash."""
+    buckets: list[dict[str, object]] = [{} for _ in range(_BUCKETS)]
+    for key, found in entries.items():
+        buckets[xxhash.xxh64_intdigest(key.encode(), seed=42) % _BUCKETS][key] = found
+    return F.from_json(F.lit(json.dumps(buckets)), f"array<map<string,{value}>>")
+
+
+def _find(table: Column, key: Column) -> Column:
+    bucket = F.xxhash64(key).bitwiseAND(F.lit(_BUCKETS - 1)).cast("int")
+    return F.try_element_at(F.get(table, bucket), key)
+
+
 def rank_map(ranks: dict[bytes, int]) -> Column:
-    """The ranks as a literal. Spark looks a key up in a map by going through
-    it, so the map is cut into buckets by the key's hash. Keys are hex."""
-    buckets: list[dict[str, int]] = [{} for _ in range(_BUCKETS)]
-    for piece, rank in ranks.items():
-        key = piece.hex().upper()
-        buckets[xxhash.xxh64_intdigest(key, seed=42) % _BUCKETS][key] = rank
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
+    """The ranks as a literal map; keys are the pieces in hex."""
+    return _literal({piece.hex().upper(): rank for piece, rank in ranks.items()}, "int")
 
 
 def _rank(table: Column, piece: Column) -> Column:
-    bucket = F.xxhash64(piece).bitwiseAND(F.lit(_BUCKETS - 1)).cast("int")
-    return F.coalesce(F.try_element_at(F.get(table, bucket), piece), F.lit(_NEVER))
+    return F.coalesce(_find(table, piece), F.lit(_NEVER))
 
 
 def _let(value: Column, body) -> Column:
@@ -84,24 +94,45 @@ def encode_word(table: Column, word: Column) -> Column:
     )
 
 
-def encode_distinct(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """The documents with ``ids``: array of token ids of the whole text (NULL
-    text: empty). Every distinct match of the pattern is encoded once, and
-    joined to its places."""
-    table = rank_map(ranks)
-    matches = F.regexp_extract_all("text", F.lit(JAVA_FLAGS + pattern), F.lit(0))
-    texts = docs.where(F.length("text") > 0).select(F.xxhash64("text").alias("key"), "text").distinct()
-    places = texts.select("key", F.posexplode(matches).alias("pos", "word"))
-    known = saved(places.select("word").distinct(), "words").select(
-        "word", encode_word(table, F.hex(F.col("word").cast("binary"))).alias("piece_ids")
-    )
-    joined = places.join(saved(known, "word-ids"), "word")
-    ids = joined.groupBy("key").agg(
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pos", "piece_ids"))), lambda x: x["piece_ids"])).alias("ids")
-    )
-    rows = docs.drop("ids").withColumn("__key", F.xxhash64("text"))
-    joined = rows.join(ids.withColumnRenamed("key", "__key"), "__key", "left").drop("__key")
-    return joined.withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
+def matches(pattern: str) -> Column:
+    """The words of ``text``, none for NULL."""
+    found = F.regexp_extract_all("text", F.lit(JAVA_FLAGS + pattern), F.lit(0))
+    return F.coalesce(found, F.array().cast("array<string>"))
+
+
+def frequent_words(docs: DataFrame, ranks: dict[bytes, int], pattern: str, size: int = DICTIONARY) -> Column:
+    """The ids of the ``size`` most frequent distinct words of all documents,
+    folded once each, as a literal map. A bounded number of words reaches the
+    driver; how many changes the work, not the ids."""
+    words = docs.select(F.explode(matches(pattern)).alias("word"))
+    top = saved(words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(size), "words")
+    folded = top.repartition("word").select("word", _let(rank_map(ranks), lambda t: encode_word(t, _hex("word"))).alias("ids"))
+    return _literal({r.word: list(r.ids) for r in folded.collect()}, "array<int>")
+
+
+def _hex(word: str | Column) -> Column:
+    return F.hex((F.col(word) if isinstance(word, str) else word).cast("binary"))
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, size: int = DICTIONARY) -> DataFrame:
+    """The documents with ``ids``: array of token ids of the whole text, empty
+    for a NULL or empty one.
+
+    A text's words are the matches of the pattern. The ids of frequent distinct
+    words are looked up, those of the others folded in place: nothing but the
+    counts of words is shuffled, and texts stay where they are.
+    """
+    known = frequent_words(docs.select("text"), ranks, pattern, size)
+    words = F.col("__words")
+
+    def ids(ranked: Column, looked: Column) -> Column:
+        return F.flatten(
+            F.transform(words, lambda w: F.coalesce(_find(looked, w), encode_word(ranked, _hex(w))))
+        )
+
+    # Both literals stand in the plan once.
+    both = _let(rank_map(ranks), lambda ranked: _let(known, lambda looked: ids(ranked, looked)))
+    return docs.drop("ids").withColumn("__words", matches(pattern)).withColumn("ids", both).drop("__words")
 
 
 def _joined(ids: Column, by_id: list[bytes]) -> Column:
@@ -126,6 +157,6 @@ def little_endian(ids: Column, n_ids: int) -> Column:
 def with_ids(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """The documents with ``ids``, ``n_tokens`` and ``round_trip``: whether the
     ids decode to the bytes of the text (NULL text: as empty)."""
-    out = encode_distinct(docs.drop("n_tokens", "round_trip"), ranks, pattern)
+    out = encode(docs.drop("n_tokens", "round_trip"), ranks, pattern)
     same = decode(F.col("ids"), ranks) == F.coalesce("text", F.lit("")).cast("binary")
     return out.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("round_trip", same)

@@ -96,11 +96,11 @@ def linked_groups(
     rounds: int = 2,
 ) -> DataFrame:
     """(node, root) of the groups that verified links make among rows that
-    share a bucket. ``keys`` is (bucket, id, sketch); ``plausible`` tells from
+    share a bucket. ``keys`` is (bucket, id). ``contents`` gives what is to be
+    compared for a table of ids, and a sketch of it; ``plausible`` tells from
     two sketches, by the names of their columns, whether a link is possible;
-    ``contents`` gives what is to be compared for a table of ids; ``verify``
-    takes candidate pairs (a, b), each once, with those contents, and returns
-    the pairs that hold.
+    ``verify`` takes candidate pairs (a, b), each once, with the contents, and
+    returns the pairs that hold.
 
     In each round a bucket picks one row by hash, and every row of another group
     is held against it, which is linear in the rows. The picks of a row's
@@ -116,8 +116,9 @@ def linked_groups(
         .where(F.col("low") != F.col("high"))
         .select("bucket")
     )
-    members = saved(keys.join(shared, "bucket").dropDuplicates(["bucket", "id"]), "members")
+    members = saved(keys.join(shared, "bucket").distinct(), "members")
     payload = saved(contents(members.select("id").distinct()), "contents")
+    sketches = payload.select("id", "sketch")
     placed = members.withColumn("root", F.col("id"))
     tested = links = None
     for number in range(rounds):
@@ -127,15 +128,16 @@ def linked_groups(
             .agg(
                 F.min_by("id", "h").alias("lead"),
                 F.min_by("root", "h").alias("lead_root"),
-                F.min_by("sketch", "h").alias("lead_sketch"),
                 F.min("root").alias("low"),
                 F.max("root").alias("high"),
             )
             .where(F.col("low") != F.col("high"))
-            .select("bucket", "lead", "lead_root", "lead_sketch")
+            .select("bucket", "lead", "lead_root")
+            .join(sketches.toDF("lead", "lead_sketch"), "lead")
         )
         pairs = (
-            placed.join(leads, "bucket")
+            placed.join(sketches, "id")
+            .join(leads, "bucket")
             .where((F.col("root") != F.col("lead_root")) & plausible("sketch", "lead_sketch"))
             .select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
             .distinct()
@@ -147,7 +149,7 @@ def linked_groups(
         roots = saved(components(links), "roots")
         placed = saved(
             members.join(roots, members["id"] == roots["node"], "left").select(
-                "bucket", "id", "sketch", F.coalesce("root", "id").alias("root")
+                "bucket", "id", F.coalesce("root", "id").alias("root")
             ),
             "placed",
         )
@@ -157,9 +159,10 @@ def linked_groups(
         .where(F.col("low") != F.col("high"))
         .select("bucket")
     )
-    several = saved(placed.join(mixed, "bucket"), "several")
-    left = several.toDF("bucket", "left", "left_sketch", "left_root")
-    right = several.toDF("bucket", "right", "right_sketch", "right_root")
+    several = placed.join(mixed, "bucket").join(sketches, "id").select("bucket", "id", "root", "sketch")
+    several = saved(several, "several")
+    left = several.toDF("bucket", "left", "left_root", "left_sketch")
+    right = several.toDF("bucket", "right", "right_root", "right_sketch")
     rest = (
         left.join(right, "bucket")
         .where((F.col("left_root") < F.col("right_root")) & plausible("left_sketch", "right_sketch"))

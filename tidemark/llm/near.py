@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,9 +17,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 16
 ROWS = 4
-# Pairs of which fewer samples agree are not compared. A pair at 0.8 has a chance
-# of about 1 in 100,000 to be among them.
-PLAUSIBLE = 0.6
+# Samples of documents that have candidates. Pairs of which fewer agree than for
+# a similar pair at four standard deviations are not compared: a chance of about
+# 3 in 100,000.
+FINE = 512
 # Shingles are counted, as in Spark's HashingTF, by hash.
 FEATURES = 1 << 16
 # Variates of a sample; shingles choose theirs by hash.
@@ -210,8 +212,8 @@ def _content(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, idf: np.ndarray, size: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, doc, content, bands, sketch): the row's key, a hash of its words
-    (NULL if it has none), its band keys, and a byte of each sample."""
+    """(doc_id, doc, content, bands): the row's key, a hash of its words (NULL
+    if it has none), and its band keys."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,13 +230,12 @@ def signatures(docs: DataFrame, idf: np.ndarray, size: int, bands: int, rows: in
                         batch.column(1)[at:to],
                         pa.array(_content(own, cuts).view(np.int64), mask=np.diff(cuts) == 0),
                         _lists(band_keys(samples, rows).view(np.int64)),
-                        _lists(sketch(samples)),
                     ],
-                    names=["doc_id", "doc", "content", "bands", "sketch"],
+                    names=["doc_id", "doc", "content", "bands"],
                 )
 
     keyed = docs.withColumn("doc", F.xxhash64("doc_id", "text"))
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, doc long, content long, bands array<long>, sketch array<long>"
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, doc long, content long, bands array<long>"
     return hashed_words(keyed, "doc_id", "doc").mapInArrow(sign, schema)
 
 
@@ -245,15 +246,13 @@ def _lists(table: np.ndarray) -> pa.ListArray:
 
 def sketch(samples: np.ndarray) -> np.ndarray:
     """A byte of each sample, eight to a long."""
-    low = _mix(samples).astype(np.uint8)
-    pad = -low.shape[1] % 8
-    return np.ascontiguousarray(np.pad(low, ((0, 0), (0, pad)))).view(np.int64)
+    return np.ascontiguousarray(_mix(samples).astype(np.uint8)).view(np.int64)
 
 
 def agreeing(a: str, b: str, samples: int) -> Column:
-    """How many samples of two sketches are equal, but for chance."""
+    """How many samples of two sketches are equal, with those by chance."""
     different = F.lit(0)
-    for k in range(-(-samples // 8)):
+    for k in range(samples // 8):
         x = F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))
         for shift in (4, 2, 1):
             x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
@@ -302,24 +301,36 @@ def near_groups(
     classes = saved(
         signed.where(F.col("content").isNotNull())
         .groupBy("content")
-        .agg(F.min(order).alias("lead"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")),
+        .agg(F.min(order).alias("lead"), F.first("bands").alias("bands")),
         "classes",
     )
-    keys = classes.select(F.explode("bands").alias("bucket"), F.col("content").alias("id"), "sketch")
+    keys = classes.select(F.explode("bands").alias("bucket"), F.col("content").alias("id"))
 
     def texts(ids: DataFrame) -> DataFrame:
         wanted = classes.join(ids, classes["content"] == ids["id"], "left_semi").select(
             F.col("content").alias("id"), F.col("lead.doc").alias("doc")
         )
-        return (
+        found = (
             docs.select(F.xxhash64("doc_id", "text").alias("doc"), "text")
             .join(wanted, "doc")
             .dropDuplicates(["id"])
-            .select("id", "text")
         )
+        return hashed_words(found, "id", "text").mapInArrow(sketched, "id long, text string, sketch array<long>")
 
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sampler = Sampler(FINE, seed=10)
+        for batch in batches:
+            values, offsets = _flat(batch.column(2))
+            for at, to in _slices(offsets):
+                part = shingle(*_part(values, offsets, at, to), size)
+                samples = sampler.sample(part, log_weights(part, shared.value), to - at)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[at:to], batch.column(1)[at:to], _lists(sketch(samples))],
+                    names=["id", "text", "sketch"],
+                )
+
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pairs = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"])
@@ -331,10 +342,12 @@ def near_groups(
 
     def verify(pairs: DataFrame, payload: DataFrame) -> DataFrame:
         hashes = lambda c: F.transform(words(F.col(c)), lambda w: F.xxhash64(w))
-        both = pairs.join(payload.toDF("a", "x"), "a").join(payload.toDF("b", "y"), "b")
+        text = payload.select("id", "text")
+        both = pairs.join(text.toDF("a", "x"), "a").join(text.toDF("b", "y"), "b")
         return both.select("a", "b", hashes("x").alias("x"), hashes("y").alias("y")).mapInArrow(hold, "a long, b long")
 
-    plausible = lambda a, b: agreeing(a, b, bands * rows) >= PLAUSIBLE * bands * rows
+    least = similarity - 4 * math.sqrt(similarity * (1 - similarity) / FINE)
+    plausible = lambda a, b: agreeing(a, b, FINE) >= least * FINE
     roots = saved(linked_groups(keys, texts, verify, plausible), "near-roots")
     rooted = classes.join(roots, classes["content"] == roots["node"], "left").select(
         "content", "lead", F.coalesce("root", "content").alias("root")

@@ -44,7 +44,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_byte_bpe")
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    out = bpe.encode_distinct(documents(spark, sf_dir).select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    out = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
     return out.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -85,7 +85,7 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_planes")
 def op10_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    return tokens.token_table(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokens.token_table(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
 @query("op3_fingerprints")

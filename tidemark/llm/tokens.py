@@ -36,8 +36,9 @@ CHUNK = 1 << 16
 LEVEL = 3
 END_ID = 2
 _FOOTER = "<QQQQQ8s"
-# Bytes of text that are encoded at a time.
-_ENCODE = 4 << 20
+# Words that are encoded at a time, and that a worker keeps.
+_WORDS = 1 << 18
+KEPT_WORDS = 400_000
 
 
 def to_planes(ids: np.ndarray) -> list[bytes]:
@@ -165,23 +166,55 @@ class Reader:
             done += len(ids)
 
 
-def _batches(texts: list[str | None], limit: int = _ENCODE) -> Iterator[list[str]]:
-    group: list[str] = []
-    size = 0
-    for text in texts:
-        group.append(text or "")
-        size += len(group[-1])
-        if size >= limit:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
+class WordEncoder:
+    """Ids of texts from those of their words, the pieces that the tokenizer
+    itself encodes one by one. The library encodes each distinct word once, as
+    long as a worker keeps it; of the words it meets later it keeps none."""
+
+    def __init__(self, vocabulary: str):
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_str(vocabulary)
+        self.library.encode_special_tokens = True
+        self.kept: dict[str, bytes] = {}
+
+    def encode(self, texts: list[list[str]], end: bytes) -> list[bytes]:
+        """The ids of each text, as u32, with the end id."""
+        fresh = list({w for text in texts for w in text if w not in self.kept})
+        found = self.library.encode_batch_fast(fresh, add_special_tokens=False)
+        new = {w: np.array(x.ids, "<u4").tobytes() for w, x in zip(fresh, found, strict=True)}
+        kept, get = self.kept, self.kept.__getitem__
+        if len(kept) < KEPT_WORDS:
+            kept.update(new)
+        elif new:
+            get = lambda w: kept.get(w) or new[w]
+        return [b"".join(map(get, text)) + end for text in texts]
+
+
+_ENCODERS: dict[int, WordEncoder] = {}
+
+
+def _encoder(vocabulary: str) -> WordEncoder:
+    """The worker's own: it lives as long as the worker does."""
+    key = zlib.crc32(vocabulary.encode())
+    if key not in _ENCODERS:
+        _ENCODERS[key] = WordEncoder(vocabulary)
+    return _ENCODERS[key]
+
+
+def _slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    at, n = 0, len(offsets) - 1
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _WORDS, "right")) - 1)
+        yield at, min(to, n)
+        at = to
 
 
 def write_tokens(
     docs: DataFrame,
     tokenizer_file: str,
     folder: str,
+    pattern: str,
     end_id: int = END_ID,
     partitions: int | None = None,
 ) -> DataFrame:
@@ -195,6 +228,8 @@ def write_tokens(
     twice leaves a file that nobody reads. ``folder`` is any store that
     pyarrow's file systems reach. Texts are encoded without special tokens,
     as ordinary text; NULL is as empty, and ``end_id`` follows every document.
+    ``pattern`` is what the tokenizer splits texts by: Spark does that, and the
+    library encodes the distinct words.
     """
     with open(tokenizer_file, encoding="utf-8") as file:
         vocabulary = file.read()
@@ -203,15 +238,19 @@ def write_tokens(
     ranged = docs.select("doc_id", "text")
     ranged = (ranged.repartitionByRange(partitions, *order) if partitions else ranged.repartitionByRange(*order)).sortWithinPartitions(*order)
 
+    words = F.coalesce(
+        F.regexp_extract_all("text", F.lit("(?U)" + pattern), F.lit(0)), F.array().cast("array<string>")
+    )
+    split = ranged.select("doc_id", words.alias("words"))
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
         import uuid
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
-        tokenizer = None
+        end = int(end_id).to_bytes(4, "little")
         writer = None
         number = TaskContext.get().partitionId()
         name = f"{folder}/part-{number:06d}-{uuid.uuid4().hex}.planes"
@@ -219,31 +258,21 @@ def write_tokens(
             if not batch.num_rows:
                 continue
             if writer is None:
-                tokenizer = Tokenizer.from_str(shared.value)
-                tokenizer.encode_special_tokens = True
+                encoder = _encoder(shared.value)
                 store, path = fs.FileSystem.from_uri(name)
                 sink = store.open_output_stream(path)
                 writer = Writer(sink)
-            doc_ids, done = batch.column(0).to_pylist(), 0
-            for group in _batches(batch.column(1).to_pylist()):
-                encoded = [x.ids for x in tokenizer.encode_batch_fast(group, add_special_tokens=False)]
-                lengths = np.array([len(x) + 1 for x in encoded])
-                ids = np.empty(lengths.sum(), np.uint32)
-                at = 0
-                for x in encoded:
-                    ids[at : at + len(x)] = x
-                    ids[at + len(x)] = end_id
-                    at += len(x) + 1
-                writer.add(ids, lengths, doc_ids[done : done + len(group)])
-                done += len(group)
+            doc_ids, lists = batch.column(0).to_pylist(), batch.column(1)
+            for at, to in _slices(lists.offsets.to_numpy()):
+                encoded = encoder.encode(lists[at:to].to_pylist(), end)
+                lengths = np.array([len(x) // 4 for x in encoded])
+                writer.add(np.frombuffer(b"".join(encoded), "<u4"), lengths, doc_ids[at:to])
         if writer is not None:
             n_docs = writer.close()
             sink.close()
-            yield pa.RecordBatch.from_pydict(
-                {"file": [number], "path": [name], "n_docs": [n_docs], "n_ids": [writer.n_ids]}
-            )
+            yield pa.RecordBatch.from_pydict({"file": [number], "path": [name], "n_docs": [n_docs], "n_ids": [writer.n_ids]})
 
-    return saved(ranged.mapInArrow(write, "file long, path string, n_docs long, n_ids long"), "manifest")
+    return saved(split.mapInArrow(write, "file long, path string, n_docs long, n_ids long"), "manifest")
 
 
 def read_documents(manifest: DataFrame) -> DataFrame:
@@ -270,7 +299,9 @@ def read_documents(manifest: DataFrame) -> DataFrame:
     return placed.repartition("path").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def token_table(docs: DataFrame, tokenizer_file: str, folder: str | None = None, **options) -> DataFrame:
+def token_table(
+    docs: DataFrame, tokenizer_file: str, pattern: str, folder: str | None = None, **options
+) -> DataFrame:
     """doc_id (a long), start, n_tokens and ids_crc32 of every document, as read
     back from the files that ``write_tokens`` has just written to ``folder``, by
     default a new one in the shared scratch folder. An empty table writes none.
@@ -279,4 +310,4 @@ def token_table(docs: DataFrame, tokenizer_file: str, folder: str | None = None,
     if ":/" not in folder:
         folder = f"file://{folder}"
     storage.make_dir(docs.sparkSession, folder)
-    return read_documents(write_tokens(docs, tokenizer_file, folder, **options))
+    return read_documents(write_tokens(docs, tokenizer_file, folder, pattern, **options))
