@@ -39,26 +39,17 @@ def right_join_chain(downloads: DataFrame, reference) -> DataFrame:
     )
 
 
-def mentions_by_udf(df: DataFrame, projects) -> DataFrame:
-    """Mentions by a Python function per row, every term on every text."""
-    compiled = []
+def mentions_by_regexp(df: DataFrame, projects) -> DataFrame:
+    """Mentions with one regular expression for every term on every text."""
+    counts = []
     for project in projects:
-        patterns = [
-            r"\b" + r"[-\s]?".join(map(re.escape, re.split(r"[-\s]+", term))) + r"\b"
-            for term in project.terms
-        ]
-        compiled.append((project.name, patterns))
-
-    @F.udf(MENTIONS_TYPE)
-    def count(text):
-        found = []
-        for name, patterns in compiled:
-            n = sum(len(re.findall(p, text, re.IGNORECASE)) for p in patterns)
-            if n:
-                found.append((name, n))
-        return found or None
-
-    return df.withColumn("projects_mentions", count("text"))
+        n = F.lit(0)
+        for term in project.terms:
+            spaced = r"[-\s]?".join(map(re.escape, re.split(r"[-\s]+", term)))
+            n = n + F.coalesce(F.regexp_count("text", F.lit(rf"(?iU)\b{spaced}\b")), F.lit(0))
+        counts.append(F.struct(F.lit(project.name).alias("project"), n.cast("int").alias("mentions")))
+    found = F.filter(F.array(*counts), lambda c: c["mentions"] > 0)
+    return df.withColumn("projects_mentions", F.when(F.size(found) > 0, found))
 
 
 def audit_in_six_actions(downloads: DataFrame) -> tuple:

@@ -1,6 +1,6 @@
 """The driver's tables in the roles the library reads.
 
-Each role is built by Spark over whole tables; :mod:`checks.oracle` builds the
+Each role is built by Spark over whole tables; :mod:`checks.sql` builds the
 same rows in SQL.
 """
 

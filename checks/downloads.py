@@ -54,6 +54,18 @@ def scan_raw_events_(spark, sf_dir):
     return _flat(scan_raw_events(events, b.EVENT_START, b.EVENT_END, b.EVENT_PROJECTS))
 
 
+@query(
+    "scan_raw_events_instants",
+    sql.select(sql.EVENTS, f"SELECT {_NESTED} FROM ev WHERE {_IN_PROJECTS} AND {_IN_RANGE}"),
+)
+def scan_raw_events_instants(spark, sf_dir):
+    """The same with event times as TIMESTAMP, which days must be UTC for."""
+    events = b.raw_events(spark, sf_dir)
+    seconds = F.timestamp_micros(F.unix_micros(F.to_utc_timestamp(F.col("timestamp").cast("timestamp"), "UTC")))
+    found = scan_raw_events(events.withColumn("timestamp", seconds), b.EVENT_START, b.EVENT_END, b.EVENT_PROJECTS)
+    return _flat(found)
+
+
 @query("struct_field_access", sql.select(sql.EVENTS, f"SELECT {_NESTED} FROM ev"))
 def struct_field_access(spark, sf_dir):
     return _flat(b.raw_events(spark, sf_dir))
@@ -180,13 +192,6 @@ def agg_daily_downloads_(spark, sf_dir):
     return agg_daily_downloads(events, b.EVENT_START, b.EVENT_END, b.EVENT_PROJECTS)
 
 
-@query("frame_from_driver", sql.select(sql.EVENT_DOWNLOADS, "SELECT * FROM evd"))
-def frame_from_driver(spark, sf_dir):
-    """Fetched counts become a DataFrame without passing the driver: the
-    aggregation itself runs on the executors."""
-    return event_downloads(spark, sf_dir)
-
-
 def _register_window_sums() -> None:
     for days in (*windows.WINDOWS, windows.ALL_TIME):
         condition = sql.in_window("download_date", b.REFERENCE, days)

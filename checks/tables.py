@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from checks import bindings as b
@@ -29,14 +31,16 @@ from tidemark.schemas import (
     DOWNLOADS,
     INVALID_DOWNLOADS,
     MENTIONS,
+    POLARITY_CATEGORIES,
     SUBMISSION_RECORD,
     SUBMISSIONS,
     TRACKED_PROJECTS,
+    TRACKED_SUBREDDITS,
 )
 from tidemark.sources.dimensions import project_rows, with_subreddit_url
-from tidemark.sources.json_lines import scan_comments, scan_json
+from tidemark.sources.json_lines import records_folder, scan_comments, scan_json, validated
 from tidemark.sources.tables import scan_table, scan_table_partition
-from tidemark.sources.validation import check_records, records_folder
+from tidemark.sources.validation import check_records
 from tidemark.streaming.ingest import ingest_new_files
 
 # Counts of the driver's tables may outgrow INT.
@@ -102,7 +106,8 @@ def replace_partition(spark, sf_dir):
     """One day is rebuilt from some projects, the next from none."""
     path = _written(spark, sf_dir)
     rows = event_downloads(spark, sf_dir)
-    sinks.replace_partition(rows.where("project = 'click'"), path, WIDE, "2024-01-10")
+    day = rows.where("project = 'click' AND download_date = DATE '2024-01-10'")
+    sinks.replace_partition(day, path, WIDE, "2024-01-10")
     sinks.replace_partition(rows.where("project = 'no such project'"), path, WIDE, "2024-01-11")
     return scan_table(spark, path, WIDE)
 
@@ -179,9 +184,18 @@ def full_refresh(spark, sf_dir):
     return _dimension_texts(scan_table(spark, path, TRACKED_PROJECTS))
 
 
-@query("build_dims", _BRAND_ROWS)
+_DIM_ROWS = sql.select(
+    f"{sql.BRANDS}, {sql.BANDS}",
+    "SELECT 'projects' AS dim, project_name AS name, term || '/' || coalesce(pypi_project_name, '') || '/'"
+    " || array_to_string(project_categories, '|') AS what, NULL::DOUBLE AS low, NULL::DOUBLE AS high FROM brands"
+    " UNION ALL SELECT DISTINCT 'subreddits', source, 'https://reddit.com/r/' || lower(source), NULL, NULL FROM documents"
+    " UNION ALL SELECT 'bands', polarity_category, (row_number() OVER (ORDER BY lo))::VARCHAR, lo, hi FROM bands",
+)
+
+
+@query("build_dims", _DIM_ROWS)
 def build_dims_(spark, sf_dir):
-    """The dimensions with projects and subreddits out of the data."""
+    """All three dimensions, projects and subreddits out of the data."""
     named = b.table(spark, sf_dir, "documents").select(F.col("source").alias("subreddit_name"))
     paths = build_dims(
         spark,
@@ -189,7 +203,25 @@ def build_dims_(spark, sf_dir):
         projects=b.tracked_brands(spark, sf_dir),
         subreddits=with_subreddit_url(named.distinct()),
     )
-    return _dimension_texts(scan_table(spark, paths[TRACKED_PROJECTS.name], TRACKED_PROJECTS))
+    none = F.lit(None).cast("double")
+    projects = _dimension_texts(scan_table(spark, paths[TRACKED_PROJECTS.name], TRACKED_PROJECTS)).select(
+        F.lit("projects").alias("dim"),
+        F.col("project_name").alias("name"),
+        F.concat_ws("/", "terms", F.coalesce("pypi_project_name", F.lit("")), "categories").alias("what"),
+        none.alias("low"),
+        none.alias("high"),
+    )
+    names = scan_table(spark, paths[TRACKED_SUBREDDITS.name], TRACKED_SUBREDDITS).select(
+        F.lit("subreddits"), "subreddit_name", "subreddit_url", none, none
+    )
+    bands = scan_table(spark, paths[POLARITY_CATEGORIES.name], POLARITY_CATEGORIES).select(
+        F.lit("bands"),
+        "polarity_category",
+        F.col("polarity_category_order").cast("string"),
+        "polarity_lower_bound",
+        "polarity_upper_bound",
+    )
+    return projects.union(names).union(bands)
 
 
 @query(
@@ -478,6 +510,7 @@ def sink_json_lines(spark, sf_dir):
     valid = spark.read.schema("id string, edited string, subreddit string").json(
         records_folder(root, "submissions", "valid", b.FETCHED)
     )
+    valid = validated(valid)
     invalid = spark.read.schema(
         "invalid_record struct<id: string>, error string, subreddit string"
     ).json(records_folder(root, "submissions", "invalid", b.FETCHED))
@@ -580,10 +613,8 @@ def upsert_by_id_comments(spark, sf_dir):
     return scan_table(spark, path, COMMENTS).select("id", "body", "score", "created_date")
 
 
-_LOADED = (
-    f"SELECT * EXCLUDE (created_utc, text) FROM ({_NORMAL_SUBMISSIONS})"
-    f" UNION ALL SELECT * EXCLUDE (created_utc, text) FROM ({_NORMAL_COMMENTS})"
-)
+_LOADED = f"{_NORMAL_SUBMISSIONS} UNION ALL {_NORMAL_COMMENTS}"
+_VALID = f"SELECT * FROM ({_NORMAL_SUBMISSIONS}) WHERE id IN (SELECT doc_id::VARCHAR FROM documents WHERE {_ERROR} = '')"
 
 
 @query("load_content", _LOADED)
@@ -592,23 +623,37 @@ def load_content(spark, sf_dir):
     source, submissions, comments = b.raw_files(spark, sf_dir), _new(spark), _new(spark)
     for _ in range(2):
         content_jobs.load_content(spark, source, submissions, comments)
-    loaded = union_content(
+    return union_content(
         scan_table(spark, submissions, SUBMISSIONS), scan_table(spark, comments, COMMENTS)
     )
-    return loaded.drop("created_utc", "text")
 
 
-@query("incremental_file_ingest", _COMMENT_SQL)
+@query("validate_then_load", f"{_VALID} UNION ALL {_NORMAL_COMMENTS}")
+def validate_then_load(spark, sf_dir):
+    """Raw lines, validated, written, and what is valid of them loaded."""
+    root, submissions, comments = _new(spark, "records"), _new(spark), _new(spark)
+    content_jobs.ingest_records(b.submission_lines(spark, sf_dir), root, "submissions", FETCHED_AT)
+    content_jobs.ingest_records(b.comment_lines(spark, sf_dir), root, "comments", FETCHED_AT)
+    content_jobs.load_content(spark, root, submissions, comments)
+    return union_content(
+        scan_table(spark, submissions, SUBMISSIONS), scan_table(spark, comments, COMMENTS)
+    )
+
+
+# Edited records come out as validation keeps them: NULL unless they were.
+_INGESTED = _COMMENT_SQL.replace("ELSE 'false' END AS edited", "END AS edited")
+
+
+@query("incremental_file_ingest", _INGESTED)
 def incremental_file_ingest(spark, sf_dir):
-    """Two runs of the stream: the first finds one file, the second another
-    with the same records, and one it has already seen."""
-    prefix, path, state = _new(spark, "raw"), _new(spark), _new(spark, "stream")
-    for name in ("first", "second"):
-        folder = f"{prefix}/{name}_comments.json"
-        b.write_lines(b.comment_lines(spark, sf_dir), folder)
-        ingest_new_files(
-            spark, prefix, "comments", path, state, archive_dir=f"{state}-archive", files="*.txt"
-        ).awaitTermination()
+    """Two runs of the stream over the folder that validation writes: the first
+    finds two days that hold the same records, the second a third day."""
+    root, path, state = _new(spark, "records"), _new(spark), _new(spark, "stream")
+    lines = b.comment_lines(spark, sf_dir)
+    for days in ((0, 1), (2,)):
+        for day in days:
+            content_jobs.ingest_records(lines, root, "comments", FETCHED_AT + timedelta(days=day))
+        ingest_new_files(spark, root, "comments", path, state).awaitTermination()
     return _comment_view(scan_table(spark, path, COMMENTS))
 
 

@@ -21,9 +21,9 @@ from tidemark.schemas import (
     SUBMISSIONS,
 )
 from tidemark.sources.dimensions import Project
-from tidemark.sources.json_lines import scan_comments, scan_json, scan_submissions
+from tidemark.sources.json_lines import records_folder, scan_comments, scan_json, scan_submissions
 from tidemark.sources.tables import scan_table
-from tidemark.sources.validation import check_records, invalid_records, records_folder, valid_records
+from tidemark.sources.validation import check_records, invalid_records, valid_records
 from tidemark.streaming.ingest import ingest_new_files
 from pyspark.sql import types as T
 
@@ -191,7 +191,9 @@ def test_stream_reads_each_file_once(spark, tmp_path):
     path, state, archive = (str(tmp_path / n) for n in ("t", "state", "archive"))
 
     def run():
-        query = ingest_new_files(spark, str(source), "comments", path, state, archive_dir=archive, max_files=1)
+        query = ingest_new_files(
+            spark, str(source), "comments", path, state, archive_dir=archive, max_files=1, files="*_comments.json"
+        )
         query.awaitTermination()
         return sorted((r["id"], r["ups"]) for r in scan_table(spark, path, COMMENTS).collect())
 

@@ -52,28 +52,32 @@ def band_of(value: Column, bands: Sequence[Band]) -> Column:
     return case
 
 
-def join_bands(df: DataFrame, value: str, bands: DataFrame, width: float = 0.1) -> DataFrame:
-    """Left range join with a table of bands of any size, overlapping or not.
+def join_bands(df: DataFrame, value: str, bands: DataFrame, cells: int = 64) -> DataFrame:
+    """Left range join with a table of bands of any size, overlapping or not,
+    and open at the ends or not.
 
-    Both sides are cut into cells of ``width``; the cells make it an equi-join,
-    so Spark can shuffle and split it, and the exact range is its second
+    Values are cut into cells at quantiles of the bands' own bounds; a band is
+    in each cell that it touches, ``cells`` at most. That makes it an equi-join,
+    which Spark can shuffle and split, and the exact range is its second
     condition. A row without a band keeps a NULL category.
     """
-    cell = F.floor(F.col(value) / F.lit(width))
-    cells = bands.select(
-        F.explode(
-            F.sequence(
-                F.floor(F.col("polarity_lower_bound") / F.lit(width)),
-                F.floor(F.col("polarity_upper_bound") / F.lit(width)),
-            )
-        ).alias("_band_cell"),
+    bounds = bands.select(F.explode(F.array("polarity_lower_bound", "polarity_upper_bound")).alias("at"))
+    steps = [i / cells for i in range(1, cells)]
+    cuts = sorted(set(bounds.where("at IS NOT NULL").approxQuantile("at", steps, 0.001)))
+    edges = F.array(*map(F.lit, cuts)).cast("array<double>")
+
+    def cell(at: Column) -> Column:
+        return F.size(F.filter(edges, lambda edge: edge <= at))
+
+    spread = bands.select(
+        F.explode(F.sequence(cell(F.col("polarity_lower_bound")), cell(F.col("polarity_upper_bound")))).alias("_band_cell"),
         "polarity_category",
         "polarity_lower_bound",
         "polarity_upper_bound",
     )
     in_range = F.col(value).between(F.col("polarity_lower_bound"), F.col("polarity_upper_bound"))
     return (
-        df.withColumn("_cell", cell)
-        .join(cells, (F.col("_cell") == F.col("_band_cell")) & in_range, "left")
+        df.withColumn("_cell", F.when(F.col(value).isNotNull(), cell(F.col(value))))
+        .join(spread, (F.col("_cell") == F.col("_band_cell")) & in_range, "left")
         .drop("_cell", "_band_cell", "polarity_lower_bound", "polarity_upper_bound")
     )

@@ -6,7 +6,7 @@ Parquet reader and prune date partitions.
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import UTC, date, datetime, time, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,9 +29,26 @@ def date_literal(day: date | str) -> Column:
     return F.lit(parse_day(day))
 
 
-def on_day_of(ts: Column, start: date | str, end: date | str) -> Column:
-    """Half-open day range on a raw timestamp; equal to comparing its day."""
-    return (ts >= date_literal(start)) & (ts < date_literal(end))
+def midnight(day: date | str, instant: bool) -> Column:
+    """The start of a UTC day: an instant, which no session time zone moves, or
+    for timestamps without a zone the day's wall time."""
+    if instant:
+        return F.lit(datetime.combine(parse_day(day), time(), tzinfo=UTC))
+    return date_literal(day)
+
+
+def on_day_of(ts: Column, start: date | str, end: date | str, instant: bool = False) -> Column:
+    """Half-open UTC day range on a raw timestamp; equal to comparing its day.
+    ``instant`` says that the column is a TIMESTAMP, not a TIMESTAMP_NTZ."""
+    return (ts >= midnight(start, instant)) & (ts < midnight(end, instant))
+
+
+def utc_day(ts: Column, instant: bool = False) -> Column:
+    """The UTC day of a raw timestamp, in any session time zone."""
+    if not instant:
+        return F.to_date(ts)
+    days = F.floor(F.unix_micros(ts) / F.lit(_SECONDS_PER_DAY * 1e6)).cast("int")
+    return F.date_add(F.lit(date(1970, 1, 1)), days)
 
 
 def in_trailing_window(day: Column, reference: date | str, days: int) -> Column:

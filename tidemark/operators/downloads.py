@@ -8,15 +8,15 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import date_literal
+from tidemark.functions.dates import date_literal, utc_day
 from tidemark.schemas import DOWNLOAD_KEYS
-from tidemark.sources.events import scan_raw_events
+from tidemark.sources.events import is_instant, scan_raw_events
 
 
 def flatten_events(events: DataFrame) -> DataFrame:
     """The nested fields the counts are grouped by, under their table names."""
     return events.select(
-        F.to_date("timestamp").alias("download_date"),
+        utc_day(F.col("timestamp"), is_instant(events)).alias("download_date"),
         "project",
         F.col("file.version").alias("project_version"),
         F.col("details.python").alias("python"),

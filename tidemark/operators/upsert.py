@@ -10,11 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark import storage
 from tidemark.operators.layout import laid_out
@@ -30,7 +29,6 @@ PUBLISH_KEYS = (
     "coalesce(system_name, '')",
     "coalesce(country_code, '')",
 )
-_SPREAD = 64
 
 
 class CardinalityViolation(ValueError):
@@ -46,38 +44,25 @@ def _null_key(names: Sequence[str]) -> Column:
     return reduce(or_, [F.col(n).isNull() for n in names])
 
 
-def _spread_nulls(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """A NULL key matches nothing, but in an outer or anti join all such rows
-    would meet in one task. A second key that differs only for them, taken
-    from the row itself, spreads them out."""
-    plain = [
-        f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))
-    ]
-    spread = F.pmod(F.xxhash64(*plain), F.lit(_SPREAD))
-    return df.withColumn("_spread", F.when(_null_key(names), spread).otherwise(F.lit(0)))
-
-
-def _level(names: Sequence[str]) -> Column:
-    """The other side's second key: always 0, but not a constant that the
-    optimizer would take out of the join keys."""
-    return F.pmod(F.xxhash64(*names), F.lit(1))
-
-
 def left_anti_on(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` whose keys are not in ``right``."""
-    keys = right.select(*names, _level(names).alias("_spread"))
-    return _spread_nulls(left, names).join(keys, [*names, "_spread"], "left_anti").drop("_spread")
+    """Rows of ``left`` whose keys are not in ``right``. A NULL key matches
+    nothing: such rows need no join, in which all would meet in one task."""
+    no_key = _null_key(names)
+    kept = left.where(~no_key).join(right.select(*names), list(names), "left_anti")
+    return kept.unionByName(left.where(no_key))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
-    """One row per key, the one with the highest ``order_by``; rows with a NULL
-    key all stay. An aggregate, so a hot key is combined before the shuffle."""
+    """One row per key, the one with the highest ``order_by``, of equal ones
+    that with the highest hash; rows with a NULL key all stay. An aggregate, so
+    a hot key is combined before the shuffle."""
     keyed, names = _with_keys(df, keys)
     row = F.struct(*df.columns)
+    tie = F.xxhash64(F.to_json(row))
     best = (
         keyed.where(~_null_key(names))
         .groupBy(*names)
-        .agg(F.max_by(row, F.struct(order_by)).alias("_row"))
+        .agg(F.max_by(row, F.struct(F.col(order_by), tie)).alias("_row"))
         .select("_row.*")
     )
     return best.unionByName(keyed.where(_null_key(names)).drop(*names))
@@ -118,7 +103,7 @@ def _merge(
     stage: str,
 ) -> None:
     part = table.partition
-    if not storage.partition_values(spark, path, part):
+    if not storage.any_partition(spark, path, part):
         overwrite_partitions(source, path, table)
         return
     laid_out(source, table).write.parquet(f"{stage}/source")
@@ -131,7 +116,7 @@ def _merge(
     if part in keys:
         candidates = read_partitions(spark, path, table, incoming)
     else:
-        candidates = spark.read.schema(table.stored_schema).parquet(path)
+        candidates = _within_keys(spark.read.schema(table.stored_schema).parquet(path), batch, keys)
     target, _ = _with_keys(candidates, keys)
     per_key = batch.where(~_null_key(names)).groupBy(*names).agg(F.count("*").alias("_sources"))
     (
@@ -161,6 +146,18 @@ def _merge(
         storage.delete_tree(spark, storage.partition_dir(path, part, value))
 
 
+def _within_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows between the least and the greatest key of the batch, for every
+    key that is a plain column: row groups without any are not read."""
+    plain = [k for k in keys if k in target.columns]
+    if not plain:
+        return target
+    row = batch.agg(*[f(k).alias(f"{f.__name__}{i}") for i, k in enumerate(plain) for f in (F.min, F.max)]).first()
+    for i, k in enumerate(plain):
+        target = target.where(F.col(k).between(F.lit(row[f"min{i}"]), F.lit(row[f"max{i}"])))
+    return target
+
+
 def _values(df: DataFrame, column: str) -> list:
     """Distinct partition values: as many as directories, so they fit."""
     return [row[0] for row in df.select(column).distinct().collect()]
@@ -169,23 +166,31 @@ def _values(df: DataFrame, column: str) -> list:
 def _updated(touched: DataFrame, batch: DataFrame, keys: list[str], table: Table) -> DataFrame:
     """Target rows with the values of their source row, if they have one."""
     target, names = _with_keys(touched, keys)
-    new = batch.where(~_null_key(names)).select(
-        *names, _level(names).alias("_spread"), F.struct(*table.schema.names).alias("_new")
-    )
-    joined = _spread_nulls(target, names).join(new, [*names, "_spread"], "left")
+    no_key = _null_key(names)
+    new = batch.where(~no_key).select(*names, F.struct(*table.schema.names).alias("_new"))
+    joined = target.where(~no_key).join(new, names, "left")
     row = F.coalesce(F.col("_new"), F.struct(*table.schema.names))
-    return joined.select(row.alias("_row")).select("_row.*")
+    changed = joined.select(row.alias("_row")).select("_row.*")
+    return changed.unionByName(target.where(no_key).select(*table.schema.names))
 
 
-def merge_into_catalog(source: DataFrame, target: str, keys: Sequence[str]) -> None:
-    """The same merge on a catalog table that supports row-level operations."""
-    on = reduce(lambda a, b: a & b, [F.col(f"s.{k}") == F.col(f"{target}.{k}") for k in keys])
-    (
-        source.alias("s")
-        .mergeInto(target, on)
-        .whenMatched()
-        .updateAll()
-        .whenNotMatched()
-        .insertAll()
-        .merge()
-    )
+def catalog_merge(source: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """Both parts of a merge on a catalog table: the source, its columns under
+    names that the target does not have, and the condition. In that, the keys
+    are expressions of the target's columns, so they need no qualifier."""
+    keyed, names = _with_keys(source, keys)
+    renamed = keyed.select(*names, *[F.col(c).alias(f"_new_{c}") for c in source.columns])
+    return renamed, reduce(and_, [F.expr(k) == F.col(n) for k, n in zip(keys, names)])
+
+
+def merge_into_catalog(
+    source: DataFrame, target: str, keys: Sequence[str], dedupe_by: str | None = None
+) -> None:
+    """The same merge, with the same keys, on a catalog table that supports
+    row-level operations."""
+    if dedupe_by is not None:
+        source = latest_per_key(source, keys, dedupe_by)
+    renamed, on = catalog_merge(source, keys)
+    values = {c: F.col(f"_new_{c}") for c in source.columns}
+    merge = renamed.mergeInto(target, on)
+    merge.whenMatched().update(values).whenNotMatched().insert(values).merge()

@@ -65,14 +65,18 @@ def load_content(
     submissions_path: str,
     comments_path: str,
     dedupe_by: str | None = None,
+    on_malformed: str = "null",
 ) -> None:
-    """Merge a day's valid records into the two content tables."""
+    """Merge valid records into the two content tables: files of a day, or the
+    root that ``ingest_records`` writes to. Merged again they change nothing,
+    but for lines that are no JSON: their NULL id matches nothing, and they are
+    inserted each time, unless ``on_malformed`` is "drop" or "fail"."""
     for kind, scan, path in (
         ("submissions", scan_submissions, submissions_path),
         ("comments", scan_comments, comments_path),
     ):
         create_table(spark, path, TABLES[kind])
-        rows = prepared(scan(spark, source_dir), kind)
+        rows = prepared(scan(spark, source_dir, on_malformed), kind)
         upsert(spark, rows, path, TABLES[kind], dedupe_by=dedupe_by)
 
 

@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark import storage
 from tidemark.functions.dates import ds_add, parse_day
 from tidemark.operators.audit import TOLERANCE, AuditResult, audit
 from tidemark.operators.downloads import agg_daily_downloads, agg_daily_project
@@ -60,8 +61,8 @@ def audit_downloads(
     aside, and too many of them stop it as well."""
     result = audit(staged)
     result.raise_on_duplicates()
-    if result.total_invalid:
-        append_quarantine(result.invalid, invalid_path, run_date, quarantine_of(table))
+    # Also without invalid rows: a clean retry takes back what a bad run left.
+    append_quarantine(result.invalid, invalid_path, run_date, quarantine_of(table))
     result.raise_on_ratio(tolerance)
     return result
 
@@ -120,14 +121,13 @@ def aggregate_downloads(
     """Rebuild the cumulative rollup of a date, from all history.
 
     ``incremental`` builds it on the rollup of the day before instead and reads
-    six days of downloads. That is for the regular daily run: it needs the
-    rollup of the day before, and no older day changed since. A day whose
-    predecessor is not there is built from all history.
+    six days of downloads. It needs the rollup of the day before, and no older
+    day written since: otherwise the day is built from all history.
     """
     create_table(spark, path, table)
-    before = scan_table_partition(spark, path, table, "reference_date", ds_add(ds, -1))
-    if incremental and not before.isEmpty():
-        days = changing_days(ds)
+    days = changing_days(ds)
+    if incremental and _unchanged_since(spark, downloads_path, downloads_table, path, table, ds):
+        before = scan_table_partition(spark, path, table, "reference_date", ds_add(ds, -1))
         rollup = pypi_cumulative_next(
             before, read_partitions(spark, downloads_path, downloads_table, days), ds
         )
@@ -137,6 +137,20 @@ def aggregate_downloads(
     compact_partition(spark, path, table, ds)
 
 
+def _unchanged_since(
+    spark: SparkSession, downloads_path: str, downloads: Table, path: str, table: Table, ds: date | str
+) -> bool:
+    """Whether the rollup of the day before is there and newer than every day
+    of downloads but the run's own, by the times at which files were written."""
+    before = ds_add(ds, -1).isoformat()
+    built = storage.changed_at(spark, f"{storage.partition_dir(path, table.partition, before)}/part-*")
+    if not built:
+        return False
+    today = f"{downloads.partition}={parse_day(ds).isoformat()}"
+    written = storage.changed_at(spark, f"{downloads_path}/{downloads.partition}=*/*")
+    return all(at <= min(built.values()) for day, at in written.items() if day != today)
+
+
 def serve_downloads(
     spark: SparkSession,
     cumulative_path: str,

@@ -41,6 +41,8 @@ class Table:
     partition: str | None = None
     partition_sql: str | None = None
     keys: tuple[str, ...] = ()
+    # How rows lie in a file.
+    sort: tuple[str, ...] = ()
 
     @property
     def stored_schema(self) -> T.StructType:
@@ -199,6 +201,7 @@ SUBMISSIONS = Table(
     partition="created_month",
     partition_sql=_MONTH,
     keys=("id",),
+    sort=("created_date", "id"),
 )
 COMMENTS = Table(
     "reddit_comments",
@@ -206,6 +209,7 @@ COMMENTS = Table(
     partition="created_month",
     partition_sql=_MONTH,
     keys=("id",),
+    sort=("created_date", "id"),
 )
 
 # --- mentions and their rollups ----------------------------------------------

@@ -1,7 +1,8 @@
 """Raw forum records split into valid and invalid, on the executors.
 
 A record is valid when it is a JSON object that has every field of its model,
-no required field is null, and every value has the model's JSON type. Whole
+no required field is null, and every value has the model's JSON type, which
+includes the elements of lists and objects and the range of integers. Whole
 numbers are accepted where the model has a float; nothing else is converted.
 """
 
@@ -73,6 +74,23 @@ def _rule(field: T.StructField, required: Collection[str]) -> str:
     )
 
 
+def _inside(field: T.StructField) -> str | None:
+    """An error in a value of the right type, or NULL: an integer out of range,
+    a wrong element. None if nothing can be wrong inside."""
+    at = f"'$.{field.name}'"
+    if isinstance(field.dataType, T.IntegerType):
+        fits = f"try_variant_get(_json, {at}, 'int') IS NOT NULL"
+        return f"IF({fits}, NULL, '{field.name}: out of range')"
+    if isinstance(field.dataType, T.ArrayType):
+        fits = f"forall(try_variant_get(_json, {at}, 'array<variant>'), x -> schema_of_variant(x) = 'STRING')"
+        return f"IF({fits}, NULL, '{field.name}: an element is not a string')"
+    if isinstance(field.dataType, T.MapType):
+        values = f"map_values(try_variant_get(_json, {at}, 'map<string,variant>'))"
+        whole = f"forall({values}, x -> schema_of_variant(x) = 'BIGINT' AND try_variant_get(x, '$', 'int') IS NOT NULL)"
+        return f"IF({whole}, NULL, '{field.name}: a value is not an integer in range')"
+    return None
+
+
 def check_records(lines: DataFrame, kind: str, value: str = "value") -> DataFrame:
     """Add ``errors``: one text per field that breaks the model, empty if none.
 
@@ -84,6 +102,11 @@ def check_records(lines: DataFrame, kind: str, value: str = "value") -> DataFram
     parsed = lines.select("*", F.explode(F.array(F.try_parse_json(value))).alias("_json"))
     kinds = F.expr(f"array({', '.join(_kind(f.name) for f in fields)})")
     rules = F.expr(f"array({', '.join(_rule(f, required) for f in fields)})")
+    inner = [
+        f"CASE WHEN {_kind(f.name)} = '{_expected(f)[1][0]}' THEN {inside} END"
+        for f in fields
+        if (inside := _inside(f)) is not None
+    ]
 
     def error(found: Column, rule: Column) -> Column:
         return (
@@ -93,7 +116,8 @@ def check_records(lines: DataFrame, kind: str, value: str = "value") -> DataFram
         )
 
     is_object = F.schema_of_variant("_json").startswith("OBJECT<")
-    errors = F.when(is_object, F.array_compact(F.zip_with(kinds, rules, error))).otherwise(
+    found = F.concat(F.zip_with(kinds, rules, error), F.expr(f"array({', '.join(inner)})"))
+    errors = F.when(is_object, F.array_compact(found)).otherwise(
         F.array(F.lit("not a JSON object"))
     )
     return parsed.withColumn("errors", errors)
@@ -103,16 +127,19 @@ def _fields(kind: str) -> list[T.StructField]:
     return [f for f in MODELS[kind][0] if f.name not in FETCH_FIELDS]
 
 
+def _edited() -> Column:
+    """The text of ``edited``. A whole number reads as the float it stands for."""
+    edited = F.try_variant_get("_json", "$.edited", "string")
+    whole = F.expr(_kind("edited")) == "BIGINT"
+    return F.when(whole, F.concat(edited, F.lit(".0"))).otherwise(edited)
+
+
 def _values(kind: str) -> dict[str, Column]:
     """The model's fields of a line parsed into ``_r``. ``edited`` and the
     objects that are kept as text come out of the variant, which keeps numbers
     as they were written."""
     values = {f.name: F.col(f"_r.{f.name}") for f in _fields(kind)}
-    edited = F.try_variant_get("_json", "$.edited", "string")
-    # A whole number reads as the float it stands for.
-    whole = F.expr(_kind("edited")) == "BIGINT"
-    edited = F.when(whole, F.concat(edited, F.lit(".0"))).otherwise(edited)
-    values["edited"] = falsy_to_null(edited)
+    values["edited"] = falsy_to_null(_edited())
     for name in OBJECT_TEXT_FIELDS:
         if name in values:
             is_object = F.expr(_kind(name)) == "OBJECT"
@@ -150,14 +177,18 @@ def invalid_records(checked: DataFrame, value: str = "value") -> DataFrame:
 def record_lines(
     checked: DataFrame, kind: str, fetched_at: datetime, value: str = "value"
 ) -> DataFrame:
-    """Every record as the JSON line that is kept of it, and its status."""
+    """Every record as the JSON line that is kept of it, and its status. A
+    valid line has the model's fields as they were in the record, so that it
+    is valid again, and the fetch time. Whole numbers in ``edited`` are floats."""
     is_valid = F.size("errors") == 0
-    parsed = F.when(is_valid, F.from_json(value, T.StructType(_fields(kind))))
-    values = {**_values(kind), **fetch_metadata(fetched_at)}
-    record = checked.withColumn("_r", parsed)
-    valid = F.to_json(
-        F.struct(*[v.alias(name) for name, v in values.items()]), {"ignoreNullFields": "false"}
+    record = checked
+    names = [f.name for f in _fields(kind) if f.name != "edited"]
+    as_was = F.to_json(
+        F.struct(*[F.expr(_lookup(n)).alias(n) for n in names]), {"ignoreNullFields": "false"}
     )
+    own = [F.concat(F.lit(f',"{n}":"'), v, F.lit('"')) for n, v in fetch_metadata(fetched_at).items()]
+    edited = F.concat(F.lit(',"edited":'), _edited())
+    valid = F.concat(as_was.substr(F.lit(1), F.length(as_was) - 1), edited, *own, F.lit("}"))
     invalid = F.to_json(
         F.struct(
             F.coalesce(F.col("_json"), F.col(value).cast("variant")).alias("invalid_record"),
@@ -188,7 +219,3 @@ def write_records(lines: DataFrame, root: str, kind: str, fetched_date: str) ->
         .partitionBy("fetched_date", "status", "subreddit")
         .text(f"{root}/{kind}")
     )
-
-
-def records_folder(root: str, kind: str, status: str, fetched_date: str) -> str:
-    return f"{root}/{kind}/fetched_date={fetched_date}/status={status}"

@@ -54,11 +54,34 @@ def size_in_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(handle).getLength() if fs.exists(handle) else 0
 
 
+def changed_at(spark: SparkSession, pattern: str) -> dict[str, int]:
+    """The folder of each file that matches a glob, and when the latest of its
+    files was written (milliseconds)."""
+    fs, handle = _resolve(spark, pattern)
+    latest: dict[str, int] = {}
+    for status in fs.globStatus(handle) or []:
+        folder = status.getPath().getParent().getName()
+        latest[folder] = max(latest.get(folder, 0), status.getModificationTime())
+    return latest
+
+
 def partition_dir(path: str, column: str, value) -> str:
     name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
     return f"{path}/{column}={name}"
 
 
+def any_partition(spark: SparkSession, path: str, column: str) -> bool:
+    """Whether a table has a partition, without listing all of them."""
+    fs, handle = _resolve(spark, path)
+    if not fs.exists(handle):
+        return False
+    entries = fs.listStatusIterator(handle)
+    while entries.hasNext():
+        if entries.next().getPath().getName().startswith(f"{column}="):
+            return True
+    return False
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Directory values of one partition column (the catalog's own listing)."""
     prefix = f"{column}="
