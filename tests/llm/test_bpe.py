@@ -7,7 +7,11 @@ import hashlib
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import EDGES
 from tidemark.llm import bpe
@@ -40,10 +44,21 @@ def test_equals_library(spark, docs, ranks, library):
 def test_folded_merges_equal_library(spark, ranks, library):
     rows = spark.createDataFrame(list(enumerate(WORDS)), "doc_id long, text string")
     for size in (3, 100):
-        out = bpe.encode(rows, ranks, public_tokenizers.PATTERN, size).collect()
+        out = bpe.encode_natively(rows, ranks, public_tokenizers.PATTERN, size).collect()
         assert {r.doc_id: list(r.ids) for r in out} == {i: library.encode_ordinary(t) for i, t in enumerate(WORDS)}
 
 
+def test_native_decoding(spark, ranks):
+    rows = bpe.encode(spark.createDataFrame(list(enumerate(WORDS)), "doc_id long, text string"), ranks, public_tokenizers.PATTERN)
+    for r in rows.select("*", bpe.decode(F.col("ids"), ranks).alias("bytes")).collect():
+        assert bytes(r.bytes) == bytes(r.decoded) == r.text.encode()
+
+
+@given(st.text(max_size=40))
+def test_fold_equals_library(ranks, library, text):
+    assert [i for w in regex.findall(public_tokenizers.PATTERN, text) for i in bpe.fold(w.encode(), ranks)] == library.encode_ordinary(text)
+
+
 def test_edge_rows(edges, nothing, ranks, library):
     out = bpe.with_ids(edges, ranks, public_tokenizers.PATTERN).collect()
     assert len(out) == len(EDGES)

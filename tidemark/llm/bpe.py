@@ -1,15 +1,20 @@
-"""Byte-level byte-pair encoding with higher-order functions of Spark."""
+"""Byte-level byte-pair encoding: ranked merges over the bytes of words."""
 
 from __future__ import annotations
 
 import base64
 import json
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from tidemark.llm.common import saved
+from tidemark.llm.kept import slices, word_encoder
 
 # Java's form of the pattern: white space as Unicode defines it.
 JAVA_FLAGS = "(?U)"
@@ -114,9 +119,9 @@ def _hex(word: str | Column) -> Column:
     return F.hex((F.col(word) if isinstance(word, str) else word).cast("binary"))
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, size: int = DICTIONARY) -> DataFrame:
-    """The documents with ``ids``: array of token ids of the whole text, empty
-    for a NULL or empty one.
+def encode_natively(docs: DataFrame, ranks: dict[bytes, int], pattern: str, size: int = DICTIONARY) -> DataFrame:
+    """The documents with ``ids``, by higher-order functions alone: the form that
+    does not hold at size (README), and that the other one is tested against.
 
     A text's words are the matches of the pattern. The ids of frequent distinct
     words are looked up, those of the others folded in place: nothing but the
@@ -154,9 +159,73 @@ def little_endian(ids: Column, n_ids: int) -> Column:
     return _joined(ids, [i.to_bytes(4, "little") for i in range(n_ids)])
 
 
+def fold(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The ids of a word: of all neighbours that form a known piece, those with
+    the lowest rank, the first among equals, become one piece, until none do."""
+    if word in ranks:
+        return [ranks[word]]
+    pieces = [word[i : i + 1] for i in range(len(word))]
+    pairs = [ranks.get(word[i : i + 2], _NEVER) for i in range(len(word) - 1)]
+    while pairs and (least := min(pairs)) < _NEVER:
+        at = pairs.index(least)
+        pieces[at : at + 2] = [pieces[at] + pieces[at + 1]]
+        del pairs[at]
+        if at:
+            pairs[at - 1] = ranks.get(pieces[at - 1] + pieces[at], _NEVER)
+        if at < len(pairs):
+            pairs[at] = ranks.get(pieces[at] + pieces[at + 1], _NEVER)
+    return [ranks[p] for p in pieces]
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+    """The documents with ``ids``, the token ids of the whole text, ``packed``,
+    the same as unsigned 32-bit integers, low byte first, and ``decoded``, the
+    bytes that they stand for (columns of these names are replaced). A NULL or
+    empty text has none.
+
+    Spark cuts texts into words, the matches of the pattern. A worker folds the
+    merges over each distinct word that it meets, keeps a bounded number of
+    them, and joins the ids in the words' places; ids are decoded piece by
+    piece. Nothing is shuffled.
+    """
+    docs = docs.drop("ids", "packed", "decoded")
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    added = [
+        StructField("ids", ArrayType(IntegerType())),
+        StructField("packed", BinaryType()),
+        StructField("decoded", BinaryType()),
+    ]
+    schema = StructType([*docs.schema.fields, *added])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        pieces = [b""] * (max(known.values(), default=-1) + 1)
+        for piece, rank in known.items():
+            pieces[rank] = piece
+        encoder = word_encoder(("ranks", len(known)), lambda: lambda words: [fold(w.encode(), known) for w in words])
+        for batch in batches:
+            lists = batch.column(batch.num_columns - 1)
+            for at, to in slices(lists.offsets.to_numpy()):
+                encoded = encoder.encode(lists[at:to].to_pylist())
+                flat = np.frombuffer(b"".join(encoded), "<i4")
+                ends = np.cumsum([0, *(len(x) // 4 for x in encoded)], dtype=np.int32)
+                texts = [b"".join(map(pieces.__getitem__, np.frombuffer(x, "<i4").tolist())) for x in encoded]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[c[at:to] for c in batch.columns[:-1]],
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                        pa.array(encoded, pa.binary()),
+                        pa.array(texts, pa.binary()),
+                    ],
+                    names=schema.names,
+                )
+
+    return docs.withColumn("__words", matches(pattern)).mapInArrow(work, schema)
+
+
 def with_ids(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """The documents with ``ids``, ``n_tokens`` and ``round_trip``: whether the
     ids decode to the bytes of the text (NULL text: as empty)."""
     out = encode(docs.drop("n_tokens", "round_trip"), ranks, pattern)
-    same = decode(F.col("ids"), ranks) == F.coalesce("text", F.lit("")).cast("binary")
-    return out.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("round_trip", same)
+    same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
+    return out.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("round_trip", same).drop("packed", "decoded")

@@ -249,15 +249,18 @@ def sketch(samples: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(_mix(samples).astype(np.uint8)).view(np.int64)
 
 
+def _spread_down(shift: int):
+    return lambda x: x.bitwiseOR(F.shiftrightunsigned(x, shift))
+
+
 def agreeing(a: str, b: str, samples: int) -> Column:
     """How many samples of two sketches are equal, with those by chance."""
-    different = F.lit(0)
-    for k in range(samples // 8):
-        x = F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))
-        for shift in (4, 2, 1):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
-        different = different + F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
-    return F.lit(samples) - different
+    left = F.zip_with(a, b, lambda x, y: x.bitwiseXOR(y))
+    for shift in (4, 2, 1):
+        left = F.transform(left, _spread_down(shift))
+    # The low bit of each byte that differs.
+    low = F.lit(0x0101010101010101)
+    return F.aggregate(left, F.lit(samples), lambda n, x: n - F.bit_count(x.bitwiseAND(low)))
 
 
 def weighted_jaccard(left: Shingled, right: Shingled, idf: np.ndarray, n_pairs: int) -> np.ndarray:

@@ -131,7 +131,7 @@ def _find(length: int, size: int):
             docs = batch.column(0).to_numpy()
             for text, at, group, content, left, right in _all_anchors(texts, length, size):
                 found.append((group, content, docs[text], at, left.astype(np.int32), right.astype(np.int32)))
-        if not found:
+        if not sum(len(x[0]) for x in found):
             return
         group, content, doc, at, left, right = (np.concatenate(c) for c in zip(*found, strict=True))
         order = np.lexsort((at, doc, content, group))

@@ -30,15 +30,13 @@ from pyspark.sql import functions as F
 
 from tidemark import storage
 from tidemark.llm.common import saved
+from tidemark.llm.kept import slices, word_encoder
 
 MAGIC = b"BITPLANE"
 CHUNK = 1 << 16
 LEVEL = 3
 END_ID = 2
 _FOOTER = "<QQQQQ8s"
-# Words that are encoded at a time, and that a worker keeps.
-_WORDS = 1 << 18
-KEPT_WORDS = 400_000
 
 
 def to_planes(ids: np.ndarray) -> list[bytes]:
@@ -166,48 +164,13 @@ class Reader:
             done += len(ids)
 
 
-class WordEncoder:
-    """Ids of texts from those of their words, the pieces that the tokenizer
-    itself encodes one by one. The library encodes each distinct word once, as
-    long as a worker keeps it; of the words it meets later it keeps none."""
+def _library(vocabulary: str):
+    """Encodes words one by one with the tokenizers library."""
+    from tokenizers import Tokenizer
 
-    def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_str(vocabulary)
-        self.library.encode_special_tokens = True
-        self.kept: dict[str, bytes] = {}
-
-    def encode(self, texts: list[list[str]], end: bytes) -> list[bytes]:
-        """The ids of each text, as u32, with the end id."""
-        fresh = list({w for text in texts for w in text if w not in self.kept})
-        found = self.library.encode_batch_fast(fresh, add_special_tokens=False)
-        new = {w: np.array(x.ids, "<u4").tobytes() for w, x in zip(fresh, found, strict=True)}
-        kept, get = self.kept, self.kept.__getitem__
-        if len(kept) < KEPT_WORDS:
-            kept.update(new)
-        elif new:
-            get = lambda w: kept.get(w) or new[w]
-        return [b"".join(map(get, text)) + end for text in texts]
-
-
-_ENCODERS: dict[int, WordEncoder] = {}
-
-
-def _encoder(vocabulary: str) -> WordEncoder:
-    """The worker's own: it lives as long as the worker does."""
-    key = zlib.crc32(vocabulary.encode())
-    if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(vocabulary)
-    return _ENCODERS[key]
-
-
-def _slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    at, n = 0, len(offsets) - 1
-    while at < n:
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _WORDS, "right")) - 1)
-        yield at, min(to, n)
-        at = to
+    library = Tokenizer.from_str(vocabulary)
+    library.encode_special_tokens = True
+    return lambda words: [x.ids for x in library.encode_batch_fast(words, add_special_tokens=False)]
 
 
 def write_tokens(
@@ -258,13 +221,13 @@ def write_tokens(
             if not batch.num_rows:
                 continue
             if writer is None:
-                encoder = _encoder(shared.value)
+                encoder = word_encoder(("library", zlib.crc32(shared.value.encode())), lambda: _library(shared.value))
                 store, path = fs.FileSystem.from_uri(name)
                 sink = store.open_output_stream(path)
                 writer = Writer(sink)
             doc_ids, lists = batch.column(0).to_pylist(), batch.column(1)
-            for at, to in _slices(lists.offsets.to_numpy()):
-                encoded = encoder.encode(lists[at:to].to_pylist(), end)
+            for at, to in slices(lists.offsets.to_numpy()):
+                encoded = [ids + end for ids in encoder.encode(lists[at:to].to_pylist())]
                 lengths = np.array([len(x) // 4 for x in encoded])
                 writer.add(np.frombuffer(b"".join(encoded), "<u4"), lengths, doc_ids[at:to])
         if writer is not None:
