@@ -198,8 +198,11 @@ def write_tokens(
         vocabulary = file.read()
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
+    # Spark samples the ranges' keys: beginnings of texts will do.
+    coarse = [order[0], F.substring("text", 1, 16).asc_nulls_first()]
     ranged = docs.select("doc_id", "text")
-    ranged = (ranged.repartitionByRange(partitions, *order) if partitions else ranged.repartitionByRange(*order)).sortWithinPartitions(*order)
+    ranged = ranged.repartitionByRange(partitions, *coarse) if partitions else ranged.repartitionByRange(*coarse)
+    ranged = ranged.sortWithinPartitions(*order)
 
     words = F.coalesce(
         F.regexp_extract_all("text", F.lit("(?U)" + pattern), F.lit(0)), F.array().cast("array<string>")
