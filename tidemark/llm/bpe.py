@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from tidemark.llm.common import saved
+from tidemark.llm.common import let, saved
 from tidemark.llm.kept import slices, word_encoder
 
 # Java's form of the pattern: white space as Unicode defines it.
@@ -54,10 +54,6 @@ def _rank(table: Column, piece: Column) -> Column:
     return F.coalesce(_find(table, piece), F.lit(_NEVER))
 
 
-def _let(value: Column, body) -> Column:
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def encode_word(table: Column, word: Column) -> Column:
     """The ids of a word (hex of its bytes), as the bytes merge: of all
     neighbours that form a known piece, those with the lowest rank, the first
@@ -81,14 +77,14 @@ def encode_word(table: Column, word: Column) -> Column:
                 F.concat(F.slice(r, F.lit(1), F.greatest(at - 2, F.lit(0))), before, after, F.slice(r, at + 2, n)).alias("r"),
             )
 
-        return _let(joined, with_piece)
+        return let(joined, with_piece)
 
     def step(state: Column, _: Column) -> Column:
         least = F.coalesce(F.array_min(state["r"]), F.lit(_NEVER))
-        return _let(
+        return let(
             least,
             lambda m: F.when(m == _NEVER, state).otherwise(
-                _let(F.array_position(state["r"], m).cast("int"), lambda at: merge(state, at))
+                let(F.array_position(state["r"], m).cast("int"), lambda at: merge(state, at))
             ),
         )
 
@@ -111,7 +107,7 @@ def frequent_words(docs: DataFrame, ranks: dict[bytes, int], pattern: str, size:
     driver; how many changes the work, not the ids."""
     words = docs.select(F.explode(matches(pattern)).alias("word"))
     top = saved(words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(size), "words")
-    folded = top.repartition("word").select("word", _let(rank_map(ranks), lambda t: encode_word(t, _hex("word"))).alias("ids"))
+    folded = top.repartition("word").select("word", let(rank_map(ranks), lambda t: encode_word(t, _hex("word"))).alias("ids"))
     return _literal({r.word: list(r.ids) for r in folded.collect()}, "array<int>")
 
 
@@ -136,7 +132,7 @@ def encode_natively(docs: DataFrame, ranks: dict[bytes, int], pattern: str, size
         )
 
     # Both literals stand in the plan once.
-    both = _let(rank_map(ranks), lambda ranked: _let(known, lambda looked: ids(ranked, looked)))
+    both = let(rank_map(ranks), lambda ranked: let(known, lambda looked: ids(ranked, looked)))
     return docs.drop("ids").withColumn("__words", matches(pattern)).withColumn("ids", both).drop("__words")
 
 

@@ -36,15 +36,20 @@ def words(text: Column) -> Column:
     )
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """An expression in which a value is computed once and used several times."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the links (a, b); root is the smallest
     node that it is connected with.
 
     Alternating stars: every node first hands its larger neighbours, then all
-    of its smaller ones, to the smallest neighbour it knows, until nothing
-    changes. Rounds grow with the logarithm of the longest chain. Each step is
-    an aggregate and an equi-join on a node, so that a hub is combined before
-    the shuffle and split by adaptive execution after it.
+    of its smaller ones, to the smallest neighbour it knows, until every link
+    leads to a root. Rounds grow with the logarithm of the longest chain. Each
+    step is an aggregate and an equi-join on a node, so that a hub is combined
+    before the shuffle and split by adaptive execution after it.
     """
     current = saved(
         edges.where(F.col("a") != F.col("b"))
@@ -52,8 +57,7 @@ def components(edges: DataFrame) -> DataFrame:
         .distinct(),
         "links",
     )
-    before = _summary(current)
-    while before[0]:
+    while not current.isEmpty():
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         large = (
@@ -72,20 +76,21 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct()
         )
         current = saved(small, "links")
-        after = _summary(current)
-        if after == before:
+        if _all_at_roots(current):
             break
-        before = after
     nodes = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return nodes.unionByName(
         current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
 
 
-def _summary(edges: DataFrame) -> tuple:
-    return tuple(
-        edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+def _all_at_roots(links: DataFrame) -> bool:
+    """Whether each node has one link, to a node that has none itself."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("out")).unionByName(
+        links.select(F.col("v").alias("node"), F.lit(0).alias("out")).distinct()
     )
+    kinds = ends.groupBy("node").agg(F.sum("out").alias("n"), F.min("out").alias("root"))
+    return kinds.where((F.col("n") > 1) | ((F.col("n") == 1) & (F.col("root") == 0))).isEmpty()
 
 
 def linked_groups(
@@ -93,7 +98,7 @@ def linked_groups(
     contents: Callable[[DataFrame], DataFrame],
     verify: Callable[[DataFrame, DataFrame], DataFrame],
     plausible: Callable[[str, str], Column],
-    rounds: int = 2,
+    rounds: int = 1,
 ) -> DataFrame:
     """(node, root) of the groups that verified links make among rows that
     share a bucket. ``keys`` is (bucket, id). ``contents`` gives what is to be

@@ -98,7 +98,7 @@ def learn(texts: dict[str, list[str]], order: int = ORDER) -> Model:
         lang: [np.concatenate([np.zeros(order, np.int64), symbols[x].astype(np.int64)]) for x in v]
         for lang, v in data.items()
     }
-    bits = np.full((1, size, len(langs)), 8.0)
+    bits = np.full((1, size, len(langs)), 8.0, np.float32)
     state = np.zeros(1, np.int32)  # of each context of the order below
     for length in range(order + 1):
         grams: dict[str, tuple[np.ndarray, np.ndarray]] = {}
@@ -115,7 +115,7 @@ def learn(texts: dict[str, list[str]], order: int = ORDER) -> Model:
             total = np.bincount(row, counts, len(known))
             different = np.bincount(row, minlength=len(known))
             has = total > 0
-            escape = np.zeros(len(known))
+            escape = np.zeros(len(known), np.float32)
             escape[has] = np.log2((total + different)[has] / different[has])
             lower = fresh[:, :, k] + escape[:, None]
             lower[row, found % size] = np.log2((total + different)[row] / counts)

@@ -351,7 +351,7 @@ def near_groups(
 
     least = similarity - 4 * math.sqrt(similarity * (1 - similarity) / FINE)
     plausible = lambda a, b: agreeing(a, b, FINE) >= least * FINE
-    roots = saved(linked_groups(keys, texts, verify, plausible), "near-roots")
+    roots = saved(linked_groups(keys, texts, verify, plausible, rounds=2), "near-roots")
     rooted = classes.join(roots, classes["content"] == roots["node"], "left").select(
         "content", "lead", F.coalesce("root", "content").alias("root")
     )

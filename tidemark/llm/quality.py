@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import saved, words
+from tidemark.llm.common import let, saved, words
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
@@ -58,7 +58,7 @@ def repeated_words(hashes: Column, window: int = WINDOW) -> Column:
 
     def covered(run: Column) -> Column:
         ordered = F.sort_array(F.transform(run, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
-        return _let(ordered, spread)
+        return let(ordered, spread)
 
     def spread(ordered: Column) -> Column:
         several = F.filter(
@@ -81,11 +81,7 @@ def repeated_words(hashes: Column, window: int = WINDOW) -> Column:
         )
 
     zero = F.lit(0).cast("long")
-    return _let(runs, lambda run: F.when(F.size(F.array_distinct(run)) == F.size(run), zero).otherwise(covered(run)))
-
-
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return let(runs, lambda run: F.when(F.size(F.array_distinct(run)) == F.size(run), zero).otherwise(covered(run)))
 
 
 def measured(docs: DataFrame, *names: str) -> DataFrame:
@@ -138,7 +134,7 @@ def learn_accuracies(patterns: DataFrame, n_rules: int, rounds: int = ROUNDS) ->
             F.col("p"),
             lambda p: F.struct(p["votes"].alias("votes"), p["n"].alias("n"), posterior(model, p["votes"]).alias("good")),
         )
-        return _let(judged, shares)
+        return let(judged, shares)
 
     def right(judged: Column, j: Column, vote: int, weight: Callable[[Column], Column]) -> Column:
         voted = _sum(judged, lambda p: weight(p) * F.abs(F.get(p["votes"], j)))
