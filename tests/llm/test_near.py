@@ -99,3 +99,33 @@ def test_components_of_a_chain(spark, n):
     edges = spark.createDataFrame([(i + 1, i) for i in range(n)] + [(100 + i, 500) for i in range(n)], "a long, b long")
     got = {r.node: r.root for r in components(edges).collect()}
     assert got == ({i: 0 for i in range(n + 1)} | {i: 100 for i in [*range(100, 100 + n), 500]} if n else {})
+
+
+@pytest.mark.parametrize("shared, same", [(16, True), (15, False)])
+def test_weights_are_of_shingles(shared, same):
+    """Shingles that all documents hold weigh less than those of one; with
+    equal counts 16 of 20 are exactly 0.8, and 15 are not."""
+    hashes = near._mix(np.arange(1, 21, dtype=np.uint64))
+    left = np.sort(hashes)
+    right = np.sort(hashes[:shared])
+    side = lambda h: near.Shingled(np.zeros(len(h), int), h, np.ones(len(h), int))
+    both = hashes[:shared].view(np.int64)
+    cuts = np.array([0, shared])
+    n_docs = 10
+    everywhere = np.full(shared, n_docs)
+    weights = [near.idf_weights(side(h), both, everywhere, cuts, n_docs) for h in (left, right)]
+    got = near.overlap(side(left), side(right), *weights, 1)[0]
+    rare, common = math.log(11), math.log(2)
+    assert got == pytest.approx(shared * common / (shared * common + (20 - shared) * rare))
+    flat = [near.idf_weights(side(h), both, np.ones(shared, int), cuts, n_docs) for h in (left, right)]
+    assert (near.overlap(side(left), side(right), *flat, 1)[0] >= 0.8 - 1e-9) == same
+
+
+def test_counts_are_exact(spark):
+    """Every shingle's documents, copies included, though there are more
+    shingles than a table of 65,536 cells could tell apart."""
+    long = [" ".join(f"{d}x{i}" for i in range(30_000)) for d in range(4)]
+    rows = [(i, 1, t + " a b c d e") for i, t in enumerate(long)] + [(9, 3, "a b c d e"), (10, 1, "p q r s t")]
+    classes = near.hashed_words(spark.createDataFrame(rows, "id long, copies long, text string"), "id", "copies")
+    got = {r.id: r.counts for r in near.repeated_shingles(classes).collect()}
+    assert got == {i: [7] for i in (0, 1, 2, 3, 9)}

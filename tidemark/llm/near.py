@@ -21,7 +21,7 @@ ROWS = 4
 # a similar pair at four standard deviations are not compared: a chance of about
 # 3 in 100,000.
 FINE = 512
-# Shingles are counted, as in Spark's HashingTF, by hash.
+# Cells of a table of weights by the first bits of a hash (``log_weights``).
 FEATURES = 1 << 16
 # Variates of a sample; shingles choose theirs by hash.
 _POOL = 1 << 16
@@ -102,33 +102,48 @@ def hashed_words(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(*names, F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("words"))
 
 
-def document_counts(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
-    """In how many texts a shingle of each hash bucket occurs; at the end the
-    number of texts. Each task counts its own rows, so that what is shuffled and
-    what the driver gets is bounded by ``FEATURES``."""
+def repeated_shingles(classes: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """(id, hashes, counts): for each different text (id, copies, words) those
+    of its shingles that occur in several documents, and in how many. All others
+    occur in one.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(FEATURES + 1, np.int64)
+    Counts are by 64-bit hash. They are summed in each task before the shuffle,
+    and joined back to the shingles; adaptive execution splits hot ones."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, offsets = _flat(batch.column(0))
+            ids, copies = (batch.column(k).to_numpy() for k in (0, 1))
+            values, offsets = _flat(batch.column(2))
             for at, to in _slices(offsets):
                 found = shingle(*_part(values, offsets, at, to), size)
-                cell = np.unique(found.text * FEATURES + (found.hash >> np.uint64(48)).astype(np.int64))
-                seen[:FEATURES] += np.bincount(cell % FEATURES, minlength=FEATURES)
-                seen[FEATURES] += len(np.unique(found.text))
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], names=["cell", "n"])
-
-    counted = hashed_words(docs).mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    out = np.zeros(FEATURES + 1, np.int64)
-    for cell, n in counted.collect():
-        out[cell] = n
-    return out
+                for low in range(0, len(found.text), _CHUNK):
+                    text, value = found.text[low : low + _CHUNK] + at, found.hash[low : low + _CHUNK]
+                    columns = [pa.array(x) for x in (ids[text], copies[text], value.view(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["id", "copies", "hash"])
+
+    each = classes.select("id", "copies", "words").mapInArrow(spread, "id long, copies long, hash long")
+    counted = each.groupBy("hash").agg(F.sum("copies").alias("n")).where("n > 1")
+    found = each.select("id", "hash").join(counted, "hash")
+    return found.groupBy("id").agg(F.collect_list(F.struct("hash", "n")).alias("known")).select(
+        "id", F.col("known.hash").alias("hashes"), F.col("known.n").alias("counts")
+    )
 
 
-def log_idf(counts: np.ndarray) -> np.ndarray:
-    """Logarithm of a bucket's weight, ln(1 + texts / texts that have it)."""
-    return np.log(np.log1p(counts[-1] / np.maximum(counts[:-1], 1)) + 1e-9)
+def idf_weights(
+    found: Shingled, hashes: np.ndarray, counts: np.ndarray, offsets: np.ndarray, n_docs: int
+) -> np.ndarray:
+    """Logarithm of TF * ln(1 + documents / documents that have the shingle).
+    Text by text come the shingles of several documents, with their counts."""
+    held = np.ones(len(found.hash))
+    if len(hashes):
+        owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets)).astype(np.uint64)
+        known = _mix(hashes.view(np.uint64) + owner * np.uint64(_ODD))
+        order = np.argsort(known)
+        known, counts = known[order], counts[order]
+        key = _mix(found.hash + found.text.astype(np.uint64) * np.uint64(_ODD))
+        at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+        held = np.where(known[at] == key, counts[at], 1)
+    return np.log(found.count) + np.log(np.log1p(n_docs / held))
 
 
 def log_weights(found: Shingled, idf: np.ndarray) -> np.ndarray:
@@ -211,32 +226,52 @@ def _content(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return _mix(total[offsets[1:]] - total[offsets[:-1]] + np.diff(offsets).astype(np.uint64))
 
 
-def signatures(docs: DataFrame, idf: np.ndarray, size: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, doc, content, bands): the row's key, a hash of its words (NULL
-    if it has none), and its band keys."""
-    shared = docs.sparkSession.sparkContext.broadcast(idf)
+def placed(docs: DataFrame) -> DataFrame:
+    """(doc_id, doc, content): the row's key and a hash of its words (NULL if
+    it has none)."""
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler = Sampler(bands * rows)
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values, offsets = _flat(batch.column(2))
-            for at, to in _slices(offsets):
-                own, cuts = _part(values, offsets, at, to)
-                found = shingle(own, cuts, size)
-                samples = sampler.sample(found, log_weights(found, shared.value), to - at)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0)[at:to],
-                        batch.column(1)[at:to],
-                        pa.array(_content(own, cuts).view(np.int64), mask=np.diff(cuts) == 0),
-                        _lists(band_keys(samples, rows).view(np.int64)),
-                    ],
-                    names=["doc_id", "doc", "content", "bands"],
-                )
+            content = pa.array(_content(values, offsets).view(np.int64), mask=np.diff(offsets) == 0)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], content], names=["doc_id", "doc", "content"])
 
     keyed = docs.withColumn("doc", F.xxhash64("doc_id", "text"))
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, doc long, content long, bands array<long>"
-    return hashed_words(keyed, "doc_id", "doc").mapInArrow(sign, schema)
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, doc long, content long"
+    return hashed_words(keyed, "doc_id", "doc").mapInArrow(place, schema)
+
+
+def signatures(known: DataFrame, n_docs: int, size: int, bands: int, rows: int) -> DataFrame:
+    """(id, bands): the band keys of different texts (id, words, hashes,
+    counts)."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sampler = Sampler(bands * rows)
+        for batch in batches:
+            for at, to, found, weight in weighed(batch, 1, n_docs, size):
+                samples = sampler.sample(found, weight, to - at)
+                keys = _lists(band_keys(samples, rows).view(np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[at:to], keys], names=["id", "bands"])
+
+    return known.select("id", "words", "hashes", "counts").mapInArrow(sign, "id long, bands array<long>")
+
+
+def weighed(
+    batch: pa.RecordBatch, first: int, n_docs: int, size: int
+) -> Iterator[tuple[int, int, Shingled, np.ndarray]]:
+    """(from, to, shingles, weights) of rows worked on together; the columns
+    from ``first`` on are words, hashes, counts."""
+    values, offsets = _flat(batch.column(first))
+    for at, to in _slices(offsets):
+        found = shingle(*_part(values, offsets, at, to), size)
+        yield at, to, found, _weights(found, batch, first, at, to, n_docs)
+
+
+def _weights(found: Shingled, batch: pa.RecordBatch, first: int, at: int, to: int, n_docs: int) -> np.ndarray:
+    hashes, cuts = _flat(batch.column(first + 1))
+    counts, _ = _flat(batch.column(first + 2))
+    low, high = cuts[at], cuts[to]
+    return idf_weights(found, hashes[low:high], counts[low:high], cuts[at : to + 1] - low, n_docs)
 
 
 def _lists(table: np.ndarray) -> pa.ListArray:
@@ -265,7 +300,12 @@ def agreeing(a: str, b: str, samples: int) -> Column:
 
 def weighted_jaccard(left: Shingled, right: Shingled, idf: np.ndarray, n_pairs: int) -> np.ndarray:
     """Sum of lesser over sum of greater weights, pair by pair; TF times IDF."""
-    a, b = np.exp(log_weights(left, idf)), np.exp(log_weights(right, idf))
+    return overlap(left, right, log_weights(left, idf), log_weights(right, idf), n_pairs)
+
+
+def overlap(left: Shingled, right: Shingled, log_left: np.ndarray, log_right: np.ndarray, n_pairs: int) -> np.ndarray:
+    """The same, from the logarithms of the weights."""
+    a, b = np.exp(log_left), np.exp(log_right)
     pair = np.concatenate([left.text, right.text])
     value = np.concatenate([left.hash, right.hash])
     weight = np.concatenate([a, b])
@@ -297,57 +337,60 @@ def near_groups(
     Candidates share one of 16 bands of 4 samples, which pairs at 0.8 do with a
     probability of 0.9998.
     """
-    counts = document_counts(docs, size)
-    idf = log_idf(counts)
-    signed = saved(signatures(docs, idf, size, bands, rows), "samples")
+    signed = saved(placed(docs), "samples")
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "doc")
     classes = saved(
         signed.where(F.col("content").isNotNull())
         .groupBy("content")
-        .agg(F.min(order).alias("lead"), F.first("bands").alias("bands")),
+        .agg(F.min(order).alias("lead"), F.count("*").alias("copies")),
         "classes",
     )
-    keys = classes.select(F.explode("bands").alias("bucket"), F.col("content").alias("id"))
+    n_docs = classes.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    leads = classes.select(F.col("content").alias("id"), "copies", F.col("lead.doc").alias("doc"))
+    own = saved(
+        docs.select(F.xxhash64("doc_id", "text").alias("doc"), "text").join(leads, "doc").dropDuplicates(["id"]).select("id", "copies", "text"),
+        "class-texts",
+    )
+    repeated = saved(repeated_shingles(hashed_words(own, "id", "copies"), size), "shingles")
+    none = F.array().cast("array<long>")
+    listed = [F.coalesce(c, none).alias(c) for c in ("hashes", "counts")]
+    known = own.join(repeated, "id", "left").select("id", "text", *listed)
+    split = F.transform(words(F.col("text")), lambda w: F.xxhash64(w))
+    banded = saved(signatures(known.withColumn("words", split), n_docs, size, bands, rows), "bands")
+    keys = banded.select(F.explode("bands").alias("bucket"), "id")
 
     def texts(ids: DataFrame) -> DataFrame:
-        wanted = classes.join(ids, classes["content"] == ids["id"], "left_semi").select(
-            F.col("content").alias("id"), F.col("lead.doc").alias("doc")
-        )
-        found = (
-            docs.select(F.xxhash64("doc_id", "text").alias("doc"), "text")
-            .join(wanted, "doc")
-            .dropDuplicates(["id"])
+        wanted = known.join(ids, "id", "left_semi").select("id", "text", split.alias("words"), "hashes", "counts")
+        return wanted.mapInArrow(
+            sketched, "id long, text string, hashes array<long>, counts array<long>, sketch array<long>"
         )
-        return hashed_words(found, "id", "text").mapInArrow(sketched, "id long, text string, sketch array<long>")
-
-    shared = docs.sparkSession.sparkContext.broadcast(idf)
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(FINE, seed=10)
         for batch in batches:
-            values, offsets = _flat(batch.column(2))
-            for at, to in _slices(offsets):
-                part = shingle(*_part(values, offsets, at, to), size)
-                samples = sampler.sample(part, log_weights(part, shared.value), to - at)
+            for at, to, part, weight in weighed(batch, 2, n_docs, size):
+                samples = sampler.sample(part, weight, to - at)
+                own = [batch.column(k)[at:to] for k in (0, 1, 3, 4)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[at:to], batch.column(1)[at:to], _lists(sketch(samples))],
-                    names=["id", "text", "sketch"],
+                    [*own, _lists(sketch(samples))], names=["id", "text", "hashes", "counts", "sketch"]
                 )
 
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pairs = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"])
-            left, right = _flat(batch.column(2)), _flat(batch.column(3))
+            left, right = _flat(batch.column(2)), _flat(batch.column(5))
             for at, to in _slices(left[1], right[1]):
-                both = (shingle(*_part(*side, at, to), size) for side in (left, right))
-                ok = weighted_jaccard(*both, shared.value, to - at) >= similarity
+                both = [shingle(*_part(*side, at, to), size) for side in (left, right)]
+                weights = [_weights(x, batch, first, at, to, n_docs) for x, first in zip(both, (2, 5), strict=True)]
+                # Sums of floats may miss the bound by their last digits.
+                ok = overlap(*both, *weights, to - at) >= similarity - 1e-9
                 yield pairs[at:to].filter(pa.array(ok))
 
     def verify(pairs: DataFrame, payload: DataFrame) -> DataFrame:
-        hashes = lambda c: F.transform(words(F.col(c)), lambda w: F.xxhash64(w))
-        text = payload.select("id", "text")
-        both = pairs.join(text.toDF("a", "x"), "a").join(text.toDF("b", "y"), "b")
-        return both.select("a", "b", hashes("x").alias("x"), hashes("y").alias("y")).mapInArrow(hold, "a long, b long")
+        hashes = lambda c: F.transform(words(F.col(c)), lambda w: F.xxhash64(w)).alias(c)
+        text = payload.select("id", "text", "hashes", "counts")
+        both = pairs.join(text.toDF("a", "x", "xh", "xn"), "a").join(text.toDF("b", "y", "yh", "yn"), "b")
+        return both.select("a", "b", hashes("x"), "xh", "xn", hashes("y"), "yh", "yn").mapInArrow(hold, "a long, b long")
 
     least = similarity - 4 * math.sqrt(similarity * (1 - similarity) / FINE)
     plausible = lambda a, b: agreeing(a, b, FINE) >= least * FINE
