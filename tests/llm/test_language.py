@@ -92,3 +92,11 @@ def test_training_is_bounded(docs):
     found = language.training_texts(docs, F.lit(True), train_texts=5, train_bytes=3000).groupBy("lang")
     for row in found.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).collect():
         assert row.n == 1 or (row.n <= 5 and row.b <= 3000)
+
+
+def test_long_texts_keep_no_others_out(spark):
+    rows = [("en", f"{i} " + "x" * 2_000_000) for i in range(8)] + [("en", f"short text {i}") for i in range(50)]
+    rows += [("fr", "é" * 3_000_000)]
+    found = language.training_texts(spark.createDataFrame(rows, "lang string, text string"), F.lit(True)).collect()
+    assert sorted(r.text for r in found if r.lang == "en") == sorted(t for _, t in rows[8:58])
+    assert [len(r.text.encode()) for r in found if r.lang == "fr"] == [500_000]

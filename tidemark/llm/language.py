@@ -29,17 +29,24 @@ def training_texts(
     train_bytes: int = TRAIN_BYTES,
 ) -> DataFrame:
     """(lang, text): for each language the first texts in the order of a hash,
-    as many as fit the two bounds (one at least)."""
+    as many as fit the two bounds (one at least).
+
+    Texts longer than a hundredth of ``train_bytes`` come after all others, the
+    shorter ones first, so that none of them keeps others out. Where the
+    shortest text is beyond the bound by itself, its beginning is taken."""
     rows = docs.where(eligible & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         "lang", "text", F.xxhash64("text").alias("order"), F.octet_length("text").alias("bytes")
     )
-    by_lang = Window.partitionBy("lang").orderBy("order", "text")
+    late = F.when(F.col("bytes") > train_bytes // 100, F.col("bytes")).otherwise(0)
+    by_lang = Window.partitionBy("lang").orderBy(late, "order", "text")
     first = rows.withColumn("nth", F.row_number().over(by_lang)).where(F.col("nth") <= train_texts)
     total = F.sum("bytes").over(Window.partitionBy("lang").orderBy("nth"))
+    # A character has four bytes at most.
+    start = F.when(F.col("bytes") > train_bytes, F.substring("text", 1, train_bytes // 4)).otherwise(F.col("text"))
     return (
         first.withColumn("total", total)
         .where((F.col("total") <= train_bytes) | (F.col("nth") == 1))
-        .select("lang", "text")
+        .select("lang", start.alias("text"))
     )
 
 
