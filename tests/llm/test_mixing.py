@@ -92,3 +92,12 @@ def test_edge_rows(edges, nothing):
     total = sum(len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for r in out)
     assert total == sum(r.taken for r in rows)
     assert mixing.mix(nothing).collect() == [] == mixing.mixed_documents(nothing).collect()
+
+
+def test_small_sources_meet_their_targets(spark):
+    goals = [("a", 5, 15.0), ("b", 40, 120.0), ("c", 3200, 1600.0)]
+    rows = mixing.draws(spark.createDataFrame(goals, "source string, source_size long, target double")).collect()
+    slots = Counter()
+    for r in rows:
+        slots[r.source] += r.drawn
+    assert slots == {"a": 3, "b": 6, "c": 50}

@@ -126,10 +126,12 @@ def draws(goals: DataFrame, block_words: int = BLOCK, shard: int = SHARD) -> Dat
     order = Window.orderBy(F.col("source").asc_nulls_last())
     upto = F.sum("target").over(order.rowsBetween(Window.unboundedPreceding, 0))
     total = F.sum("target").over(everything)
+    blocks = F.ceil(F.col("source_size") / block_words).cast("long")
     lines = goals.where("target > 0").select(
         "source",
-        F.greatest(F.lit(1).cast("long"), F.round(F.col("target") / block_words).cast("long")).alias("wanted"),
-        F.ceil(F.col("source_size") / block_words).cast("long").alias("blocks"),
+        # By the words that a block of this source has: the last one may be short.
+        F.greatest(F.lit(1).cast("long"), F.round(F.col("target") * blocks / F.col("source_size")).cast("long")).alias("wanted"),
+        blocks.alias("blocks"),
         ((upto - F.col("target")) / total).alias("low"),
         F.when(F.row_number().over(order) == F.count("*").over(everything), 1.0)
         .otherwise(upto / total)
