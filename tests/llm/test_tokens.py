@@ -88,3 +88,15 @@ def test_edge_rows(edges, nothing, tmp_path):
     assert sorted(map(tuple, got), key=key) == sorted(plain([r[:2] for r in EDGES]), key=key)
     assert list((tmp_path / "new").glob("*.planes"))
     assert tokens.token_table(nothing, FILE, public_tokenizers.PATTERN).collect() == []
+
+
+def test_added_tokens_in_texts(spark):
+    texts = ["a  <|endoftext|> b", "<|endoftext|><|endoftext|>", "it's<|endoftext|>\n\nnew \n", "<|endoftext| >", "  x", "y" * 20_000 + "<|endoftext|>" + " z\n" * 20_000]
+    library = Tokenizer.from_file(FILE)
+    want, at = [], 0
+    for doc, text in enumerate(texts):
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, tokens.END_ID], "<u4")
+        want.append((doc, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(map(tuple, tokens.token_table(rows, FILE, public_tokenizers.PATTERN).collect())) == want

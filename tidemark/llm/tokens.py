@@ -17,6 +17,7 @@ so that any chunk can be read by itself. Numbers are little-endian.
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from collections.abc import Iterator
@@ -25,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyarrow import fs
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import storage
@@ -169,10 +170,31 @@ def _library(vocabulary: str):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_str(vocabulary)
-    library.encode_special_tokens = True
     return lambda words: [x.ids for x in library.encode_batch_fast(words, add_special_tokens=False)]
 
 
+def _added(vocabulary: str) -> list[str]:
+    """The added tokens of a tokenizer file, which texts are cut at first."""
+    added = json.loads(vocabulary).get("added_tokens") or []
+    for token in added:
+        if any(token.get(x) for x in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"added token {token['content']!r} takes more than its own characters")
+    # The first of those that begin at a place counts, the longest by this order.
+    return sorted((token["content"] for token in added), key=len, reverse=True)
+
+
+def _split(text: Column, pattern: str, added: list[str]) -> Column:
+    """The words of a text, with the added tokens as words of their own."""
+    find = lambda part: F.regexp_extract_all(part, F.lit("(?U)" + pattern), F.lit(0))
+    plain = find(text)
+    if added:
+        token = "|".join("".join(f"\\x{{{ord(c):x}}}" for c in one) for one in added)
+        parts = F.regexp_extract_all(text, F.lit(rf"(?s)(?:{token})|.+?(?=(?:{token})|\z)"), F.lit(0))
+        cut = F.flatten(F.transform(parts, lambda part: F.when(part.isin(added), F.array(part)).otherwise(find(part))))
+        plain = F.when(text.rlike(token), cut).otherwise(plain)
+    return F.coalesce(plain, F.array().cast("array<string>"))
+
+
 def write_tokens(
     docs: DataFrame,
     tokenizer_file: str,
@@ -189,8 +211,9 @@ def write_tokens(
     order they come in. A task writes its file under a name of its own, and the
     manifest names those of the tasks that counted: one that was lost or ran
     twice leaves a file that nobody reads. ``folder`` is any store that
-    pyarrow's file systems reach. Texts are encoded without special tokens,
-    as ordinary text; NULL is as empty, and ``end_id`` follows every document.
+    pyarrow's file systems reach. No special tokens are added, but those
+    that a text holds get their own ids, as the library does by default; NULL is
+    as empty, and ``end_id`` follows every document.
     ``pattern`` is what the tokenizer splits texts by: Spark does that, and the
     library encodes the distinct words.
     """
@@ -204,9 +227,7 @@ def write_tokens(
     ranged = ranged.repartitionByRange(partitions, *coarse) if partitions else ranged.repartitionByRange(*coarse)
     ranged = ranged.sortWithinPartitions(*order)
 
-    words = F.coalesce(
-        F.regexp_extract_all("text", F.lit("(?U)" + pattern), F.lit(0)), F.array().cast("array<string>")
-    )
+    words = _split(F.col("text"), pattern, _added(vocabulary))
     split = ranged.select("doc_id", words.alias("words"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
