@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fingerprints, language, licenses, lines, mixing, near, quality, repeats, tokens
+from tidemark.llm import balls, bpe, fingerprints, language, licenses, lines, mixing, near, quality, repair, repeats, tokens
 from tidemark.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,3 +103,13 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op12_ball_dedup")
+def op12_ball_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balls.near_components(documents(spark, sf_dir))
+
+
+@query("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.damaged_and_repaired(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
