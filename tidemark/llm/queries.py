@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import balls, bpe, fingerprints, language, licenses, lines, mixing, near, quality, repair, repeats, tokens
+from tidemark.llm import balls, bpe, fingerprints, language, licenses, lines, mixing, near, phrases, quality, repair, repeats, tokens
 from tidemark.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,54 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op11_collocations",
+    r"""
+    with pieces as (
+        select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+        from documents
+    ), cut as (
+        select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+    ), starts as (
+        select lang, w, unnest(range(1, len(w) + 1)) as i from cut
+    ), grams as (
+        select lang, size, array_to_string(w[i:i + size - 1], ' ') as phrase, count(*) as f
+        from starts, (values (1), (2), (3), (4)) as sizes(size)
+        where i + size - 1 <= len(w) group by all
+    ), totals as (
+        select lang, cast(sum(f) as bigint) as n from grams where size = 1 group by lang
+    ), found as (
+        select lang, size, phrase, f as a, string_split(phrase, ' ') as w from grams where size > 1 and f >= 30
+    ), cuts as (
+        select lang, phrase, size, a, w, unnest(range(1, size)) as cut from found
+    ), scored as (
+        select c.lang, c.phrase, c.a, x.f as l, y.f as r, c.cut,
+            cast((2000000::hugeint * c.a) // (x.f::hugeint + y.f) as bigint) as score
+        from cuts c
+        join grams x on x.lang = c.lang and x.phrase = array_to_string(c.w[1:c.cut], ' ')
+        join grams y on y.lang = c.lang and y.phrase = array_to_string(c.w[c.cut + 1:c.size], ' ')
+    ), judged as (
+        select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1
+    ), inner_lengths as (
+        select lang, size, a, w, unnest(range(2, size)) as length from found where size > 2
+    ), inner_starts as (
+        select lang, a, w, length, unnest(range(1, size - length + 2)) as i from inner_lengths
+    ), longer as (
+        select lang, array_to_string(w[i:i + length - 1], ' ') as phrase, max(a) as f from inner_starts group by all
+    )
+    select j.lang, row_number() over (partition by j.lang order by j.score desc, j.a desc, j.phrase) as rank,
+        j.phrase, j.a, j.l, j.r, t.n, j.score
+    from judged j join totals t on t.lang = j.lang
+    left join longer g on g.lang = j.lang and g.phrase = j.phrase
+    where g.f is null or 100::hugeint * g.f < 80::hugeint * j.a
+    qualify rank <= 2000
+    """,
+)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
 @query("op12_ball_dedup")
 def op12_ball_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balls.near_components(documents(spark, sf_dir))
