@@ -9,8 +9,9 @@ from checks import sql
 from checks.registry import query
 from tidemark.functions import nulls, terms
 from tidemark.functions.bands import band_of, join_bands
+from tidemark.functions.dates import date_literal, ds_add
 from tidemark.operators import mentions as m
-from tidemark.operators import rollups, windows
+from tidemark.operators import prefix, rollups, windows
 from tidemark.operators.scoring import score_mentions
 from tidemark.sources.dimensions import BANDS, band_rows, project_rows
 
@@ -376,6 +377,34 @@ def join_left_star(spark, sf_dir):
     return _rounded(rollup, *_averages(rollup))
 
 
+_UNTIL = f"WHERE DATE '2025-01-01' + (doc_id % 60)::INTEGER <= DATE '{b.MENTION_REFERENCE}'"
+
+
+@query(
+    "reddit_cumulative_prefix",
+    sql.select(
+        f"{_DAILY_CONTENT.replace('FROM documents', f'FROM documents {_UNTIL}')}, {sql.BANDS}, {_SOURCES},"
+        f" {sql.left_join_star(b.MENTION_REFERENCE)}",
+        "SELECT * FROM star",
+    ),
+)
+def reddit_cumulative_prefix(spark, sf_dir):
+    """All windows as differences of running sums, those of the last day built
+    on the day before."""
+    sums = prefix.mention_sums(_daily_by_source(spark, sf_dir))
+    before = ds_add(b.MENTION_REFERENCE, -1)
+    rows = prefix.prefix_rows(
+        sums, "created_date", prefix.MENTION_KEYS, prefix.MENTION_SUMS, ds_add(b.MENTION_REFERENCE, -365), before
+    )
+    fresh = sums.where(F.col("created_date") == date_literal(b.MENTION_REFERENCE))
+    last = prefix.prefix_rows(
+        fresh, "created_date", prefix.MENTION_KEYS, prefix.MENTION_SUMS, b.MENTION_REFERENCE, b.MENTION_REFERENCE,
+        rows.where(F.col(prefix.DAY) == date_literal(before)),
+    )
+    rollup = prefix.mentions_from_prefix(rows.unionByName(last), _sources(spark, sf_dir), BANDS, b.MENTION_REFERENCE)
+    return _rounded(rollup, *_averages(rollup))
+
+
 @query(
     "cross_join_spine",
     sql.select(

@@ -212,24 +212,6 @@ def test_catalog_merge_takes_the_keys(spark):
     assert source.count() == 3
 
 
-def test_incremental_sees_changed_days(spark, tmp_path):
-    base, path = str(tmp_path / "d"), str(tmp_path / "c")
-    days = [date(2024, 1, d) for d in (1, 9, 10)]
-    sinks.overwrite_partitions(downloads(spark, *[(d, "a", "1", "3", "US", 1) for d in days[:2]]), base, DOWNLOADS)
-    aggregate_downloads(spark, base, path, "2024-01-09")
-    sinks.overwrite_partitions(downloads(spark, (days[2], "a", "1", "3", "US", 1)), base, DOWNLOADS)
-
-    def total():
-        aggregate_downloads(spark, base, path, "2024-01-10", incremental=True)
-        (row,) = scan_table(spark, path, CUMULATIVE_DOWNLOADS).where("reference_date = '2024-01-10'").collect()
-        return row.download_count_since_first_record
-
-    assert total() == 3
-    # An older day is published again: the rollup before it no longer holds.
-    sinks.overwrite_partitions(downloads(spark, (days[0], "a", "1", "3", "US", 50)), base, DOWNLOADS)
-    assert total() == 52
-
-
 def test_files_are_sorted(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.range(2000).select(

@@ -77,12 +77,13 @@ def pypi_cumulative(
         F.sum(within(day, reference, d, n)).alias(f"download_count{suffix(d)}")
         for d in (*windows, ALL_TIME)
     ]
-    return _shown(downloads.groupBy(*CUMULATIVE_KEYS).agg(*sums), reference, windows, null_safe_keys)
+    return shown(downloads.groupBy(*CUMULATIVE_KEYS).agg(*sums), reference, windows, null_safe_keys)
 
 
-def _shown(
+def shown(
     totals: DataFrame, reference: date | str, windows: Sequence[int], null_safe_keys: bool
 ) -> DataFrame:
+    """Summed windows as the rollup shows them: 0 where there is nothing."""
     def window_value(days: int) -> Column:
         value = zero_if_null(F.col(f"download_count{suffix(days)}"))
         if not null_safe_keys:
@@ -136,4 +137,4 @@ def pypi_cumulative_next(
         .groupBy(*CUMULATIVE_KEYS)
         .agg(*[F.sum(c).alias(c) for c in names])
     )
-    return _shown(totals, reference, windows, null_safe_keys=False)
+    return shown(totals, reference, windows, null_safe_keys=False)

@@ -6,11 +6,14 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidemark import storage
 from tidemark.functions.dates import ds_add, parse_day
+from tidemark.operators import ledger
 from tidemark.operators.audit import TOLERANCE, AuditResult, audit
 from tidemark.operators.downloads import agg_daily_downloads, agg_daily_project
+from tidemark.operators.prefix import DAY, downloads_from_prefix, prefix_days, prefix_rows
 from tidemark.operators.sinks import (
     append_quarantine,
     clear_table,
@@ -23,9 +26,10 @@ from tidemark.operators.sinks import (
     replace_partition,
 )
 from tidemark.operators.upsert import PUBLISH_KEYS, upsert
-from tidemark.operators.windows import changing_days, pypi_cumulative, pypi_cumulative_next
+from tidemark.operators.windows import WINDOWS, changing_days, pypi_cumulative, pypi_cumulative_next
 from tidemark.schemas import (
     CUMULATIVE_DOWNLOADS,
+    CUMULATIVE_KEYS,
     DAILY_PROJECT_DOWNLOADS,
     DOWNLOADS,
     STAGED_DOWNLOADS,
@@ -117,38 +121,98 @@ def aggregate_downloads(
     downloads_table: Table = DOWNLOADS,
     table: Table = CUMULATIVE_DOWNLOADS,
     incremental: bool = False,
+    prefix_path: str | None = None,
 ) -> None:
     """Rebuild the cumulative rollup of a date, from all history.
 
     ``incremental`` builds it on the rollup of the day before instead and reads
-    six days of downloads. It needs the rollup of the day before, and no older
-    day written since: otherwise the day is built from all history.
+    six days of downloads. That needs the rollup and its ledger, no older day
+    that was added, removed or changed since, and no later one: otherwise the
+    day is built from all history.
+
+    ``prefix_path`` builds it from a table of running sums, which is brought up
+    to date first and reads the days since the first changed one; days after
+    ``ds`` do not count then.
     """
     create_table(spark, path, table)
-    days = changing_days(ds)
-    if incremental and _unchanged_since(spark, downloads_path, downloads_table, path, table, ds):
-        before = scan_table_partition(spark, path, table, "reference_date", ds_add(ds, -1))
-        rollup = pypi_cumulative_next(
-            before, read_partitions(spark, downloads_path, downloads_table, days), ds
-        )
+    day = parse_day(ds).isoformat()
+    if prefix_path is not None:
+        prefix_table = extend_prefix(spark, downloads_path, prefix_path, ds, downloads_table)
+        prefix = read_partitions(spark, prefix_path, prefix_table, prefix_days(ds))
+        replace_partition(downloads_from_prefix(prefix, ds), path, table, ds)
+        compact_partition(spark, path, table, ds)
+        return
+    yesterday = ds_add(ds, -1)
+    before = ledger.read(spark, ledger.place(path, yesterday.isoformat()))
+    now = ledger.take(spark, downloads_path, downloads_table, before, read=incremental)
+    if incremental and before is not None and day not in before and ledger.changed(before, now) <= {day}:
+        then = scan_table_partition(spark, path, table, "reference_date", yesterday)
+        days = read_partitions(spark, downloads_path, downloads_table, changing_days(ds))
+        rollup = pypi_cumulative_next(then, days, ds)
     else:
         rollup = pypi_cumulative(scan_table(spark, downloads_path, downloads_table), ds)
+    storage.delete_tree(spark, ledger.place(path, day))
     replace_partition(rollup, path, table, ds)
     compact_partition(spark, path, table, ds)
+    ledger.write(spark, now, ledger.place(path, day))
+
 
+def prefix_of(table: Table, day: str, keys: Sequence[str], sums: Sequence[str]) -> Table:
+    """The table of running sums over a daily table. Sums are 64 bits wide."""
+    kinds = {f.name: f.dataType for f in table.schema}
+    fields = [T.StructField(DAY, kinds[day]), *(T.StructField(k, kinds[k]) for k in keys)]
+    return Table(
+        f"{table.name}_prefix", T.StructType([*fields, *(T.StructField(c, T.LongType()) for c in sums)]), partition=DAY
+    )
 
-def _unchanged_since(
-    spark: SparkSession, downloads_path: str, downloads: Table, path: str, table: Table, ds: date | str
-) -> bool:
-    """Whether the rollup of the day before is there and newer than every day
-    of downloads but the run's own, by the times at which files were written."""
-    before = ds_add(ds, -1).isoformat()
-    built = storage.changed_at(spark, f"{storage.partition_dir(path, table.partition, before)}/part-*")
-    if not built:
-        return False
-    today = f"{downloads.partition}={parse_day(ds).isoformat()}"
-    written = storage.changed_at(spark, f"{downloads_path}/{downloads.partition}=*/*")
-    return all(at <= min(built.values()) for day, at in written.items() if day != today)
+
+def extend_prefix(
+    spark: SparkSession,
+    path: str,
+    prefix_path: str,
+    ds: date | str,
+    table: Table = DOWNLOADS,
+    keys: Sequence[str] = CUMULATIVE_KEYS,
+    sums: Sequence[str] = ("download_count",),
+    kept_days: int = max(WINDOWS),
+) -> Table:
+    """Bring a table of running sums up to a date, and return its description.
+
+    Days from the first one on that was added, removed or changed since the last
+    call are built again, on the prefix rows of the day before: as a rule only
+    the new day. Days that no window reaches any more are dropped. Where the day
+    before is gone, or rows without a date have changed, all kept days are built
+    from all history.
+    """
+    prefix_table = prefix_of(table, table.partition, keys, sums)
+    create_table(spark, prefix_path, prefix_table)
+    last, oldest = parse_day(ds), ds_add(ds, -kept_days)
+    before = ledger.read(spark, ledger.place(prefix_path, "source")) or {}
+    now = ledger.take(spark, path, table, before)
+    there = {parse_day(d) for d in storage.partition_values(spark, prefix_path, DAY)}
+    dated = [parse_day(d) for d in now if d is not None]
+    begins = max(min(dated, default=last), oldest)
+    if None in now:
+        begins = oldest
+    changes = ledger.changed(before, now)
+    stale = [parse_day(d) for d in changes if d is not None and parse_day(d) <= last]
+    needed = [ds_add(begins, i) for i in range((last - begins).days + 1)]
+    first = min([*stale, *(d for d in needed if d not in there)], default=None)
+    if first is not None or None in changes:
+        if None in changes or first <= begins or ds_add(first, -1) not in there:
+            first, then = begins, None
+            rows = scan_table(spark, path, table)
+        else:
+            then = read_partitions(spark, prefix_path, prefix_table, [ds_add(first, -1)])
+            rows = read_partitions(spark, path, table, [d for d in dated if first <= d <= last])
+        # Until the new rows are there, the next call must not rely on the old.
+        storage.delete_tree(spark, ledger.place(prefix_path, "source"))
+        built = prefix_rows(rows, table.partition, keys, sums, first, last, then)
+        overwrite_partitions(built, prefix_path, prefix_table)
+        for d in there - set(needed):
+            storage.delete_tree(spark, storage.partition_dir(prefix_path, DAY, d))
+    ledger.write(spark, now, ledger.place(prefix_path, "source"))
+    return prefix_table
 
 
 def serve_downloads(

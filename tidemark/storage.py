@@ -4,12 +4,17 @@ work on any store the cluster can read."""
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+# The folder of rows without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path under the cluster's shared ``spark.checkpoint.dir``.
 
@@ -54,19 +59,8 @@ def size_in_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(handle).getLength() if fs.exists(handle) else 0
 
 
-def changed_at(spark: SparkSession, pattern: str) -> dict[str, int]:
-    """The folder of each file that matches a glob, and when the latest of its
-    files was written (milliseconds)."""
-    fs, handle = _resolve(spark, pattern)
-    latest: dict[str, int] = {}
-    for status in fs.globStatus(handle) or []:
-        folder = status.getPath().getParent().getName()
-        latest[folder] = max(latest.get(folder, 0), status.getModificationTime())
-    return latest
-
-
 def partition_dir(path: str, column: str, value) -> str:
-    name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+    name = NO_VALUE if value is None else str(value)
     return f"{path}/{column}={name}"
 
 
@@ -87,3 +81,17 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     prefix = f"{column}="
     names = (p.rsplit("/", 1)[1] for p in glob(spark, f"{path}/{prefix}*"))
     return [name[len(prefix):] for name in names]
+
+
+def file_signatures(spark: SparkSession, path: str, column: str) -> dict[str | None, str]:
+    """For each value of a partition column a digest of the names, lengths and
+    times of its data files."""
+    fs, _ = _resolve(spark, path)
+    found: dict[str | None, list[str]] = {}
+    handle = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}=*/[!_.]*")
+    for status in fs.globStatus(handle) or []:
+        file = status.getPath()
+        value = file.getParent().getName().removeprefix(f"{column}=")
+        key = None if value == NO_VALUE else value
+        found.setdefault(key, []).append(f"{file.getName()}:{status.getLen()}:{status.getModificationTime()}")
+    return {key: hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest() for key, files in found.items()}
