@@ -8,10 +8,11 @@ from checks import bindings as b
 from checks import sql
 from checks.registry import query
 from tidemark.functions import nulls, terms
-from tidemark.functions.bands import band_of, join_bands
+from tidemark.functions.bands import band_of
 from tidemark.functions.dates import date_literal, ds_add
 from tidemark.operators import mentions as m
 from tidemark.operators import prefix, rollups, windows
+from tidemark.operators.intervals import join_bands
 from tidemark.operators.scoring import score_mentions
 from tidemark.sources.dimensions import BANDS, band_rows, project_rows
 
@@ -265,6 +266,39 @@ def range_join_band_table(spark, sf_dir):
     return join_bands(scores.drop("summary"), "polarity", band_rows(spark))
 
 
+_BANDS_OF_PRICES = """bands AS (
+  SELECT p_partkey AS polarity_category, p_retailprice - p_size AS polarity_lower_bound,
+    p_retailprice + p_size * p_size AS polarity_upper_bound FROM part)"""
+
+
+@query(
+    "range_join_many_bands",
+    sql.select(
+        _BANDS_OF_PRICES,
+        "SELECT l_orderkey, l_linenumber, COUNT(polarity_category) AS n_bands, SUM(polarity_category)::BIGINT AS band_keys"
+        " FROM lineitem LEFT JOIN bands ON l_extendedprice / l_quantity BETWEEN polarity_lower_bound AND polarity_upper_bound"
+        " GROUP BY ALL",
+    ),
+)
+def range_join_many_bands(spark, sf_dir):
+    """A band for each part around its price, and the bands that hold the unit
+    price of each line."""
+    size, price = F.col("p_size"), F.col("p_retailprice")
+    bands = b.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("polarity_category"),
+        (price - size).alias("polarity_lower_bound"),
+        (price + size * size).alias("polarity_upper_bound"),
+    )
+    lines = b.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price")
+    )
+    return (
+        join_bands(lines, "unit_price", bands)
+        .groupBy("l_orderkey", "l_linenumber")
+        .agg(F.count("polarity_category").alias("n_bands"), F.sum("polarity_category").alias("band_keys"))
+    )
+
+
 # --- rollups -----------------------------------------------------------------
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.test_records import NOW, record
-from tidemark.functions.bands import Band, gapless, join_bands
+from tidemark.functions.bands import Band, gapless
+from tidemark.operators.intervals import join_bands
 from tidemark.operators import sinks
 from tidemark.operators.downloads import agg_daily_downloads
 from tidemark.operators.layout import clustered

@@ -8,7 +8,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.functions.bands import Band, band_of, gapless, join_bands
+from tidemark.functions.bands import Band, band_of, gapless
+from tidemark.operators.intervals import join_bands
 from tidemark.operators.mentions import explode_mentions
 from tidemark.operators.rollups import join_mentions_polarity, reddit_cumulative, reddit_daily
 from tidemark.schemas import MENTIONS

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -41,7 +41,7 @@ def band_of(value: Column, bands: Sequence[Band]) -> Column:
     """The band a value falls in; NULL in a gap, outside all, or for NULL.
 
     A plain CASE, so the range lookup needs no join. The bands must not share
-    a value; see :func:`join_bands` for a table of bands that may.
+    a value; see ``operators.intervals.join_bands`` for a table of bands that may.
     """
     if not disjoint(bands):
         raise ValueError("bands overlap: use join_bands")
@@ -50,34 +50,3 @@ def band_of(value: Column, bands: Sequence[Band]) -> Column:
     for band in rest:
         case = case.when(value.between(band.lower, band.upper), band.category)
     return case
-
-
-def join_bands(df: DataFrame, value: str, bands: DataFrame, cells: int = 64) -> DataFrame:
-    """Left range join with a table of bands of any size, overlapping or not,
-    and open at the ends or not.
-
-    Values are cut into cells at quantiles of the bands' own bounds; a band is
-    in each cell that it touches, ``cells`` at most. That makes it an equi-join,
-    which Spark can shuffle and split, and the exact range is its second
-    condition. A row without a band keeps a NULL category.
-    """
-    bounds = bands.select(F.explode(F.array("polarity_lower_bound", "polarity_upper_bound")).alias("at"))
-    steps = [i / cells for i in range(1, cells)]
-    cuts = sorted(set(bounds.where("at IS NOT NULL").approxQuantile("at", steps, 0.001)))
-    edges = F.array(*map(F.lit, cuts)).cast("array<double>")
-
-    def cell(at: Column) -> Column:
-        return F.size(F.filter(edges, lambda edge: edge <= at))
-
-    spread = bands.select(
-        F.explode(F.sequence(cell(F.col("polarity_lower_bound")), cell(F.col("polarity_upper_bound")))).alias("_band_cell"),
-        "polarity_category",
-        "polarity_lower_bound",
-        "polarity_upper_bound",
-    )
-    in_range = F.col(value).between(F.col("polarity_lower_bound"), F.col("polarity_upper_bound"))
-    return (
-        df.withColumn("_cell", F.when(F.col(value).isNotNull(), cell(F.col(value))))
-        .join(spread, (F.col("_cell") == F.col("_band_cell")) & in_range, "left")
-        .drop("_cell", "_band_cell", "polarity_lower_bound", "polarity_upper_bound")
-    )
