@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import EDGES
 from tidemark.llm import mixing
@@ -101,3 +102,18 @@ def test_small_sources_meet_their_targets(spark):
     for r in rows:
         slots[r.source] += r.drawn
     assert slots == {"a": 3, "b": 6, "c": 50}
+
+
+def test_permutations_are_bijections(spark):
+    sizes = [*range(1, 70), 99, 100, 101, 255, 256, 257, 1000, 4097, 99_991]
+    rows = spark.createDataFrame([(n,) for n in sizes], "n long").selectExpr("n", "explode(sequence(0L, n - 1)) AS i")
+    placed = rows.select("n", "i", *[mixing.permuted(F.col("i"), F.col("n"), F.lit(k)).alias(f"p{k}") for k in (1, 2)])
+    out = placed.groupBy("n").agg(
+        *[f(f"p{k}").alias(f"{name}{k}") for k in (1, 2) for name, f in (("distinct", F.count_distinct), ("low", F.min), ("high", F.max))],
+        F.sum((F.col("p1") == F.col("p2")).cast("int")).alias("same"),
+        F.sum((F.col("p1") == F.col("i")).cast("int")).alias("fixed"),
+    )
+    for r in out.collect():
+        assert (r.distinct1, r.low1, r.high1) == (r.distinct2, r.low2, r.high2) == (r.n, 0, r.n - 1)
+        if r.n > 500:
+            assert r.same < r.n / 50 and r.fixed < r.n / 50

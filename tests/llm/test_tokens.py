@@ -6,6 +6,7 @@ import io
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given
@@ -100,3 +101,24 @@ def test_added_tokens_in_texts(spark):
         at += len(ids)
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert sorted(map(tuple, tokens.token_table(rows, FILE, public_tokenizers.PATTERN).collect())) == want
+
+
+def test_a_worker_builds_an_encoder_once(spark):
+    """Six tasks, two vocabularies of one size: each worker builds each once."""
+
+    def run(batches):
+        import os
+
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                built = []
+                for name in ("a", "b"):
+                    make = lambda name=name: built.append(name) or (lambda words: [[ord(name)] for _ in words])
+                    (ids,) = kept.word_encoder(kept.content_key("test", name), make).encode([["word"]])
+                    assert ids == ord(name).to_bytes(4, "little")
+                yield pa.RecordBatch.from_pydict({"i": [i], "worker": [os.getpid()], "built": [len(built)]})
+
+    rows = spark.range(0, 60, 1, 30).mapInArrow(run, "i long, worker long, built long").collect()
+    workers = {r.worker for r in rows}
+    assert len(rows) == 60 and len(workers) < 30
+    assert sum(r.built for r in rows) <= 2 * len(workers)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from tidemark.llm.common import let, saved
-from tidemark.llm.kept import slices, word_encoder
+from tidemark.llm.kept import content_key, slices, word_encoder
 
 # Java's form of the pattern: white space as Unicode defines it.
 JAVA_FLAGS = "(?U)"
@@ -186,6 +186,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """
     docs = docs.drop("ids", "packed", "decoded")
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    key = content_key("ranks", sorted(ranks.items()))
     added = [
         StructField("ids", ArrayType(IntegerType())),
         StructField("packed", BinaryType()),
@@ -198,7 +199,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
         pieces = [b""] * (max(known.values(), default=-1) + 1)
         for piece, rank in known.items():
             pieces[rank] = piece
-        encoder = word_encoder(("ranks", len(known)), lambda: lambda words: [fold(w.encode(), known) for w in words])
+        encoder = word_encoder(key, lambda: lambda words: [fold(w.encode(), known) for w in words])
         for batch in batches:
             lists = batch.column(batch.num_columns - 1)
             for at, to in slices(lists.offsets.to_numpy()):

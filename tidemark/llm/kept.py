@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import sys
 from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
@@ -34,14 +36,29 @@ class WordEncoder:
         return [b"".join(map(get, text)) for text in texts]
 
 
-_ENCODERS: dict[Hashable, WordEncoder] = {}
+def content_key(*parts: object) -> str:
+    """A digest that tells vocabularies apart by what they hold."""
+    digest = hashlib.sha256()
+    for part in parts:
+        digest.update(repr(part).encode())
+    return digest.hexdigest()
 
 
 def word_encoder(key: Hashable, make: Callable[[], Encode]) -> WordEncoder:
-    """The worker's own encoder of a vocabulary: it lives as long as the worker."""
-    if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(make())
-    return _ENCODERS[key]
+    """The worker's own encoder of a vocabulary: it lives as long as the worker.
+
+    Tasks bring this package with them, a new copy each, so the encoders are
+    kept by a module that the worker itself has imported. ``key`` must tell
+    vocabularies apart; the two last used are kept.
+    """
+    encoders: dict[Hashable, WordEncoder] = vars(sys).setdefault("_tidemark_word_encoders", {})
+    encoder = encoders.pop(key, None)
+    if encoder is None:
+        encoder = WordEncoder(make())
+        while len(encoders) > 1:
+            encoders.pop(next(iter(encoders)))
+    encoders[key] = encoder
+    return encoder
 
 
 def slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, saved
+from tidemark.llm.common import WORD, let, saved
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -77,38 +79,56 @@ def packed(sized: DataFrame) -> DataFrame:
         "shift", F.sum("total").over(along.rowsBetween(Window.unboundedPreceding, 0)) - F.col("total")
     ).select(F.col("source").alias("s"), F.col("part").alias("p"), "shift")
     return (
-        local.join(moved, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
+        local.join(moved.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
         .withColumn("start", F.col("shift") + F.col("within"))
         .drop("s", "p", "shift", "within")
     )
 
 
-def _permuted(rows: DataFrame, block_words: int) -> DataFrame:
-    """(source, block, place, blocks): the blocks of every source, each at its
-    place in a pseudorandom permutation: its rank by hash, counted in parts."""
-    first = F.expr(f"(start + {block_words - 1}) div {block_words}")
-    last = F.expr(f"(start + size - 1) div {block_words}")
-    begun = (
-        rows.where("size > 0")
-        .withColumn("first", first)
-        .withColumn("last", last)
-        .where("first <= last")
-        .select("source", F.explode(F.sequence("first", "last")).alias("block"))
-        .withColumn("order", F.xxhash64(F.lit(SEED + 1), "source", "block"))
-        .withColumn("part", F.shiftrightunsigned("order", 52))
-    )
-    inside = Window.partitionBy("source", "part").orderBy("order", "block")
-    local = begun.withColumn("nth", F.row_number().over(inside) - 1)
-    totals = begun.groupBy("source", "part").agg(F.count("*").alias("total"))
-    along = Window.partitionBy("source").orderBy("part")
-    moved = totals.select(
-        F.col("source").alias("s"),
-        F.col("part").alias("p"),
-        (F.sum("total").over(along.rowsBetween(Window.unboundedPreceding, 0)) - F.col("total")).alias("shift"),
-    )
-    return local.join(
-        moved, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p"))
-    ).select("source", "block", (F.col("shift") + F.col("nth")).alias("place"))
+# Rounds of the permutation, and steps by which it walks back into its range.
+_ROUNDS = 6
+_WALK = 32
+
+
+def permuted(index: Column, n: Column, key: Column) -> Column:
+    """The place of an index in a pseudorandom permutation of [0, n), a
+    different one for each key.
+
+    A Feistel network over a grid of a by b cells, a the root of n rounded up
+    and b just large enough, permutes [0, a * b). What falls on the fewer than a
+    cells beyond n goes through it again until it does not, which keeps it a
+    permutation of [0, n). That takes at most one step more than there are such
+    cells; a step fails with a probability below 1 / a.
+    """
+
+    def turn(number: int, side: str, other: str, size: Column) -> Callable[[Column], Column]:
+        """One side moves by a hash of the other."""
+
+        def body(s: Column) -> Column:
+            moved = F.pmod(s[side] + F.pmod(F.xxhash64(F.lit(SEED + 2 + number), key, s[other]), size), size)
+            return F.struct(*[(moved if name == side else s[name]).alias(name) for name in "lr"])
+
+        return body
+
+    def network(x: Column, a: Column, b: Column) -> Column:
+        state = F.struct(F.pmod(x, a).alias("l"), F.floor((x - F.pmod(x, a)) / a).cast("long").alias("r"))
+        for number in range(_ROUNDS):
+            state = let(state, turn(number, *(("l", "r", a) if number % 2 == 0 else ("r", "l", b))))
+        return let(state, lambda s: s["l"] + a * s["r"])
+
+    def walked(a: Column, b: Column) -> Column:
+        steps = F.sequence(F.lit(1), F.lit(_WALK))
+        first = network(index, a, b)
+        return let(
+            first,
+            lambda x: F.when(x < n, x).otherwise(
+                F.aggregate(steps, x, lambda at, _: F.when(at < n, at).otherwise(network(at, a, b)))
+            ),
+        )
+
+    root = F.ceil(F.sqrt(n.cast("double"))).cast("long")
+    place = let(root, lambda a: let(F.ceil(n / a).cast("long"), lambda b: walked(a, b)))
+    return let(place, lambda x: F.when(x < n, x).otherwise(F.raise_error(F.lit("permutation did not end")).cast("long")))
 
 
 def draws(goals: DataFrame, block_words: int = BLOCK, shard: int = SHARD) -> DataFrame:
@@ -188,16 +208,16 @@ def draws(goals: DataFrame, block_words: int = BLOCK, shard: int = SHARD) -> Dat
     return enough.where("drawn > 0").unionByName(short)
 
 
-def times(rows: DataFrame, goals: DataFrame, block_words: int = BLOCK, shard: int = SHARD) -> DataFrame:
+def times(goals: DataFrame, block_words: int = BLOCK, shard: int = SHARD) -> DataFrame:
     """(source, block, times): how often the mix takes each block that it takes.
 
-    The i-th draw of a source stands for place i, modulo its blocks, of the
-    source's permutation; places and blocks are joined by that index. A source
-    is used up before anything of it comes again.
+    The i-th draw of a source takes the block at place i, modulo its blocks, of
+    the source's permutation. A source is used up before anything of it comes
+    again.
     """
     parts = F.sequence(F.lit(0).cast("long"), F.expr(f"(drawn - 1) div {shard}"))
     slots = (
-        draws(goals, block_words, shard)
+        saved(draws(goals, block_words, shard), "draws")
         .select("source", "first", "drawn", "blocks", F.explode(parts).alias("part"))
         .repartition(F.col("source"), F.col("first"), F.col("part"))
         .select(
@@ -208,11 +228,9 @@ def times(rows: DataFrame, goals: DataFrame, block_words: int = BLOCK, shard: in
             ).alias("draw"),
         )
     )
-    wanted = slots.groupBy("source", F.expr("draw % blocks").alias("place")).agg(F.count("*").alias("times"))
-    blocks = _permuted(rows, block_words)
-    return blocks.join(
-        wanted.toDF("s", "at", "times"), F.col("source").eqNullSafe(F.col("s")) & (F.col("place") == F.col("at"))
-    ).select("source", "block", "times")
+    wanted = slots.groupBy("source", "blocks", F.expr("draw % blocks").alias("place")).agg(F.count("*").alias("times"))
+    key = F.xxhash64(F.col("source").isNull(), "source")
+    return wanted.select("source", permuted(F.col("place"), F.col("blocks"), key).alias("block"), "times")
 
 
 def pieces(rows: DataFrame, taken: DataFrame, block_words: int = BLOCK) -> DataFrame:
@@ -230,7 +248,7 @@ def pieces(rows: DataFrame, taken: DataFrame, block_words: int = BLOCK) -> DataF
     )
     hit = (
         spread.join(
-            taken.toDF("s", "b", "times"), F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b"))
+            taken.toDF("s", "b", "times").hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b"))
         )
         .withColumn("from", F.greatest(F.lit(0).cast("long"), F.col("block") * block_words - F.col("start")))
         .withColumn(
@@ -243,7 +261,7 @@ def pieces(rows: DataFrame, taken: DataFrame, block_words: int = BLOCK) -> DataF
         F.sum(F.col("words") * F.col("times")).alias("taken"),
     )
     return rows.join(
-        by_row,
+        by_row.hint("merge"),
         F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")) & (F.col("row") == F.col("r")),
         "left",
     ).select(*names, "pieces", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
@@ -278,7 +296,8 @@ def mix(
     goals = saved(
         targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))), "targets"
     )
-    out = pieces(rows, times(rows, goals, block_words, shard), block_words)
+    taken = saved(times(goals, block_words, shard), "times")
+    out = pieces(rows, taken, block_words)
     g = goals.toDF("s", "source_size", "target")
     return out.join(g, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
 

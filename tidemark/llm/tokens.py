@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidemark import storage
 from tidemark.llm.common import saved
-from tidemark.llm.kept import slices, word_encoder
+from tidemark.llm.kept import content_key, slices, word_encoder
 
 MAGIC = b"BITPLANE"
 CHUNK = 1 << 16
@@ -220,6 +220,7 @@ def write_tokens(
     with open(tokenizer_file, encoding="utf-8") as file:
         vocabulary = file.read()
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    key = content_key("library", vocabulary)
     order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
     # Spark samples the ranges' keys: beginnings of texts will do.
     coarse = [order[0], F.substring("text", 1, 16).asc_nulls_first()]
@@ -245,7 +246,7 @@ def write_tokens(
             if not batch.num_rows:
                 continue
             if writer is None:
-                encoder = word_encoder(("library", zlib.crc32(shared.value.encode())), lambda: _library(shared.value))
+                encoder = word_encoder(key, lambda: _library(shared.value))
                 store, path = fs.FileSystem.from_uri(name)
                 sink = store.open_output_stream(path)
                 writer = Writer(sink)
@@ -283,7 +284,8 @@ def read_documents(manifest: DataFrame) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return placed.repartition("path").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # A number that adaptive execution keeps: files are few rows and much work.
+    return placed.repartition(max(manifest.count(), 1), "path").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_table(
