@@ -61,7 +61,7 @@ def test_field_counts():
         ({"category": ...}, ["category: missing"]),
         ({"title": None}, ["title: null"]),
         ({"ups": "1"}, ["ups: not a integer"]),
-        ({"ups": 1.5, "id": 7}, ["ups: not a integer", "id: not a string"]),
+        ({"ups": 1.5, "id": 7}, ["id: not a string", "ups: not a integer"]),
         ({"archived": "true"}, ["archived: not a boolean"]),
         ({"media": "text"}, ["media: not a object"]),
         ({"treatment_tags": {}}, ["treatment_tags: not a list"]),

@@ -133,46 +133,126 @@ DAILY_PROJECT_DOWNLOADS = Table(
 
 # --- forum content -----------------------------------------------------------
 
-SUBMISSION_RECORD = _struct(
-    (
-        "archived clicked hidden hide_score is_created_from_ads_ui is_meta"
-        " is_original_content is_reddit_media_domain is_self is_video locked media_only"
-        " no_follow over_18 pinned quarantine saved send_replies spoiler stickied",
-        _BOOL,
-    ),
-    (
-        "downs gilded num_comments num_crossposts pwls score subreddit_subscribers"
-        " total_awards_received ups wls",
-        _INT,
-    ),
-    ("created created_utc upvote_ratio", _DOUBLE),
+# The columns of both tables in their declared order.
+_SUBMISSION_COLUMNS = _struct(
+    ("archived", _BOOL),
+    ("author_fullname", _STR),
+    ("author_flair_css_class", _STR),
+    ("author_flair_text", _STR),
+    ("category", _STR),
+    ("clicked", _BOOL),
+    ("created", _DOUBLE),
+    ("created_utc", _DOUBLE),
+    ("created_date", _DATE),
+    ("distinguished", _STR),
+    ("domain", _STR),
+    ("downs", _INT),
+    ("edited", _STR),
+    ("gilded", _INT),
     ("gildings", _COUNTS),
-    ("treatment_tags user_reports", _STRINGS),
-    (
-        "author_fullname author_flair_css_class author_flair_text category distinguished"
-        " domain edited id link_flair_css_class link_flair_text media media_embed name"
-        " permalink removed_by_category secure_media selftext selftext_html subreddit_id"
-        " subreddit_name_prefixed subreddit_type thumbnail title url"
-        " _fetched_date _fetched_iso_utc",
-        _STR,
-    ),
+    ("hidden", _BOOL),
+    ("hide_score", _BOOL),
+    ("id", _STR),
+    ("is_created_from_ads_ui", _BOOL),
+    ("is_meta", _BOOL),
+    ("is_original_content", _BOOL),
+    ("is_reddit_media_domain", _BOOL),
+    ("is_self", _BOOL),
+    ("is_video", _BOOL),
+    ("link_flair_css_class", _STR),
+    ("link_flair_text", _STR),
+    ("locked", _BOOL),
+    ("media", _STR),
+    ("media_embed", _STR),
+    ("media_only", _BOOL),
+    ("name", _STR),
+    ("no_follow", _BOOL),
+    ("num_comments", _INT),
+    ("num_crossposts", _INT),
+    ("over_18", _BOOL),
+    ("parent_whitelist_status", _STR),
+    ("permalink", _STR),
+    ("pinned", _BOOL),
+    ("pwls", _INT),
+    ("quarantine", _BOOL),
+    ("removed_by_category", _STR),
+    ("saved", _BOOL),
+    ("score", _INT),
+    ("secure_media", _STR),
+    ("selftext", _STR),
+    ("selftext_html", _STR),
+    ("send_replies", _BOOL),
+    ("spoiler", _BOOL),
+    ("stickied", _BOOL),
+    ("subreddit_id", _STR),
+    ("subreddit_name_prefixed", _STR),
+    ("subreddit_subscribers", _INT),
+    ("subreddit_type", _STR),
+    ("thumbnail", _STR),
+    ("title", _STR),
+    ("total_awards_received", _INT),
+    ("treatment_tags", _STRINGS),
+    ("ups", _INT),
+    ("upvote_ratio", _DOUBLE),
+    ("url", _STR),
+    ("user_reports", _STRINGS),
+    ("whitelist_status", _STR),
+    ("wls", _INT),
+    ("_fetched_date", _STR),
+    ("_fetched_iso_utc", _STR),
 )
-COMMENT_RECORD = _struct(
-    ("archived collapsed is_submitter locked no_follow score_hidden send_replies stickied", _BOOL),
-    ("controversiality downs gilded score total_awards_received ups", _INT),
+_COMMENT_COLUMNS = _struct(
+    ("archived", _BOOL),
+    ("author_fullname", _STR),
+    ("author_flair_css_class", _STR),
+    ("author_flair_text", _STR),
+    ("awarders", _STRINGS),
+    ("body", _STR),
+    ("body_html", _STR),
+    ("collapsed", _BOOL),
+    ("collapsed_reason", _STR),
+    ("collapsed_reason_code", _STR),
+    ("controversiality", _INT),
     ("created_utc", _DOUBLE),
+    ("created_date", _DATE),
+    ("distinguished", _STR),
+    ("downs", _INT),
+    ("edited", _STR),
+    ("gilded", _INT),
     ("gildings", _COUNTS),
-    ("awarders treatment_tags", _STRINGS),
-    (
-        "author_fullname author_flair_css_class author_flair_text body body_html"
-        " collapsed_reason collapsed_reason_code distinguished edited id link_id name"
-        " parent_id permalink subreddit_id subreddit_name_prefixed subreddit_type"
-        " _fetched_date _fetched_iso_utc",
-        _STR,
-    ),
+    ("id", _STR),
+    ("is_submitter", _BOOL),
+    ("link_id", _STR),
+    ("locked", _BOOL),
+    ("name", _STR),
+    ("no_follow", _BOOL),
+    ("parent_id", _STR),
+    ("permalink", _STR),
+    ("score", _INT),
+    ("score_hidden", _BOOL),
+    ("send_replies", _BOOL),
+    ("stickied", _BOOL),
+    ("subreddit_id", _STR),
+    ("subreddit_name_prefixed", _STR),
+    ("subreddit_type", _STR),
+    ("total_awards_received", _INT),
+    ("treatment_tags", _STRINGS),
+    ("ups", _INT),
+    ("_fetched_date", _STR),
+    ("_fetched_iso_utc", _STR),
 )
 LEGACY_COLUMNS = ("parent_whitelist_status", "whitelist_status")
 
+
+def _record(columns: T.StructType) -> T.StructType:
+    """What a raw record of a table holds: the table adds a date and two
+    columns that records no longer have."""
+    return T.StructType([f for f in columns if f.name not in (*LEGACY_COLUMNS, "created_date")])
+
+
+SUBMISSION_RECORD = _record(_SUBMISSION_COLUMNS)
+COMMENT_RECORD = _record(_COMMENT_COLUMNS)
+
 # Fields that must be present and not null in a raw record.
 REQUIRED_SUBMISSION = (
     "archived created created_utc downs edited gilded id is_self is_video locked media_only"
@@ -192,12 +272,7 @@ FETCH_FIELDS = ("_fetched_date", "_fetched_iso_utc")
 _MONTH = "date_format(created_date, 'yyyy-MM')"
 SUBMISSIONS = Table(
     "reddit_submissions",
-    T.StructType(
-        [
-            *SUBMISSION_RECORD.fields,
-            *_struct((" ".join(LEGACY_COLUMNS), _STR), ("created_date", _DATE)).fields,
-        ]
-    ),
+    _SUBMISSION_COLUMNS,
     partition="created_month",
     partition_sql=_MONTH,
     keys=("id",),
@@ -205,7 +280,7 @@ SUBMISSIONS = Table(
 )
 COMMENTS = Table(
     "reddit_comments",
-    T.StructType([*COMMENT_RECORD.fields, T.StructField("created_date", _DATE)]),
+    _COMMENT_COLUMNS,
     partition="created_month",
     partition_sql=_MONTH,
     keys=("id",),

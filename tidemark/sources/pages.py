@@ -18,10 +18,3 @@ def read_pages(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     reader = reader.option("enforceSchema", False).option("multiLine", True)
     pages = reader.option("mode", "FAILFAST").csv(path)
     return typed_from_strings(pages, schema)
-
-
-def concat_pages(first: DataFrame, *others: DataFrame) -> DataFrame:
-    """Results of one schema, one after the other."""
-    for page in others:
-        first = first.unionByName(page)
-    return first
