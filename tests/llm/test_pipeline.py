@@ -10,7 +10,7 @@ import tiktoken
 
 from __spark_entry__ import oracle_sql, queries
 from tests.conftest import SF
-from tests.llm.test_lines import plain as without_lines
+from tests.llm.test_lines import plain, removed, without
 from tests.llm.test_near import shingles
 from tidemark.llm import bpe, mixing
 from tidemark.llm.common import saved
@@ -33,7 +33,10 @@ def test_stages(spark, docs):
     # No document in a language is rejected.
     assert set(language) == {d for d, r in first.items() if any(c.isalpha() for c in r.text or "")}
     lines = {r.doc_id: r.text for r in kept["line_dedup"]}
-    left = without_lines(language)
+    gone = removed(saved(corpus_pipeline.language_id(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF), "language"))
+    best, _ = plain(language)
+    assert gone <= best and len(gone) >= 0.98 * len(best)
+    left = without(language, gone)
     assert lines == {d: t for d, t in left.items() if t == language[d] or words(t)}
     assert len(lines) < len(left)
     near = {r.doc_id: r.text for r in kept["near_dedup"]}
@@ -56,7 +59,7 @@ def test_stages(spark, docs):
 
 def test_registered(spark):
     names = queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in names if q.startswith(f"op{n}_")]) == 1
     assert names["pipeline"] is corpus_pipeline.run
     assert (corpus_pipeline.ORACLE_SQL is None) == ("pipeline" not in oracle_sql())

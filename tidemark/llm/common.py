@@ -3,7 +3,7 @@ and connected groups from candidate buckets."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +28,13 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables that ``saved`` has written and nothing reads any more."""
+    for table in tables:
+        for path in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            storage.delete_tree(table.sparkSession, path)
+
+
 def words(text: Column) -> Column:
     """The words of a text, in order; none for NULL."""
     return F.coalesce(
@@ -75,7 +82,8 @@ def components(edges: DataFrame) -> DataFrame:
             .unionByName(least.select("u", F.col("m").alias("v")))
             .distinct()
         )
-        current = saved(small, "links")
+        before, current = current, saved(small, "links")
+        dropped(before, down)
         if _all_at_roots(current):
             break
     nodes = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -99,13 +107,15 @@ def linked_groups(
     verify: Callable[[DataFrame, DataFrame], DataFrame],
     plausible: Callable[[str, str], Column],
     rounds: int = 1,
+    written: Sequence[DataFrame] = (),
 ) -> DataFrame:
     """(node, root) of the groups that verified links make among rows that
     share a bucket. ``keys`` is (bucket, id). ``contents`` gives what is to be
     compared for a table of ids, and a sketch of it; ``plausible`` tells from
     two sketches, by the names of their columns, whether a link is possible;
     ``verify`` takes candidate pairs (a, b), each once, with the contents, and
-    returns the pairs that hold.
+    returns the pairs that hold. ``written`` are tables that only the keys are
+    read from: they are deleted once these are read.
 
     In each round a bucket picks one row by hash, and every row of another group
     is held against it, which is linear in the rows. The picks of a row's
@@ -122,6 +132,7 @@ def linked_groups(
         .select("bucket")
     )
     members = saved(keys.join(shared, "bucket").distinct(), "members")
+    dropped(*written)
     payload = saved(contents(members.select("id").distinct()), "contents")
     sketches = payload.select("id", "sketch")
     placed = members.withColumn("root", F.col("id"))
@@ -166,6 +177,7 @@ def linked_groups(
     )
     several = placed.join(mixed, "bucket").join(sketches, "id").select("bucket", "id", "root", "sketch")
     several = saved(several, "several")
+    dropped(members, placed)
     left = several.toDF("bucket", "left", "left_root", "left_sketch")
     right = several.toDF("bucket", "right", "right_root", "right_sketch")
     rest = (
