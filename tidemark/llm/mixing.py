@@ -179,7 +179,9 @@ def draws(goals: DataFrame, block_words: int = BLOCK, shard: int = SHARD) -> Dat
         F.explode(F.expr(f"sequence(shard * {shard}, least((shard + 1) * {shard}, slots) - 1)")).alias("slot"),
     ).withColumn("u", _uniform("slot"))
     drawn = (
+        # Slots come out of few rows, which look small enough to be broadcast.
         each.withColumn("cell", F.floor(F.col("u") * cells))
+        .hint("merge")
         .join(spread, "cell")
         .where("u >= low AND u < high")
         .groupBy("shard", "source")
