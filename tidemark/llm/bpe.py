@@ -203,15 +203,15 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
         for batch in batches:
             lists = batch.column(batch.num_columns - 1)
             for at, to in slices(lists.offsets.to_numpy()):
-                encoded = encoder.encode(lists[at:to].to_pylist())
-                flat = np.frombuffer(b"".join(encoded), "<i4")
-                ends = np.cumsum([0, *(len(x) // 4 for x in encoded)], dtype=np.int32)
-                texts = [b"".join(map(pieces.__getitem__, np.frombuffer(x, "<i4").tolist())) for x in encoded]
+                flat, ends = encoder.encode(lists[at:to])
+                ends = np.concatenate([[0], ends]).astype(np.int32)
+                ids = [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                texts = [b"".join(map(pieces.__getitem__, x.tolist())) for x in ids]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[c[at:to] for c in batch.columns[:-1]],
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                        pa.array(encoded, pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view("<i4"))),
+                        pa.array([x.tobytes() for x in ids], pa.binary()),
                         pa.array(texts, pa.binary()),
                     ],
                     names=schema.names,

@@ -7,9 +7,10 @@ import sys
 from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 # Words that are encoded at a time, and that a worker keeps.
-AT_A_TIME = 1 << 18
+AT_A_TIME = 1 << 20
 KEPT_WORDS = 400_000
 
 Encode = Callable[[list[str]], list[list[int]]]
@@ -23,17 +24,32 @@ class WordEncoder:
         self.fresh = encode
         self.kept: dict[str, bytes] = {}
 
-    def encode(self, texts: list[list[str]]) -> list[bytes]:
-        """The ids of each text, as unsigned 32-bit integers, low byte first."""
-        fresh = list({w for text in texts for w in text if w not in self.kept})
-        found = self.fresh(fresh)
-        new = {w: np.array(ids, "<u4").tobytes() for w, ids in zip(fresh, found, strict=True)}
-        kept, get = self.kept, self.kept.__getitem__
+    def encode(self, texts: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, as unsigned 32-bit integers, and where those of
+        each text end. Texts are lists of words."""
+        offsets = texts.offsets.to_numpy()
+        low, high = int(offsets[0]), int(offsets[-1])
+        coded = texts.values.slice(low, high - low).dictionary_encode()
+        ids, ends = self._distinct(coded.dictionary.to_pylist())
+        place = coded.indices.to_numpy()
+        sizes = np.diff(ends, prepend=0)[place]
+        upto = np.cumsum(sizes)
+        # Each word's ids lie together among those of the distinct words.
+        shift = np.repeat(ends[place] - upto, sizes)
+        flat = ids[np.arange(len(shift)) + shift]
+        upto = np.concatenate([[0], upto])
+        return flat, upto[offsets[1:] - low]
+
+    def _distinct(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words, one after another, and where each ends."""
+        kept = self.kept
+        fresh = [w for w in words if w not in kept]
+        new = {w: np.array(ids, "<u4").tobytes() for w, ids in zip(fresh, self.fresh(fresh), strict=True)}
+        found = [new[w] if w in new else kept[w] for w in words]
         if len(kept) < KEPT_WORDS:
             kept.update(new)
-        elif new:
-            get = lambda w: kept.get(w) or new[w]
-        return [b"".join(map(get, text)) for text in texts]
+        ends = np.cumsum([len(x) // 4 for x in found], dtype=np.int64)
+        return np.frombuffer(b"".join(found), "<u4"), ends
 
 
 def content_key(*parts: object) -> str:

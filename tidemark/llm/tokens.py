@@ -238,7 +238,6 @@ def write_tokens(
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from pyspark import TaskContext
 
-        end = int(end_id).to_bytes(4, "little")
         writer = None
         number = TaskContext.get().partitionId()
         name = f"{folder}/part-{number:06d}-{uuid.uuid4().hex}.planes"
@@ -252,9 +251,9 @@ def write_tokens(
                 writer = Writer(sink)
             doc_ids, lists = batch.column(0).to_pylist(), batch.column(1)
             for at, to in slices(lists.offsets.to_numpy()):
-                encoded = [ids + end for ids in encoder.encode(lists[at:to].to_pylist())]
-                lengths = np.array([len(x) // 4 for x in encoded])
-                writer.add(np.frombuffer(b"".join(encoded), "<u4"), lengths, doc_ids[at:to])
+                ids, ends = encoder.encode(lists[at:to])
+                lengths = np.diff(ends, prepend=0) + 1
+                writer.add(np.insert(ids, ends, np.uint32(end_id)), lengths, doc_ids[at:to])
         if writer is not None:
             n_docs = writer.close()
             sink.close()
