@@ -817,24 +817,28 @@ def _content_tables(spark, sf_dir):
     return submissions, comments
 
 
-@query(
-    "mentions_job",
-    sql.select(
-        sql.LISTED,
-        "SELECT content_type, id, m.project AS project, m.mentions::INTEGER AS mentions,"
-        f" {_MENTION_DAY!r}::DATE AS created_date,"
-        " ((length(text) * 7919 + length(m.project) * 17 + len(found) * 31) % 22001 - 11000)::DOUBLE"
-        " / 10000::DOUBLE AS polarity FROM (SELECT *, unnest(found) AS m FROM listed"
-        f" WHERE created_date = DATE '{_MENTION_DAY}')",
-    ),
+_MENTIONS_SQL = sql.select(
+    sql.LISTED,
+    "SELECT content_type, id, m.project AS project, m.mentions::INTEGER AS mentions,"
+    f" {_MENTION_DAY!r}::DATE AS created_date,"
+    " ((length(text) * 7919 + length(m.project) * 17 + len(found) * 31) % 22001 - 11000)::DOUBLE"
+    " / 10000::DOUBLE AS polarity FROM (SELECT *, unnest(found) AS m FROM listed"
+    f" WHERE created_date = DATE '{_MENTION_DAY}')",
 )
+
+
+@query("mentions_job", _MENTIONS_SQL)
 def mentions_job(spark, sf_dir):
     submissions, comments = _content_tables(spark, sf_dir)
     path = _new(spark)
     content_jobs.mentions_job(
         spark, _MENTION_DAY, submissions, comments, path, b.PROJECTS, b.example_scorer()
     )
-    written = scan_table(spark, path, MENTIONS)
+    return _paired(scan_table(spark, path, MENTIONS))
+
+
+def _paired(written):
+    """One row per mention, with its score."""
     pairs = F.arrays_zip("projects_mentions", "projects_mentions_polarity")
     return written.select("content_type", "id", "created_date", F.explode(pairs).alias("p")).select(
         "content_type",
@@ -846,6 +850,23 @@ def mentions_job(spark, sf_dir):
     )
 
 
+@query("mentions_job_stored", _MENTIONS_SQL)
+def mentions_job_stored(spark, sf_dir):
+    """The job twice, with a store of scores: the second run, which rewrites
+    the day, fails if it calls its scorer."""
+    submissions, comments = _content_tables(spark, sf_dir)
+    path, scores = _new(spark), _new(spark, "scores")
+
+    def none_left(batch):
+        raise ValueError(f"{len(batch)} texts were scored before")
+
+    for scorer in (b.example_scorer(), none_left):
+        content_jobs.mentions_job(
+            spark, _MENTION_DAY, submissions, comments, path, b.PROJECTS, scorer, scores, "example-1"
+        )
+    return _paired(scan_table(spark, path, MENTIONS))
+
+
 @query(
     "aggregate_mentions",
     sql.select(

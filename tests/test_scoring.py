@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import pytest
+
+from tidemark.operators.score_store import fill_scores, stored_scores
 from tidemark.operators.scoring import lexicon_scorer, score_mentions
 
 SCHEMA = "i int, text string, projects_mentions array<struct<project:string,mentions:int>>"
@@ -52,3 +55,73 @@ def test_lexicon():
     assert good == ("a", "a is great.", 0.333)
     assert bad[2] == -1.0
     assert none == ("a", "", 0.0)
+
+
+def counting_scorer(calls):
+    def score(batch):
+        calls.add(len(batch))
+        return [[(p, text[:3], float(len(text))) for p in projects] for projects, text in batch]
+
+    return score
+
+
+def stored(df, path, version):
+    found = stored_scores(df, path, version).select("i", "projects_mentions_polarity").collect()
+    return {i: None if s is None else [tuple(x) for x in s] for i, s in found}
+
+
+def test_store_scores_each_content_once(spark, tmp_path):
+    path, a, ab = str(tmp_path / "scores"), [("a", 1)], [("a", 1), ("b", 2)]
+    data = [(i, "same text", a) for i in range(50)]
+    data += [(50, "same text", [("a", 7), ("a", 2)]), (51, "same text", ab), (52, None, a), (53, "", a), (54, "none", None)]
+    df = spark.createDataFrame(data, SCHEMA).repartition(4)
+    calls = spark.sparkContext.accumulator(0)
+    assert set(stored(df, path, "1").values()) == {None}
+    fill_scores(df, counting_scorer(calls), path, "1")
+    # How often a project is mentioned is nothing a scorer sees.
+    assert calls.value == 3
+    found = stored(df, path, "1")
+    assert found == {**{i: [("a", "sam", 9.0)] for i in range(51)}, 51: [("a", "sam", 9.0), ("b", "sam", 9.0)],
+                     52: [("a", "", 0.0)], 53: [("a", "", 0.0)], 54: None}
+    fill_scores(df, counting_scorer(calls), path, "1")
+    assert calls.value == 3
+    more = df.unionByName(spark.createDataFrame([(60, "new", a)], SCHEMA))
+    fill_scores(more, counting_scorer(calls), path, "1")
+    assert calls.value == 4
+    assert stored(more, path, "1") == {**found, 60: [("a", "new", 3.0)]}
+    assert set(stored(df, path, "2").values()) == {None}
+    fill_scores(df, counting_scorer(calls), path, "2")
+    assert calls.value == 7
+
+
+def test_store_keeps_contents_without_a_score(spark, tmp_path):
+    path = str(tmp_path / "scores")
+    df = spark.createDataFrame([(1, "x", [("a", 1)]), (2, "y", None)], SCHEMA)
+    calls = spark.sparkContext.accumulator(0)
+
+    def nothing(batch):
+        calls.add(len(batch))
+        return [[] for _ in batch]
+
+    for _ in range(2):
+        fill_scores(df, nothing, path, "1")
+        assert stored(df, path, "1") == {1: None, 2: None}
+    assert calls.value == 1
+
+
+def test_failed_scorer_leaves_no_rows(spark, tmp_path):
+    path = str(tmp_path / "scores")
+    df = spark.createDataFrame([(i, f"t{i}", [("a", 1)]) for i in range(20)], SCHEMA).repartition(4)
+
+    def failing(batch):
+        if any(text == "t7" for _, text in batch):
+            raise ValueError("no reply")
+        return [[("a", text, 1.0)] for _, text in batch]
+
+    with pytest.raises(Exception, match="no reply"):
+        fill_scores(df, failing, path, "1")
+    assert set(stored(df, path, "1").values()) == {None}
+    fill_scores(df.limit(0), failing, path, "1")
+    calls = spark.sparkContext.accumulator(0)
+    fill_scores(df, counting_scorer(calls), path, "1")
+    assert calls.value == 20

@@ -8,10 +8,12 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import storage
 from tidemark.functions.bands import Band
 from tidemark.functions.dates import epoch_to_date
 from tidemark.operators.mentions import find_mentions, union_content
 from tidemark.operators.rollups import reddit_cumulative, reddit_daily
+from tidemark.operators.score_store import fill_scores, stored_scores
 from tidemark.operators.scoring import Scorer, lexicon_scorer, score_mentions
 from tidemark.operators.sinks import (
     compact_partition,
@@ -94,16 +96,38 @@ def mentions_job(
     target_path: str,
     projects: Sequence[Project] = TRACKED,
     scorer: Scorer | None = None,
+    scores_path: str | None = None,
+    scorer_version: str | None = None,
 ) -> None:
     """One day's mentions and scores, overwriting that day. Texts are not
-    shuffled: tasks write what they scored, and small files are merged after."""
+    shuffled: tasks write what they scored, and small files are merged after.
+
+    With ``scores_path`` and ``scorer_version`` scores are kept there, and only
+    texts that this version has not seen go to the scorer, each once. The
+    mentions are then written to the scratch folder first, as they are used
+    twice.
+    """
+    if (scores_path is None) != (scorer_version is None):
+        raise ValueError("scores_path and scorer_version go together")
     content = union_content(
         scan_table_partition(spark, submissions_path, SUBMISSIONS, "created_date", ds),
         scan_table_partition(spark, comments_path, COMMENTS, "created_date", ds),
     )
     create_table(spark, target_path, MENTIONS)
-    found = mentions_of(content, projects, scorer)
-    overwrite_partitions(found, target_path, MENTIONS, gather=False)
+    if scores_path is None:
+        found = mentions_of(content, projects, scorer)
+        overwrite_partitions(found, target_path, MENTIONS, gather=False)
+    else:
+        stage = storage.scratch(spark, "mentions")
+        try:
+            mentioned = find_mentions(content, projects)
+            mentioned.write.parquet(stage)
+            mentioned = spark.read.schema(mentioned.schema).parquet(stage)
+            fill_scores(mentioned, scorer or lexicon_scorer(), scores_path, scorer_version)
+            found = stored_scores(mentioned, scores_path, scorer_version)
+            overwrite_partitions(found, target_path, MENTIONS, gather=False)
+        finally:
+            storage.delete_tree(spark, stage)
     compact_partition(spark, target_path, MENTIONS, ds)
 
 

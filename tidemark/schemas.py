@@ -304,6 +304,19 @@ MENTIONS = Table(
     ),
     partition="created_date",
 )
+# What a scorer gave for a text and its projects.
+SCORES = Table(
+    "content_scores",
+    T.StructType(
+        [
+            T.StructField("content_key", T.BinaryType()),
+            T.StructField("scores", POLARITY_TYPE),
+            T.StructField("version", _STR),
+        ]
+    ),
+    partition="version",
+    keys=("version", "content_key"),
+)
 DAILY_MENTIONS = Table(
     "agg_reddit_daily_mentions_polarity",
     _struct(
