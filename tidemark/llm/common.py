@@ -18,13 +18,25 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
+# Deletes the shuffle files of a query when it ends, instead of when the driver
+# happens to collect its plan.
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def saved(df: DataFrame, label: str, release: bool = False) -> DataFrame:
     """The rows as a table in the shared scratch folder. Later uses read the
     table: they neither repeat the work nor depend on executors that are lost.
-    A table without rows keeps its columns."""
+    A table without rows keeps its columns. ``release`` deletes the shuffle
+    files of the write at once; nothing reads them once the table is there."""
     spark = df.sparkSession
     path = storage.scratch(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_RELEASE)
+    if release:
+        spark.conf.set(_RELEASE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_RELEASE, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import linked_groups, saved, words
+from tidemark.llm.common import dropped, linked_groups, saved, words
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -108,7 +108,8 @@ def repeated_shingles(classes: DataFrame, size: int = SHINGLE) -> DataFrame:
     occur in one.
 
     Counts are by 64-bit hash. They are summed in each task before the shuffle,
-    and joined back to the shingles; adaptive execution splits hot ones."""
+    and joined back to the shingles; adaptive execution splits hot ones. Both
+    steps write a table, so that their shuffles need not lie on disk together."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,11 +123,14 @@ def repeated_shingles(classes: DataFrame, size: int = SHINGLE) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(columns, names=["id", "copies", "hash"])
 
     each = classes.select("id", "copies", "words").mapInArrow(spread, "id long, copies long, hash long")
-    counted = each.groupBy("hash").agg(F.sum("copies").alias("n")).where("n > 1")
+    counted = saved(each.groupBy("hash").agg(F.sum("copies").alias("n")).where("n > 1"), "shingle-counts", release=True)
     found = each.select("id", "hash").join(counted, "hash")
-    return found.groupBy("id").agg(F.collect_list(F.struct("hash", "n")).alias("known")).select(
+    listed = found.groupBy("id").agg(F.collect_list(F.struct("hash", "n")).alias("known")).select(
         "id", F.col("known.hash").alias("hashes"), F.col("known.n").alias("counts")
     )
+    out = saved(listed, "shingles", release=True)
+    dropped(counted)
+    return out
 
 
 def idf_weights(
@@ -350,13 +354,14 @@ def near_groups(
     own = saved(
         docs.select(F.xxhash64("doc_id", "text").alias("doc"), "text").join(leads, "doc").dropDuplicates(["id"]).select("id", "copies", "text"),
         "class-texts",
+        release=True,
     )
-    repeated = saved(repeated_shingles(hashed_words(own, "id", "copies"), size), "shingles")
+    repeated = repeated_shingles(hashed_words(own, "id", "copies"), size)
     none = F.array().cast("array<long>")
     listed = [F.coalesce(c, none).alias(c) for c in ("hashes", "counts")]
     known = own.join(repeated, "id", "left").select("id", "text", *listed)
     split = F.transform(words(F.col("text")), lambda w: F.xxhash64(w))
-    banded = saved(signatures(known.withColumn("words", split), n_docs, size, bands, rows), "bands")
+    banded = saved(signatures(known.withColumn("words", split), n_docs, size, bands, rows), "bands", release=True)
     keys = banded.select(F.explode("bands").alias("bucket"), "id")
 
     def texts(ids: DataFrame) -> DataFrame:
