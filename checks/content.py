@@ -14,6 +14,7 @@ from tidemark.operators import mentions as m
 from tidemark.operators import prefix, rollups, windows
 from tidemark.operators.intervals import join_bands
 from tidemark.operators.scoring import score_mentions
+from tidemark.operators.term_table import find_mentions_by_table
 from tidemark.sources.dimensions import BANDS, band_rows, project_rows
 
 _LISTED_TEXT = "list_transform(found, lambda m: m.project || ':' || m.mentions::VARCHAR)"
@@ -52,6 +53,45 @@ def find_mentions_(spark, sf_dir):
     )
 
 
+@query(
+    "find_mentions_term_table",
+    sql.select(
+        sql.LISTED,
+        "SELECT content_type, id, CASE WHEN len(found) > 0 THEN"
+        f" array_to_string({_LISTED_TEXT}, ',') END AS projects_mentions FROM listed",
+    ),
+)
+def find_mentions_term_table(spark, sf_dir):
+    names = F.array(*[F.lit(p.name) for p in b.PROJECTS])
+    projects = project_rows(spark, b.PROJECTS).withColumn("place", F.array_position(names, F.col("project_name")))
+    found = find_mentions_by_table(b.content(spark, sf_dir), projects, position="place")
+    return found.select("content_type", "id", _as_text(F.col("projects_mentions")).alias("projects_mentions"))
+
+
+@query(
+    "term_table_of_all_words",
+    f"""WITH {sql.CONTENT},
+words AS (
+  SELECT content_type, id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}_]+')) AS word
+  FROM content),
+terms AS (
+  SELECT DISTINCT word FROM (
+    SELECT unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}_]+')) AS word FROM documents)
+  WHERE regexp_full_match(word, '[a-z]{{3,}}'))
+SELECT word AS project, COUNT(DISTINCT (content_type, id)) AS texts, COUNT(*) AS mentions
+FROM words JOIN terms USING (word) GROUP BY word""",
+)
+def term_table_of_all_words(spark, sf_dir):
+    """A dictionary that grows with the data: each word of a document is a term."""
+    word = F.explode(terms.text_words(F.col("text"))).alias("word")
+    words = b.table(spark, sf_dir, "documents").select(word).where("word rlike '^[a-z]{3,}$'").distinct()
+    projects = words.select(F.col("word").alias("project_name"), F.array("word").alias("project_search_terms"))
+    found = m.explode_mentions(find_mentions_by_table(b.content(spark, sf_dir), projects))
+    return found.groupBy("project").agg(
+        F.count_distinct("content_type", "id").alias("texts"), F.sum("mentions").alias("mentions")
+    )
+
+
 @query(
     "lateral_unnest",
     sql.select(

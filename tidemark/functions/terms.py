@@ -22,11 +22,14 @@ WORD = r"[\p{L}\p{N}_]"
 NOT_WORD = r"[^\p{L}\p{N}_]+"
 # Python's \s: Unicode white space and the four ASCII separators.
 _GAP = r"[-\s\x1c-\x1f]?"
+# Python's white space and the hyphen: what parts the words of a term.
+GAP_CHARACTERS = r"(?U)[-\s\x1c-\x1f]+"
 # Unicode case folding, and \s by Unicode property.
 _FLAGS = "(?iuU)"
 # Characters beyond ASCII that equal an ASCII letter when case is ignored.
 CASE_ODDITIES = "\u0130\u0131\u017f\u212a"
 
+_EITHER = f"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
 _SPLIT = re.compile(r"[-\s]+")
 _META = re.compile(r"([^\w\s])")
 
@@ -66,8 +69,30 @@ def _escaped(word: str) -> str:
 def _edge(word: str, char: str, *, before: bool) -> str:
     # A term that begins or ends with a separator has an optional gap at its
     # edge, so a boundary of either direction may follow or precede it.
-    either = f"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
-    return _boundary(char, before=before) if word else either
+    return _boundary(char, before=before) if word else _EITHER
+
+
+def pattern_column(term: Column) -> Column:
+    """``term_pattern`` of a column of terms."""
+    words = F.split(term, GAP_CHARACTERS, -1)
+    escaped = F.transform(words, lambda w: F.regexp_replace(w, r"([^\p{L}\p{N}_])", r"\\$1"))
+
+    def edge(word: Column, char: Column, before: bool) -> Column:
+        is_word = char.rlike(WORD)
+        side = F.when(is_word, F.lit(_boundary("a", before=before))).otherwise(F.lit(_boundary(".", before=before)))
+        return F.when(word == "", F.lit(_EITHER)).otherwise(side)
+
+    first, last = F.get(words, F.lit(0)), F.element_at(words, -1)
+    start = edge(first, F.substring(first, 1, 1), before=True)
+    end = edge(last, F.substring(last, -1, 1), before=False)
+    return F.concat(F.lit(_FLAGS), start, F.array_join(escaped, _GAP), end)
+
+
+def folded(text: Column) -> Column:
+    """A text in which letters that are equal without case are equal. Letters
+    are mapped one by one: a word's fold does not depend on what is around it."""
+    plain = F.translate(text, "\u0130", "i")
+    return F.translate(F.lower(F.upper(F.lower(plain))), "\u03c2", "\u03c3")
 
 
 def leading_words(term: str) -> list[str] | None:
