@@ -50,8 +50,9 @@ def test_patterns_match_alike(spark):
 
 def test_random_texts_equal_python(spark):
     draw = random.Random(7)
-    terms = [*TERMS, "öl c", "foo-bar", "Straße", "ΟΔΟΣ", "data data"]
+    terms = [*TERMS, "öl c", "foo-bar", "Straße", "ΟΔΟΣ", "data data", "DuckDB", "roll"]
     texts = ["".join(draw.choice(PIECES) + draw.choice(JOINS) for _ in range(draw.randrange(15))) for _ in range(400)]
+    texts += ["ſpark spark SPARK", "SPARK spark", "SPARK spark", "Duck-DB sqlserver SQL server"]
     texts += ["ΟΔΟΣ οδος οδοσ", "STRAẞE straße STRASSE", "data data data-data", "foobar foo-bar", "", "duck-db"]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
     projects = [Project(t, (t,)) for t in terms]

@@ -36,7 +36,8 @@ def _text_words(text: Column) -> Column:
 
 
 def term_rows(projects: DataFrame, position: str | None = None) -> DataFrame:
-    """(position, project, pattern, words, hash) of every term: the words that
+    """(position, project, pattern, one_word, words, hash) of every term: its
+    expression, whether it is one word of ASCII letters, the words that
     punctuation, hyphens and spaces leave, folded, and a hash of them all.
     ``position`` names the column that lists are ordered by, the name if None.
     A term without a letter or digit fails, as there is no word to find it by.
@@ -49,7 +50,13 @@ def term_rows(projects: DataFrame, position: str | None = None) -> DataFrame:
     whole = F.when(F.size(words) > 0, words).otherwise(
         F.raise_error(F.concat(F.lit("search term without a word: "), "term"))
     )
-    cut = each.select("position", "project", pattern_column(F.col("term")).alias("pattern"), whole.alias("words"))
+    cut = each.select(
+        "position",
+        "project",
+        pattern_column(F.col("term")).alias("pattern"),
+        F.col("term").rlike("^[0-9A-Za-z_]+$").alias("one_word"),
+        whole.alias("words"),
+    )
     return cut.withColumn("hash", F.xxhash64(F.array_join("words", "")))
 
 
@@ -65,17 +72,25 @@ def trie(terms: DataFrame) -> DataFrame:
 
 
 def candidates(texts: DataFrame, nodes: DataFrame, longest: int) -> DataFrame:
-    """(key, hash): which whole terms' words, by their hash, each text of (key,
-    text) has as neighbours, each once."""
+    """(key, hash, single, plain): which whole terms' words, by their hash,
+    each text of (key, text) has as neighbours; how many of its words alone are
+    equal to them, and whether those are all of ASCII letters. A text that is
+    there several times counts as often."""
     words = F.posexplode(_text_words(F.col("text"))).alias("at", "word")
-    first = texts.select("key", words).select("key", "at", F.xxhash64(folded(F.col("word"))).alias("node"))
-    started = first.join(nodes, "node")
-    if longest > 1:
-        started = _written(started, "term-starts")
-    found = started.where("ends").select("key", F.col("node").alias("hash"))
+    ascii_ = F.length("word") == F.octet_length("word")
+    first = texts.select("key", words).select(
+        "key", "at", F.xxhash64(folded(F.col("word"))).alias("node"), ascii_.alias("plain")
+    )
+    started = first.join(nodes, "node").groupBy("key", "node", "ends", "more").agg(
+        F.count("*").alias("single"),
+        F.bool_and("plain").alias("plain"),
+        F.collect_set(F.when(F.col("more"), F.col("at"))).alias("starts"),
+    )
+    started = _written(started, "term-starts")
+    found = started.where("ends").select("key", F.col("node").alias("hash"), "single", "plain")
     if longest > 1:
         # Only texts with a word that some longer term begins with.
-        going = started.where("more").groupBy("key").agg(F.collect_set("at").alias("starts"))
+        going = started.where("more").groupBy("key").agg(F.flatten(F.collect_list("starts")).alias("starts"))
         held = texts.join(going, "key").groupBy("key").agg(
             F.any_value("text").alias("text"), F.any_value("starts").alias("starts")
         )
@@ -88,9 +103,10 @@ def candidates(texts: DataFrame, nodes: DataFrame, longest: int) -> DataFrame:
                 "node", F.xxhash64(F.array_join(F.slice("words", 1, level), ""))
             )
             joined = _written(longer.join(nodes, "node"), "term-level")
-            found = found.unionByName(joined.where("ends").select("key", F.col("node").alias("hash")))
+            ended = joined.where("ends").select("key", F.col("node").alias("hash"))
+            found = found.unionByName(ended.withColumns({"single": F.lit(0).cast("long"), "plain": F.lit(True)}))
             open_ = joined.where("more").select("key", "words")
-    return found.distinct()
+    return found.groupBy("key", "hash").agg(F.sum("single").alias("single"), F.bool_and("plain").alias("plain"))
 
 
 def find_mentions_by_table(
@@ -116,14 +132,20 @@ def find_mentions_by_table(
     key = F.sha2(F.col(text), 256)
     texts = df.where(F.col(text).isNotNull()).select(key.alias("key"), F.col(text).alias("text"))
     held = _written(candidates(texts, nodes, longest), "term-candidates")
-    asked = held.join(terms.drop("words"), "hash").drop("hash")
-    # Only texts with a candidate are brought together with expressions.
-    with_text = texts.join(held.select("key").distinct(), "key", "left_semi").groupBy("key").agg(
+    asked = held.join(terms.drop("words"), "hash").withColumn("known", F.col("one_word") & F.col("plain"))
+    # Terms of one word occur as often as the word does.
+    copies = texts.groupBy("key").agg(F.count("*").alias("copies"))
+    known = asked.where("known AND single > 0").join(copies, "key").withColumn("n", F.expr("single div copies"))
+    # Only texts that an expression is asked of are brought together with it.
+    open_ = asked.where("NOT known")
+    with_text = texts.join(open_.select("key").distinct(), "key", "left_semi").groupBy("key").agg(
         F.any_value("text").alias("text")
     )
+    matched = open_.join(with_text, "key").withColumn("n", F.regexp_count("text", F.col("pattern")).cast("long"))
+    columns = ["key", "position", "project", "n"]
     counted = (
-        asked.join(with_text, "key")
-        .select("key", "position", "project", F.regexp_count("text", F.col("pattern")).alias("n"))
+        known.select(*columns)
+        .unionByName(matched.select(*columns))
         .where("n > 0")
         .groupBy("key", "position", "project")
         .agg(F.sum("n").cast("int").alias("mentions"))
