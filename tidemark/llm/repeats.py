@@ -288,6 +288,37 @@ def _group(rows: list[tuple], length: int) -> Iterator[tuple]:
             yield name, rows[m][1], rows[m][2], left, right
 
 
+# Bytes of contexts that a task holds before it passes them on, and rows of
+# texts that it turns into Python objects at a time.
+_HELD = 4 << 20
+_PIECE = 256
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a in range(0, batch.num_rows, _PIECE):
+            yield batch.slice(a, _PIECE)
+
+
+def _routes(raw: bytes, left: int, length: int, size: int, step: int) -> list[int]:
+    """Where a context of a split anchor goes: two that share a passage share
+    one of these parts."""
+    starts = range(0, min(left, length - size) + 1, step)
+    ends = [(j, left + max(size, length - step - j)) for j in starts]
+    fit = [(left - j, end) for j, end in ends if end <= len(raw)]
+    if not fit:
+        return []
+    low, high = np.array(fit, np.int64).T
+    routes = _Hashes(np.frombuffer(raw, np.uint8), _BASES[1]).of(low, high) + (left - low).astype(np.uint64)
+    return routes.view(np.int64).tolist()
+
+
+def _contexts(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, names=["route", "doc", "at", "left", "raw"])
+
+
 def occurrences(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, large: int = LARGE) -> DataFrame:
     """(group, doc, start, length): every occurrence of groups of repeated
     bytes, at least ``length`` of them. ``doc`` is xxhash64(doc_id, text).
@@ -307,7 +338,7 @@ def occurrences(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, large
     found = keyed.mapInArrow(_find(length, size), _ROWS)
     # Known occurrences go where their document does.
     routed = found.repartition(F.when(F.col("kind") == 0, F.col("group")).otherwise(F.col("doc")))
-    judged = saved(routed.sortWithinPartitions("kind", "group", "content").mapInArrow(_classify, _ROWS), "anchors")
+    judged = saved(routed.sortWithinPartitions("kind", "group", "content").mapInArrow(_classify, _ROWS), "anchors", release=True)
     asked = judged.where(F.col("kind") != _OCCURRENCE)
     groups = asked.groupBy("group").agg(F.max("kind").alias("most"), F.count("*").alias("contexts"))
     groups = groups.where(F.col("most") == _EDGE).select("group", (F.col("contexts") > large).alias("many"))
@@ -321,28 +352,25 @@ def occurrences(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, large
     step = max(1, length // 8)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["route", "doc", "at", "left", "raw"]
-        for batch in batches:
-            rows = []
+        rows, held = [], 0
+        for batch in _pieces(batches):
             for doc, text, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = text.encode()
                 for p in places:
                     at, left = p["at"], p["left"]
                     raw = data[at - left : at + p["right"]]
-                    if not p["many"]:
-                        rows.append((p["group"], doc, at, left, raw))
-                        continue
-                    for j in range(0, min(left, length - size) + 1, step):
-                        after = max(size, length - step - j)
-                        key = raw[left - j : left + after]
-                        if len(key) == j + after:
-                            data_key = np.frombuffer(key, np.uint8)
-                            route = _Hashes(data_key, _BASES[1]).of(np.zeros(1, np.int64), np.full(1, len(key)))
-                            rows.append((int((route + np.uint64(j)).view(np.int64)[0]), doc, at, left, raw))
-            for a in range(0, len(rows), 1 << 14):
-                columns = zip(*rows[a : a + (1 << 14)], strict=True)
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+                    if p["many"]:
+                        routes = _routes(raw, left, length, size, step)
+                    else:
+                        routes = [p["group"]]
+                    rows += [(route, doc, at, left, raw) for route in routes]
+                    held += len(routes) * len(raw)
+                    # A few MB at a time, whatever the batch holds.
+                    if held > _HELD:
+                        yield _contexts(rows)
+                        rows, held = [], 0
+        if rows:
+            yield _contexts(rows)
 
     contexts = wanted.mapInArrow(cut, "route long, doc long, at long, left int, raw binary")
     compared = contexts.repartition("route").sortWithinPartitions("route").mapInArrow(_compare(length), _ROWS)
@@ -366,11 +394,12 @@ def without_repeats(docs: DataFrame, names: tuple[str, ...] = ("doc_id",), **opt
     covered = found.groupBy("doc").agg(
         F.collect_set(F.struct("start", (F.col("start") + F.col("length")).alias("end"))).alias("__covered")
     )
-    rows = docs.select(*names, F.xxhash64("doc_id", "text").alias("doc"), "text").join(covered, "doc", "left").drop("doc")
+    keyed = docs.select(*names, F.xxhash64("doc_id", "text").alias("__doc"), F.col("text").alias("__text"))
+    rows = keyed.join(covered.withColumnRenamed("doc", "__doc"), "__doc", "left").drop("__doc")
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             sizes, spans, kept = [], [], []
             texts, places = (batch.column(k).to_pylist() for k in (-2, -1))
             for text, covered in zip(texts, places, strict=True):
