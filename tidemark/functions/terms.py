@@ -91,8 +91,14 @@ def pattern_column(term: Column) -> Column:
 def folded(text: Column) -> Column:
     """A text in which letters that are equal without case are equal. Letters
     are mapped one by one: a word's fold does not depend on what is around it."""
-    plain = F.translate(text, "\u0130", "i")
-    return F.translate(F.lower(F.upper(F.lower(plain))), "\u03c2", "\u03c3")
+
+    # Catalyst takes one case mapping right above another for the outer one
+    # alone, which leaves letters like the long s.
+    def sigma(mapped: Column) -> Column:
+        return F.translate(mapped, "\u03c2", "\u03c3")
+
+    upper = F.upper(sigma(F.lower(F.translate(text, "\u0130", "i"))))
+    return sigma(F.lower(sigma(upper)))
 
 
 def leading_words(term: str) -> list[str] | None:
