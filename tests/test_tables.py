@@ -104,6 +104,47 @@ def test_compaction_keeps_rows(spark, tmp_path, rows):
     assert sinks.compact_partition(spark, str(path), DOWNLOADS, D3) == 0
 
 
+def test_compaction_leaves_large_files(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    folder = tmp_path / "t" / f"download_date={D1}"
+    large = downloads(spark, *[row(D1, version=f"{i}-{hash((i, 1)):x}") for i in range(3000)])
+    large.coalesce(1).write.partitionBy("download_date").parquet(path)
+    (kept,) = folder.glob("*.parquet")
+    size, time = kept.stat().st_size, kept.stat().st_mtime_ns
+    late = downloads(spark, *[row(D1, version=f"late{i}") for i in range(40)])
+    late.repartition(6, "project_version").write.mode("append").partitionBy("download_date").parquet(path)
+    before = rows(scan_table(spark, path, DOWNLOADS))
+    assert len(list(folder.glob("*.parquet"))) > 4
+    assert sinks.compact_partition(spark, path, DOWNLOADS, D1, target_bytes=size) == 1
+    assert kept.stat().st_mtime_ns == time and len(list(folder.glob("*.parquet"))) == 2
+    assert rows(scan_table(spark, path, DOWNLOADS)) == before
+    assert sinks.compact_partition(spark, path, DOWNLOADS, D1, target_bytes=size) == 0
+
+
+@pytest.mark.parametrize("step", ["delete_tree", "rename", "write_text"])
+def test_interrupted_compaction_is_completed(spark, tmp_path, rows, monkeypatch, step):
+    path = str(tmp_path / "t")
+    data = downloads(spark, *[row(D1, version=str(i)) for i in range(40)])
+    data.repartition(6, "project_version").write.partitionBy("download_date").parquet(path)
+    before, calls = rows(scan_table(spark, path, DOWNLOADS)), []
+
+    def fail_once(*args):
+        calls.append(args)
+        # The first deletion is that of what an earlier run may have left.
+        if len(calls) == {"delete_tree": 3}.get(step, 1):
+            raise OSError("gone")
+        return real(*args)
+
+    real = getattr(storage, step)
+    with monkeypatch.context() as patch:
+        patch.setattr(storage, step, fail_once)
+        with pytest.raises(OSError, match="gone"):
+            sinks.compact_partition(spark, path, DOWNLOADS, D1)
+    sinks.compact_partition(spark, path, DOWNLOADS, D1)
+    assert rows(scan_table(spark, path, DOWNLOADS)) == before
+    assert len(list((tmp_path / "t" / f"download_date={D1}").iterdir())) <= 4
+
+
 def test_export_layout(spark, tmp_path):
     data = downloads(
         spark, *[row(D1, project=f"p{i % 7}", system="LDW"[i % 3], country="UD"[i % 2]) for i in range(50)]

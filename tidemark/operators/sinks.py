@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import storage
 from tidemark.functions.dates import date_literal, ds_add, parse_day
@@ -104,15 +105,49 @@ def compact_partition(
     target_bytes: int = TARGET_FILE_BYTES,
 ) -> int:
     """Merge one partition's small files into files near a target size, without
-    a shuffle. Returns how many files it wrote; 0 if they were few already."""
+    a shuffle. Returns how many files it wrote; 0 if there was nothing to merge.
+
+    Files of at least half the target keep their names and times: only smaller
+    ones are read and rewritten, so that what late rows cost follows their
+    number and not the day's. The new files are whole, and a note of those they
+    stand for is written, before anything is deleted; a run that ends in between
+    is completed by the next one. As with every write here, readers in that
+    moment may miss rows.
+    """
     day = _day_of(table, value).isoformat()
     folder = storage.partition_dir(path, table.partition, day)
-    files = -(-storage.size_in_bytes(spark, folder) // target_bytes)
-    if len(storage.glob(spark, f"{folder}/part-*")) <= files:
+    _finish_compaction(spark, folder)
+    small = {f: n for f, n in storage.files(spark, f"{folder}/part-*").items() if 2 * n < target_bytes}
+    files = -(-sum(small.values()) // target_bytes)
+    if len(small) <= files:
         return 0
-    rows = read_partitions(spark, path, table, [day])
-    _write_partitions(rows.coalesce(files), path, table)
-    return files
+    inside = T.StructType([f for f in table.stored_schema if f.name != table.partition])
+    rows = spark.read.schema(inside).parquet(*small).coalesce(files)
+    if table.sort:
+        rows = rows.sortWithinPartitions(*table.sort)
+    rows.write.mode("overwrite").parquet(f"{folder}/{_MERGED}")
+    storage.write_text(spark, f"{folder}/{_REPLACED}", "\n".join(small))
+    return _finish_compaction(spark, folder)
+
+
+# Readers pass over names that begin with an underscore.
+_MERGED, _REPLACED = "_merged", "_replaced"
+
+
+def _finish_compaction(spark: SparkSession, folder: str) -> int:
+    """Puts merged files in the place of those they stand for, as far as that
+    has not been done; without a note of these the merge did not end."""
+    merged, note = f"{folder}/{_MERGED}", f"{folder}/{_REPLACED}"
+    moved = []
+    if storage.exists(spark, note):
+        for file in storage.read_text(spark, note).split("\n"):
+            storage.delete_tree(spark, file)
+        moved = storage.glob(spark, f"{merged}/part-*")
+        for file in moved:
+            storage.rename(spark, file, f"{folder}/{file.rsplit('/', 1)[1]}")
+        storage.delete_tree(spark, note)
+    storage.delete_tree(spark, merged)
+    return len(moved)
 
 
 def drop_expired(

@@ -54,6 +54,38 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in fs.globStatus(handle) or [])
 
 
+def files(spark: SparkSession, pattern: str) -> dict[str, int]:
+    """Paths matching a glob, with their lengths."""
+    fs, handle = _resolve(spark, pattern)
+    return {status.getPath().toString(): status.getLen() for status in fs.globStatus(handle) or []}
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    fs, handle = _resolve(spark, path)
+    if not fs.rename(handle, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"could not rename {path} to {to}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, there as a whole or not at all."""
+    fs, handle = _resolve(spark, f"{path}.new")
+    out = fs.create(handle, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    rename(spark, f"{path}.new", path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, handle = _resolve(spark, path)
+    source = fs.open(handle)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
 def size_in_bytes(spark: SparkSession, path: str) -> int:
     fs, handle = _resolve(spark, path)
     return fs.getContentSummary(handle).getLength() if fs.exists(handle) else 0
