@@ -123,3 +123,24 @@ def test_project_rows_serve_as_a_table(spark):
     df = spark.createDataFrame([(1, "duckdb with Kafka")], "i int, text string")
     got = found_by_table(df, project_rows(spark))
     assert got == {1: [("Apache Kafka", 1), ("DuckDB", 1)]}
+
+
+def test_words_do_not_leave_their_text_to_be_counted(spark):
+    """Texts move once, whole; the rows that a dictionary of one-word terms
+    makes of their words are not shuffled before they meet the terms."""
+    df = spark.createDataFrame([(i, "spark duckdb kafka " * 3) for i in range(20)], "i int, text string")
+    projects = spark.createDataFrame([("S", ["spark"]), ("K", ["kafka"])], "project_name string, project_search_terms array<string>")
+    plan = find_mentions_by_table(df, projects)._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning(" in line for line in plan.split("\n")) <= 2
+
+
+def test_a_project_of_one_word_and_more_and_letters_that_fold_to_ascii(spark):
+    texts = ["with this with", "Kafka kafka", "kafKa", "with-this with thıs", "kafka with"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    names = {"B": ["with", "with this"], "K": ["kafka"]}
+    projects = spark.createDataFrame(list(names.items()), "project_name string, project_search_terms array<string>")
+    for n in (names, {"K": names["K"]}):
+        got = found_by_table(df, projects.where(F.col("project_name").isin(*n)))
+        for i, text in enumerate(texts):
+            want = {p: sum(python_count(t, text) for t in ts) for p, ts in n.items()}
+            assert dict(got[i]) == {p: c for p, c in want.items() if c}
