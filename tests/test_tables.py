@@ -354,3 +354,27 @@ def test_backfill_is_the_union_of_days(spark, tmp_path, rows):
         backfill_downloads(events, date(2024, 1, day), date(2024, 1, day + 1), ["p", "q"], daily)
     got = rows(scan_table(spark, whole, DOWNLOADS))
     assert got == rows(scan_table(spark, daily, DOWNLOADS)) and len(got) == 3
+
+
+def test_a_batch_that_changes_nothing_rewrites_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = COMMENTS.schema
+
+    def batch(*rows):
+        made = spark.createDataFrame([(i, d, s) for i, d, s in rows], "id string, created_date date, score long")
+        present = {"id", "created_date", "score"}
+        return made.select(*[(F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+
+    first = [("a", date(2025, 1, 3), 1), ("b", date(2025, 1, 4), 2), ("c", date(2025, 2, 5), 3)]
+    sinks.create_table(spark, path, COMMENTS)
+    upsert(spark, batch(*first), path, COMMENTS)
+    files = lambda: storage.files(spark, f"{path}/*/part-*")
+    before = files()
+    upsert(spark, batch(*first), path, COMMENTS)
+    assert files() == before
+    # One row of February differs: January's files stay.
+    upsert(spark, batch(first[0], ("c", date(2025, 2, 5), 9)), path, COMMENTS)
+    kept = {f for f in before if f in files()}
+    assert len(kept) == len(before) - 1 and len(before) == 2
+    got = {(r["id"], r["score"]) for r in scan_table(spark, path, COMMENTS).collect()}
+    assert got == {("a", 1), ("b", 2), ("c", 9)}

@@ -118,18 +118,37 @@ def _merge(
     else:
         candidates = _within_keys(spark.read.schema(table.stored_schema).parquet(path), batch, keys)
     target, _ = _with_keys(candidates, keys)
-    per_key = batch.where(~_null_key(names)).groupBy(*names).agg(F.count("*").alias("_sources"))
+    per_key = batch.where(~_null_key(names)).groupBy(*names).agg(
+        F.count("*").alias("_sources"), F.max(_digest(table)).alias("_source")
+    )
     (
-        target.select(*names, part)
+        target.select(*names, part, _digest(table).alias("_target"))
         .join(per_key, names)
         .groupBy(*names, part)
-        .agg(F.count("*").alias("_targets"), F.max("_sources").alias("_sources"))
+        .agg(
+            F.count("*").alias("_targets"),
+            F.max("_sources").alias("_sources"),
+            F.bool_or(F.col("_target") != F.col("_source")).alias("_changed"),
+        )
         .write.parquet(f"{stage}/matched")
     )
     matched = spark.read.parquet(f"{stage}/matched")
     if not matched.where(F.col("_sources") > 1).isEmpty():
         raise CardinalityViolation(f"several source rows match one row of {table.name}")
 
+    # Rows that are in the table as they are need nothing: what is new and what
+    # is different goes on, and only its partitions are read and written.
+    same = matched.groupBy(*names).agg(F.bool_or("_changed").alias("_changed")).where("NOT _changed")
+    alike = same.count()
+    if alike == batch.count():
+        return
+    if alike:
+        left_anti_on(batch, same, names).select(*table.stored_schema.names).write.parquet(f"{stage}/changed")
+        changed = spark.read.schema(table.stored_schema).parquet(f"{stage}/changed")
+        batch, _ = _with_keys(changed, keys)
+        incoming = _values(batch, part)
+        matched = left_anti_on(matched, same, names)
+
     # Partitions that rows leave for another one, and those that all rows leave.
     matches = matched.groupBy(part).agg(F.sum("_targets").alias("n")).collect()
     leaving = {row[part]: row["n"] for row in matches if row[part] not in incoming}
@@ -158,6 +177,14 @@ def _within_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Da
     return target
 
 
+def _digest(table: Table) -> Column:
+    """256 bits that differ for rows that differ. Times are written to the
+    microsecond; rows that only look different, such as maps in another order,
+    are taken as changed."""
+    exact = {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+    return F.sha2(F.to_json(F.struct(*table.schema.names), exact), 256)
+
+
 def _values(df: DataFrame, column: str) -> list:
     """Distinct partition values: as many as directories, so they fit."""
     return [row[0] for row in df.select(column).distinct().collect()]
