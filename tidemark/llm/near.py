@@ -11,12 +11,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import dropped, linked_groups, saved, words
+from tidemark.llm.common import dropped, in_parts, linked_groups, saved, words
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 16
 ROWS = 4
+# Candidates are found for so many parts of the bands, one after another.
+PARTS = 4
 # Samples of documents that have candidates. Pairs of which fewer agree than for
 # a similar pair at four standard deviations are not compared: a chance of about
 # 3 in 100,000.
@@ -362,7 +364,7 @@ def near_groups(
     known = own.join(repeated, "id", "left").select("id", "text", *listed)
     split = F.transform(words(F.col("text")), lambda w: F.xxhash64(w))
     banded = saved(signatures(known.withColumn("words", split), n_docs, size, bands, rows), "bands", release=True)
-    keys = banded.select(F.explode("bands").alias("bucket"), "id")
+    keys = in_parts(banded, "bands", bands, PARTS)
 
     def texts(ids: DataFrame) -> DataFrame:
         wanted = known.join(ids, "id", "left_semi").select("id", "text", split.alias("words"), "hashes", "counts")
