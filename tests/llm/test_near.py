@@ -129,3 +129,31 @@ def test_counts_are_exact(spark):
     classes = near.hashed_words(spark.createDataFrame(rows, "id long, copies long, text string"), "id", "copies")
     got = {r.id: r.counts for r in near.repeated_shingles(classes).collect()}
     assert got == {i: [7] for i in (0, 1, 2, 3, 9)}
+
+
+@pytest.mark.parametrize("parts", [1, 3, 64])
+def test_shingles_move_by_part(spark, monkeypatch, parts):
+    """No shingle is a row of a shuffle, whatever the texts are dealt out to."""
+    plans = []
+    write = near.saved
+
+    def noted(df, *args, **options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, *args, **options)
+
+    monkeypatch.setattr(near, "saved", noted)
+    monkeypatch.setattr(near, "_WORDS", 40)
+    texts = [[i % 7, i % 5, i % 3, i % 2, *range(i % 11)] for i in range(90)]
+    rows = [(i, 1 + i % 4 // 3, t) for i, t in enumerate(texts)] + [(90, 1, []), (91, 2, [1])]
+    classes = spark.createDataFrame(rows, "id long, copies long, words array<long>").repartition(3)
+    out = near.repeated_shingles(classes, 3, *[parts] * (parts != 64)).collect()
+    own = {}
+    for i, _, t in rows:
+        w = np.array(t, np.int64)
+        own[i] = near.shingle(w, np.array([0, len(w)]), 3).hash.view(np.int64).tolist()
+    count = Counter()
+    for i, copies, _ in rows:
+        count.update({h: copies for h in own[i]})
+    want = {i: {h: count[h] for h in hashes if count[h] > 1} for i, hashes in own.items()}
+    assert {r.id: dict(zip(r.hashes, r.counts, strict=True)) for r in out} == {i: w for i, w in want.items() if w}
+    assert not any("hashpartitioning(hash#" in p for p in plans)

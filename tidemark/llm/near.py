@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,10 @@ _STEP = 0.1
 _CHUNK = 1 << 18
 # Words that are worked on at a time; a longer text is worked on by itself.
 _WORDS = 1 << 20
+# Passes over the texts that count their shingles, and characters of texts whose
+# shingles a part of a pass counts, some 700,000.
+PASSES = 2
+_PART_CHARS = 4 << 20
 _ODD = 0x9E3779B97F4A7C15
 
 
@@ -104,35 +109,76 @@ def hashed_words(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(*names, F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("words"))
 
 
-def repeated_shingles(classes: DataFrame, size: int = SHINGLE) -> DataFrame:
+def repeated_shingles(classes: DataFrame, size: int = SHINGLE, parts: int = 64) -> DataFrame:
     """(id, hashes, counts): for each different text (id, copies, words) those
     of its shingles that occur in several documents, and in how many. All others
     occur in one.
 
-    Counts are by 64-bit hash. They are summed in each task before the shuffle,
-    and joined back to the shingles; adaptive execution splits hot ones. Both
-    steps write a table, so that their shuffles need not lie on disk together."""
+    Counts are by 64-bit hash. Hashes are dealt out to ``parts``; of some texts
+    at a time all that a part gets is one row, so that a shingle takes little
+    more than its hash, and a part tells the texts what it has seen of them. The
+    parts are worked on in several passes, which read the texts again: a pass'
+    shuffle is gone when the next one begins."""
+
+    def send(number: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids, copies = (batch.column(k).to_numpy() for k in (0, 1))
+                values, offsets = _flat(batch.column(2))
+                for at, to in _slices(offsets):
+                    found = shingle(*_part(values, offsets, at, to), size)
+                    part = ((found.hash >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
+                    fit = np.flatnonzero(part % PASSES == number)
+                    if len(fit):
+                        fit = fit[np.argsort(part[fit], kind="stable")]
+                        yield _by_part(part[fit], found.text[fit] + at, found.hash[fit], ids, copies)
+
+        return spread
+
+    sent = "part int, ids array<long>, copies array<long>, runs array<int>, hashes array<long>"
+    told = "id long, hashes array<long>, counts array<long>"
+    each = classes.select("id", "copies", "words")
+    passes = [
+        saved(each.mapInArrow(send(k), sent).groupBy("part").applyInArrow(_seen, told), "shingle-counts", release=True)
+        for k in range(PASSES)
+    ]
+    known = reduce(DataFrame.unionByName, passes).groupBy("id").agg(F.collect_list(F.struct("hashes", "counts")).alias("k"))
+    out = saved(known.select("id", *[F.flatten(f"k.{c}").alias(c) for c in ("hashes", "counts")]), "shingles", release=True)
+    dropped(*passes)
+    return out
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, copies = (batch.column(k).to_numpy() for k in (0, 1))
-            values, offsets = _flat(batch.column(2))
-            for at, to in _slices(offsets):
-                found = shingle(*_part(values, offsets, at, to), size)
-                for low in range(0, len(found.text), _CHUNK):
-                    text, value = found.text[low : low + _CHUNK] + at, found.hash[low : low + _CHUNK]
-                    columns = [pa.array(x) for x in (ids[text], copies[text], value.view(np.int64))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["id", "copies", "hash"])
-
-    each = classes.select("id", "copies", "words").mapInArrow(spread, "id long, copies long, hash long")
-    counted = saved(each.groupBy("hash").agg(F.sum("copies").alias("n")).where("n > 1"), "shingle-counts", release=True)
-    found = each.select("id", "hash").join(counted, "hash")
-    listed = found.groupBy("id").agg(F.collect_list(F.struct("hash", "n")).alias("known")).select(
-        "id", F.col("known.hash").alias("hashes"), F.col("known.n").alias("counts")
+
+def _by_part(part: np.ndarray, text: np.ndarray, hashes: np.ndarray, ids: np.ndarray, copies: np.ndarray) -> pa.RecordBatch:
+    """Shingles in order of (part, text) as a row for each part: its texts,
+    their copies, how many shingles each has, and these."""
+    new = np.append(True, part[1:] != part[:-1])
+    run = np.flatnonzero(new | np.append(True, text[1:] != text[:-1]))
+    first = np.flatnonzero(new)
+    ends = np.append(first, len(part)).astype(np.int32)
+    cuts = np.searchsorted(run, ends).astype(np.int32)
+    lists = [ids[text[run]], copies[text[run]], np.diff(np.append(run, len(part))).astype(np.int32)]
+    columns = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(x)) for x in lists]
+    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes.view(np.int64))))
+    return pa.RecordBatch.from_arrays([pa.array(part[first]), *columns], names=["part", "ids", "copies", "runs", "hashes"])
+
+
+def _seen(table: pa.Table) -> pa.Table:
+    """Of a part's texts the shingles that several documents have."""
+    ids, copies, runs, hashes = (
+        np.concatenate([_flat(c)[0] for c in table.column(k).chunks]) for k in ("ids", "copies", "runs", "hashes")
     )
-    out = saved(listed, "shingles", release=True)
-    dropped(counted)
-    return out
+    order = np.argsort(hashes)
+    ordered = hashes[order]
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    total = np.add.reduceat(np.repeat(copies, runs)[order], first)
+    n = np.empty(len(hashes), np.int64)
+    n[order] = np.repeat(total, np.diff(np.append(first, len(hashes))))
+    several = n > 1
+    owner = np.repeat(np.arange(len(ids)), runs)[several]
+    start = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])[: len(owner)])
+    ends = pa.array(np.append(start, len(owner)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(ends, pa.array(x[several])) for x in (hashes, n)]
+    return pa.Table.from_arrays([pa.array(ids[owner[start]]), *lists], names=["id", "hashes", "counts"])
 
 
 def idf_weights(
@@ -358,7 +404,9 @@ def near_groups(
         "class-texts",
         release=True,
     )
-    repeated = repeated_shingles(hashed_words(own, "id", "copies"), size)
+    chars = own.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    parts = max(64, chars // _PART_CHARS)
+    repeated = repeated_shingles(hashed_words(own, "id", "copies"), size, parts)
     none = F.array().cast("array<long>")
     listed = [F.coalesce(c, none).alias(c) for c in ("hashes", "counts")]
     known = own.join(repeated, "id", "left").select("id", "text", *listed)
