@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import EDGES
@@ -101,3 +102,32 @@ def test_edge_rows(edges, nothing):
     assert repeats.without_repeats(nothing).collect() == []
     two = edges.where("doc_id = 10")
     assert {bytes(r.kept) for r in repeats.without_repeats(two.union(two)).collect()} == {b""}
+
+
+def test_repeats_leave_a_few_at_a_time(monkeypatch):
+    """Contexts that share more and more have far more repeats than rows: a
+    task does not hold them all."""
+    monkeypatch.setattr(repeats, "_SENT", 50)
+    rows = [(1, d, 0, 0, b"x" * (20 + d) + bytes([65 + d])) for d in range(40)] + [(2, 90, 0, 0, b"y" * 30)]
+    columns = [pa.array(c) for c in zip(*rows, strict=True)]
+    batch = pa.RecordBatch.from_arrays(columns, names=["route", "doc", "at", "left", "raw"])
+    sent = list(repeats._compare(20)(iter([batch])))
+    assert max(b.num_rows for b in sent) == 50 and sum(b.num_rows for b in sent) > 10 * len(rows)
+    whole = [r for group in (rows[:40], rows[40:]) for r in repeats._group(group, 20)]
+    assert [(r["group"], r["doc"], r["right"]) for b in sent for r in b.to_pylist()] == [(g, d, n) for g, d, _, _, n in whole]
+
+
+def test_texts_become_objects_a_few_at_a_time(monkeypatch):
+    """Anchors are those of all texts, however many rows a batch has."""
+    draw = random.Random(3)
+    texts = ["".join(draw.choice("abcd ") for _ in range(draw.randint(0, 400))) for _ in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(60), pa.int64()), pa.array(texts)], names=["doc", "text"])
+    found, most = [], []
+    anchors_of = repeats._all_anchors
+    monkeypatch.setattr(repeats, "_all_anchors", lambda group, *a: most.append(len(group)) or anchors_of(group, *a))
+    for piece in (256, 7):
+        monkeypatch.setattr(repeats, "_PIECE", piece)
+        most.clear()
+        found.append([b.to_pylist() for b in repeats._find(30, 10)(iter([batch]))])
+        assert max(most) == min(piece, 60)
+    assert found[0] == found[1] and found[0]

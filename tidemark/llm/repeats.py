@@ -126,7 +126,7 @@ def _find(length: int, size: int):
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
-        for batch in batches:
+        for batch in _pieces(batches):
             texts = [t.encode() if t else b"" for t in batch.column(1).to_pylist()]
             docs = batch.column(0).to_numpy()
             for text, at, group, content, left, right in _all_anchors(texts, length, size):
@@ -259,21 +259,36 @@ def maximal_repeats(contexts: list[tuple[bytes, bytes]], length: int) -> Iterato
                 yield [order[r] for r in members], left, right
 
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of one route after another."""
+    waiting: list[tuple] = []
+    for batch in _pieces(batches):
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if waiting and row[0] != waiting[0][0]:
+                yield waiting
+                waiting = []
+            waiting.append(row)
+    if waiting:
+        yield waiting
+
+
+def _repeats(rows: list[tuple]) -> pa.RecordBatch:
+    group, doc, at, left, right = (np.array(c, np.int64) for c in zip(*rows, strict=True))
+    return _batch(_OCCURRENCE, group, np.zeros(len(group), np.int64), 2, doc, at, left, right)
+
+
 def _compare(length: int):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple] = []
-        for batch in _ended(batches):
-            rows = list(zip(*(c.to_pylist() for c in batch.columns), strict=True)) if batch is not None else [(None,)]
-            out: list[tuple] = []
-            for row in rows:
-                if waiting and row[0] != waiting[0][0]:
-                    out += _group(waiting, length)
-                    waiting = []
-                waiting.append(row)
-            if out:
-                columns = [np.array(c, np.int64) for c in zip(*out, strict=True)]
-                group, doc, at, left, right = columns
-                yield _batch(_OCCURRENCE, group, np.zeros(len(group), np.int64), 2, doc, at, left, right)
+        out: list[tuple] = []
+        for rows in _groups(batches):
+            for found in _group(rows, length):
+                out.append(found)
+                # Repeats within repeats can be many more than the contexts.
+                if len(out) == _SENT:
+                    yield _repeats(out)
+                    out = []
+        if out:
+            yield _repeats(out)
 
     return compare
 
@@ -288,10 +303,11 @@ def _group(rows: list[tuple], length: int) -> Iterator[tuple]:
             yield name, rows[m][1], rows[m][2], left, right
 
 
-# Bytes of contexts that a task holds before it passes them on, and rows of
-# texts that it turns into Python objects at a time.
+# Bytes of contexts that a task holds before it passes them on, rows of texts
+# that it turns into Python objects at a time, and repeats that it sends at once.
 _HELD = 4 << 20
 _PIECE = 256
+_SENT = 1 << 16
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
