@@ -111,7 +111,7 @@ def test_repeats_leave_a_few_at_a_time(monkeypatch):
     rows = [(1, d, 0, 0, b"x" * (20 + d) + bytes([65 + d])) for d in range(40)] + [(2, 90, 0, 0, b"y" * 30)]
     columns = [pa.array(c) for c in zip(*rows, strict=True)]
     batch = pa.RecordBatch.from_arrays(columns, names=["route", "doc", "at", "left", "raw"])
-    sent = list(repeats._compare(20)(iter([batch])))
+    sent = list(repeats._compare(20, repeats._group)(iter([batch])))
     assert max(b.num_rows for b in sent) == 50 and sum(b.num_rows for b in sent) > 10 * len(rows)
     whole = [r for group in (rows[:40], rows[40:]) for r in repeats._group(group, 20)]
     assert [(r["group"], r["doc"], r["right"]) for b in sent for r in b.to_pylist()] == [(g, d, n) for g, d, _, _, n in whole]
@@ -131,3 +131,16 @@ def test_texts_become_objects_a_few_at_a_time(monkeypatch):
         found.append([b.to_pylist() for b in repeats._find(30, 10)(iter([batch]))])
         assert max(most) == min(piece, 60)
     assert found[0] == found[1] and found[0]
+
+
+def test_repeats_of_a_context_are_one_run():
+    """What covers a context grows with the contexts, not with their repeats."""
+    rows = [(1, d, 100, 5, bytes([65 + d]) + b"wxyz" + b"x" * (20 + d) + bytes([65 + d])) for d in range(40)]
+    want = {}
+    n = 0
+    for _, doc, at, left, right in repeats._group(rows, 20):
+        want.setdefault((doc, at), set()).update(range(at - left, at + right))
+        n += 1
+    got = list(repeats._cover(rows, 20))
+    assert {(doc, at): set(range(at - left, at + right)) for _, doc, at, left, right in got} == want
+    assert len(got) == len(rows) < n / 10

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -277,11 +277,24 @@ def _repeats(rows: list[tuple]) -> pa.RecordBatch:
     return _batch(_OCCURRENCE, group, np.zeros(len(group), np.int64), 2, doc, at, left, right)
 
 
-def _compare(length: int):
+def _cover(rows: list[tuple], length: int) -> Iterator[tuple]:
+    """Of each context the bytes that its repeats cover: they all meet where its
+    anchor begins, so that the widest to either side are one run."""
+    contexts = [(raw[:left][::-1], raw[left:]) for _, _, _, left, raw in rows]
+    widest: dict[int, tuple[int, int]] = {}
+    for members, left, right in maximal_repeats(contexts, length):
+        for m in members:
+            back, on = widest.get(m, (0, 0))
+            widest[m] = max(back, left), max(on, right)
+    for m, (left, right) in widest.items():
+        yield 0, rows[m][1], rows[m][2], left, right
+
+
+def _compare(length: int, found_in: Callable[[list[tuple], int], Iterator[tuple]]):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         for rows in _groups(batches):
-            for found in _group(rows, length):
+            for found in found_in(rows, length):
                 out.append(found)
                 # Repeats within repeats can be many more than the contexts.
                 if len(out) == _SENT:
@@ -335,7 +348,9 @@ def _contexts(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["route", "doc", "at", "left", "raw"])
 
 
-def occurrences(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, large: int = LARGE) -> DataFrame:
+def occurrences(
+    docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, large: int = LARGE, cover: bool = False
+) -> DataFrame:
     """(group, doc, start, length): every occurrence of groups of repeated
     bytes, at least ``length`` of them. ``doc`` is xxhash64(doc_id, text).
 
@@ -349,6 +364,9 @@ def occurrences(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, large
     Anchors with equal contexts are combined in each task before the shuffle.
     An anchor with very many different contexts is split: two that share a
     passage also share seven eighths of its bytes, from one of a few places on.
+
+    With ``cover``, the same bytes are covered, but the repeats of a context,
+    which may be far more than the contexts, come as one row without a group.
     """
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("doc"), "text")
     found = keyed.mapInArrow(_find(length, size), _ROWS)
@@ -389,7 +407,7 @@ def occurrences(docs: DataFrame, length: int = LENGTH, size: int = ANCHOR, large
             yield _contexts(rows)
 
     contexts = wanted.mapInArrow(cut, "route long, doc long, at long, left int, raw binary")
-    compared = contexts.repartition("route").sortWithinPartitions("route").mapInArrow(_compare(length), _ROWS)
+    compared = contexts.repartition("route").sortWithinPartitions("route").mapInArrow(_compare(length, _cover if cover else _group), _ROWS)
     both = judged.where(F.col("kind") == _OCCURRENCE).unionByName(compared)
     return both.select(
         "group", "doc", (F.col("at") - F.col("left")).alias("start"), (F.col("left") + F.col("right")).alias("length")
@@ -406,7 +424,7 @@ def without_repeats(docs: DataFrame, names: tuple[str, ...] = ("doc_id",), **opt
     nothing. Passages do not go across texts. Equal rows are copies of each
     other.
     """
-    found = occurrences(docs, **options)
+    found = occurrences(docs, cover=True, **options)
     covered = found.groupBy("doc").agg(
         F.collect_set(F.struct("start", (F.col("start") + F.col("length")).alias("end"))).alias("__covered")
     )
