@@ -157,3 +157,19 @@ def test_shingles_move_by_part(spark, monkeypatch, parts):
     want = {i: {h: count[h] for h in hashes if count[h] > 1} for i, hashes in own.items()}
     assert {r.id: dict(zip(r.hashes, r.counts, strict=True)) for r in out} == {i: w for i, w in want.items() if w}
     assert not any("hashpartitioning(hash#" in p for p in plans)
+
+
+def test_only_wanted_shingles_in_the_same_order():
+    draw = np.random.default_rng(4)
+    words = draw.integers(0, 50, 4000)
+    offsets = np.append(np.sort(draw.integers(0, 4000, 90)), 4000)
+    offsets[0] = 0
+    every = near.shingle(words, offsets)
+    assert np.array_equal(np.lexsort((every.hash, every.text)), np.arange(len(every.hash)))
+    odd = lambda hashes: hashes % np.uint64(2) == 1
+    some, fit = near.shingle(words, offsets, wanted=odd), odd(every.hash)
+    for name in ("text", "hash", "count"):
+        assert np.array_equal(getattr(some, name), getattr(every, name)[fit])
+    # More texts than a short number counts.
+    text, value = draw.integers(0, 1 << 17, 5000), draw.integers(0, 9, 5000).astype(np.uint64)
+    assert np.array_equal(near._by_text(text, value), np.lexsort((value, text)))

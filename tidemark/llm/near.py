@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import dropped, in_parts, linked_groups, saved, words
+from tidemark.llm.common import dropped, in_parts, linked_groups, saved
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -30,7 +30,7 @@ FEATURES = 1 << 16
 _POOL = 1 << 16
 # Weights are sampled on a grid of this step in their logarithm.
 _STEP = 0.1
-_CHUNK = 1 << 18
+_CHUNK = 1 << 15
 # Words that are worked on at a time; a longer text is worked on by itself.
 _WORDS = 1 << 20
 # Passes over the texts that count their shingles, and characters of texts whose
@@ -48,6 +48,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _by_text(text: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The order by text, then value. A sort of whole numbers and one of few
+    small ones are faster than ``lexsort``."""
+    if not len(text) or text.max() >= 1 << 16:
+        return np.lexsort((value, text))
+    order = np.argsort(value)
+    return order[np.argsort(text[order].astype(np.uint16), kind="stable")]
+
+
 @dataclass
 class Shingled:
     """Distinct shingles of several texts, text by text, in order of hash."""
@@ -57,9 +66,12 @@ class Shingled:
     count: np.ndarray
 
 
-def shingle(hashes: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> Shingled:
+def shingle(
+    hashes: np.ndarray, offsets: np.ndarray, size: int = SHINGLE, wanted: Callable[[np.ndarray], np.ndarray] | None = None
+) -> Shingled:
     """Runs of ``size`` words; a text with fewer words, but one at least, is one
-    shingle. Words come as hashes."""
+    shingle. Words come as hashes. ``wanted`` tells from the hashes of shingles
+    which to return."""
     w = hashes.view(np.uint64) if hashes.dtype == np.int64 else hashes
     lengths = np.diff(offsets)
     total = len(w)
@@ -76,7 +88,10 @@ def shingle(hashes: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> Shi
             for j in range(n):
                 one = _mix(one * np.uint64(_ODD) + w[offsets[short] + j])
             text, value = np.concatenate([text, short]), np.concatenate([value, one])
-    order = np.lexsort((value, text))
+    if wanted is not None:
+        fit = wanted(value)
+        text, value = text[fit], value[fit]
+    order = _by_text(text, value)
     text, value = text[order], value[order]
     first = np.ones(len(text), bool)
     first[1:] = (text[1:] != text[:-1]) | (value[1:] != value[:-1])
@@ -105,8 +120,15 @@ def _part(values: np.ndarray, offsets: np.ndarray, at: int, to: int) -> tuple[np
     return values[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
 
 
+def _hashed(text: Column) -> Column:
+    """The words of a text as hashes; none for NULL."""
+    # Cutting at white space is faster than looking for words.
+    split = F.array_remove(F.split(text, r"[\x20\x09-\x0D]"), "")
+    return F.coalesce(F.transform(split, lambda w: F.xxhash64(w)), F.array().cast("array<long>"))
+
+
 def hashed_words(docs: DataFrame, *names: str) -> DataFrame:
-    return docs.select(*names, F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("words"))
+    return docs.select(*names, _hashed(F.col("text")).alias("words"))
 
 
 def repeated_shingles(classes: DataFrame, size: int = SHINGLE, parts: int = 64) -> DataFrame:
@@ -121,16 +143,18 @@ def repeated_shingles(classes: DataFrame, size: int = SHINGLE, parts: int = 64)
     shuffle is gone when the next one begins."""
 
     def send(number: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def dealt(hashes: np.ndarray) -> np.ndarray:
+            return ((hashes >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
+
         def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 ids, copies = (batch.column(k).to_numpy() for k in (0, 1))
                 values, offsets = _flat(batch.column(2))
                 for at, to in _slices(offsets):
-                    found = shingle(*_part(values, offsets, at, to), size)
-                    part = ((found.hash >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
-                    fit = np.flatnonzero(part % PASSES == number)
-                    if len(fit):
-                        fit = fit[np.argsort(part[fit], kind="stable")]
+                    found = shingle(*_part(values, offsets, at, to), size, lambda hashes: dealt(hashes) % PASSES == number)
+                    part = dealt(found.hash)
+                    if len(part):
+                        fit = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
                         yield _by_part(part[fit], found.text[fit] + at, found.hash[fit], ids, copies)
 
         return spread
@@ -238,22 +262,30 @@ class Sampler:
         used, level = np.unique(level, return_inverse=True)
         table = np.concatenate([self._code(int(x)) for x in used]).astype(np.uint64) << np.uint64(32)
         low = found.hash & np.uint64(0xFFFFFFFF)
-        base = level * _POOL
+        base = (level * _POOL).astype(np.uint64)
         starts = np.flatnonzero(np.append(True, found.text[1:] != found.text[:-1]))
         owner = found.text[starts]
         out[owner] = ~np.uint64(0)
         # A chunk at a time stays in the cache; texts may span chunks.
+        room = np.empty((2, min(_CHUNK, len(low))), np.uint64)
         for at in range(0, len(low), _CHUNK):
             to = min(at + _CHUNK, len(low))
             first = np.searchsorted(starts, at, "right") - 1
             last = np.searchsorted(starts, to, "left")
             cuts = np.maximum(starts[first:last] - at, 0)
             h, shift, part = found.hash[at:to], base[at:to], low[at:to]
+            place, value = room[:, : to - at]
+            least = np.empty((self.samples, last - first), np.uint64)
             for k in range(self.samples):
-                place = (h * self.odd[k] >> np.uint64(48)).astype(np.int64) + shift
-                least = np.minimum.reduceat(table[place] | part, cuts)
-                column = out[owner[first:last], k]
-                out[owner[first:last], k] = np.minimum(column, least)
+                np.multiply(h, self.odd[k], out=place)
+                np.right_shift(place, np.uint64(48), out=place)
+                np.add(place, shift, out=place)
+                # Without a bound's check the values go straight to their room.
+                np.take(table, place.view(np.int64), out=value, mode="clip")
+                np.bitwise_or(value, part, out=value)
+                np.minimum.reduceat(value, cuts, out=least[k])
+            rows = owner[first:last]
+            out[rows] = np.minimum(out[rows], least.T)
         return out
 
 
@@ -410,7 +442,7 @@ def near_groups(
     none = F.array().cast("array<long>")
     listed = [F.coalesce(c, none).alias(c) for c in ("hashes", "counts")]
     known = own.join(repeated, "id", "left").select("id", "text", *listed)
-    split = F.transform(words(F.col("text")), lambda w: F.xxhash64(w))
+    split = _hashed(F.col("text"))
     banded = saved(signatures(known.withColumn("words", split), n_docs, size, bands, rows), "bands", release=True)
     keys = in_parts(banded, "bands", bands, PARTS)
 
@@ -442,7 +474,7 @@ def near_groups(
                 yield pairs[at:to].filter(pa.array(ok))
 
     def verify(pairs: DataFrame, payload: DataFrame) -> DataFrame:
-        hashes = lambda c: F.transform(words(F.col(c)), lambda w: F.xxhash64(w)).alias(c)
+        hashes = lambda c: _hashed(F.col(c)).alias(c)
         text = payload.select("id", "text", "hashes", "counts")
         both = pairs.join(text.toDF("a", "x", "xh", "xn"), "a").join(text.toDF("b", "y", "yh", "yn"), "b")
         return both.select("a", "b", hashes("x"), "xh", "xn", hashes("y"), "yh", "yn").mapInArrow(hold, "a long, b long")
