@@ -2,11 +2,15 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
+import duckdb
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from checks import content
+from checks.registry import ORACLE
 from tests.test_terms import TERMS, python_count
 from tidemark.functions.terms import pattern_column, term_pattern
 from tidemark.operators.mentions import find_mentions
@@ -144,3 +148,33 @@ def test_a_project_of_one_word_and_more_and_letters_that_fold_to_ascii(spark):
         for i, text in enumerate(texts):
             want = {p: sum(python_count(t, text) for t in ts) for p, ts in n.items()}
             assert dict(got[i]) == {p: c for p, c in want.items() if c}
+
+
+def test_terms_of_one_word_in_any_script_are_counted_by_words(spark):
+    """Words that fold alike, but that an expression tells apart, included."""
+    terms = ["straße", "strasse", "\u00f6l", "\u00e9", "ss", "\u017f", "\u03c3", "\u03bf\u03b4\u03bf\u03c2", "k", "\u212aelvin", "x1", "_", "9", "\u0663", "\u6f22", "\U00010400a"]
+    texts = [
+        "Straße STRASSE STRA\u1e9eE strasse stra\u017f\u017fe", "\u00d6L \u00f6l-\u00f6l \u00f6ls", "\u00e9 \u00c9 e\u0301 \u00e9\u00e9", "SS ss \u017f\u017f \u00df s \u017f S",
+        "\u039f\u0394\u039f\u03a3 \u03bf\u03b4\u03bf\u03c2 \u03bf\u03b4\u03bf\u03c3 \u03c3 \u03c2 \u03a3", "K k \u212a kelvin \u212aELVIN", "x1 X1 x 1 _ __ 9 \u0663 \u6f22 \u6f22\u5b57 \U00010428A \U00010400a",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    projects = [Project(t, (t,)) for t in terms]
+    got = found_by_table(df, in_order(spark, projects), position="place")
+    plain = find_mentions(df, projects).collect()
+    assert got == {r.i: [tuple(m) for m in r.projects_mentions or []] for r in plain}
+    assert all(got.values())
+
+
+def test_every_word_of_a_document_is_a_term(spark, tmp_path):
+    """Short ones, digits and other letters than those from a to z included."""
+    documents = [(1, "F\u00fcr f\u00fcr \u00e9 a b2 12 the_end"), (2, "ab \u6f22\u5b57 THE the f\u00fcr"), (2, "ab"), (3, None), (4, "")]
+    turns = [(1, 0, "user", "\u00c9 f\u00fcr 12"), (1, 1, "user", "not in documents a")]
+    spark.createDataFrame(documents, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = Counter(tuple(r) for r in content.term_table_of_all_words(spark, str(tmp_path)).select("project", "texts", "mentions").collect())
+    connection = duckdb.connect()
+    for name in ("documents", "conversations"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = connection.execute(f"SELECT project, texts, mentions FROM ({ORACLE['term_table_of_all_words']})").fetchall()
+    assert got == Counter(want)
+    assert {"f\u00fcr", "\u00e9", "a", "b2", "12", "the_end", "ab", "\u6f22\u5b57", "the"} == {project for project, _, _ in got}
