@@ -144,3 +144,45 @@ def test_repeats_of_a_context_are_one_run():
     got = list(repeats._cover(rows, 20))
     assert {(doc, at): set(range(at - left, at + right)) for _, doc, at, left, right in got} == want
     assert len(got) == len(rows) < n / 10
+
+
+def by_repeats(contexts, length):
+    """The widest of all maximal repeats of each context."""
+    out = {}
+    for members, left, right in repeats.maximal_repeats(contexts, length):
+        for m in members:
+            back, on = out.get(m, (0, 0))
+            out[m] = max(back, left), max(on, right)
+    return out
+
+
+@pytest.mark.parametrize(("few", "paired"), [(6, 512), (100, 512), (2, 512), (2, 1)])
+def test_widest_equals_the_widest_of_all_repeats(monkeypatch, few, paired):
+    monkeypatch.setattr(repeats, "_FEW", few)
+    monkeypatch.setattr(repeats, "_PAIRED", paired)
+    for seed in range(200):
+        draw = random.Random(seed)
+        letters, length = draw.choice([b"ab", b"a\0", b"abc"]), draw.choice([4, 6, 10])
+        base = [bytes(draw.choices(letters, k=12)) for _ in range(3)]
+
+        def part():
+            out = bytearray(draw.choice(base))
+            for _ in range(draw.randrange(3)):
+                out[draw.randrange(12)] = draw.choice(letters)
+            return bytes(out[: draw.randrange(13)])
+
+        contexts = [(part(), part()) for _ in range(draw.choice([1, 2, 3, 7, 30]))]
+        assert {m: both for m, *both in ((m, left, right) for m, left, right in repeats.widest(contexts, length))} == {
+            m: list(both) for m, both in by_repeats(contexts, length).items()
+        }
+
+
+def test_nested_repeats_are_not_gone_through_one_by_one(monkeypatch):
+    """Contexts that share more and more: before, each of the nested repeats
+    was sorted and compared again, byte by byte, which grew with the square."""
+    rows = [(0, i, 0, 0, b"a" * (100 + i) + b"b" * (200 - i)) for i in range(180)]
+    calls = []
+    common = repeats.common
+    monkeypatch.setattr(repeats, "common", lambda a, b: calls.append(1) or common(a, b))
+    assert len(list(repeats._cover(rows, 200))) == 80
+    assert len(calls) < 2 * len(rows)

@@ -20,6 +20,11 @@ LARGE = 4096
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _RUN = 1 << 20
 _OCCURRENCE, _PARTNER, _EDGE = 1, 2, 3
+# Fewer contexts are compared one by one, up to so many by tables of all pairs.
+_FEW = 6
+_PAIRED = 512
+# More than two contexts share; twice as much fits the type.
+_MUCH = np.int16(1 << 13)
 _ROWS = "kind int, group long, content long, n int, doc long, at long, left int, right int"
 _NAMES = [c.split()[0] for c in _ROWS.split(", ")]
 
@@ -277,16 +282,115 @@ def _repeats(rows: list[tuple]) -> pa.RecordBatch:
     return _batch(_OCCURRENCE, group, np.zeros(len(group), np.int64), 2, doc, at, left, right)
 
 
+def _sorted(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the parts in order, and what neighbours share."""
+    order = sorted(range(len(parts)), key=parts.__getitem__)
+    sizes = np.array([len(parts[i]) for i in order])
+    width = int(sizes.max())
+    padded = np.frombuffer(b"".join(parts[i].ljust(width + 1, b"\0") for i in order), np.uint8).reshape(-1, width + 1)
+    differ = padded[1:] != padded[:-1]
+    differ[:, width] = True
+    return np.array(order), np.minimum(differ.argmax(1), np.minimum(sizes[1:], sizes[:-1])).astype(np.int16)
+
+
+def _shared(lcp: np.ndarray) -> np.ndarray:
+    """What each two of sorted parts share; of a part and itself, very much."""
+    n = len(lcp) + 1
+    upper = np.where(np.tri(n, dtype=bool), _MUCH, np.append(np.int16(0), lcp)[None])
+    upper = np.minimum.accumulate(upper, axis=1)
+    return np.minimum(upper, upper.T)
+
+
+class _Least:
+    """The least of any run of values."""
+
+    def __init__(self, values: np.ndarray):
+        self.levels = [values]
+        while len(values) > 1 << len(self.levels) - 1:
+            step = 1 << len(self.levels) - 1
+            last = self.levels[-1]
+            self.levels.append(np.minimum(last, np.append(last[step:], np.full(min(step, len(last)), _MUCH))))
+        self.table = np.stack(self.levels)
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        level = np.frexp(end - start)[1] - 1
+        return np.minimum(self.table[level, start], self.table[level, end - (1 << level)])
+
+
+def _best(order: np.ndarray, lcp: np.ndarray, other: np.ndarray, other_lcp: np.ndarray, length: int) -> np.ndarray:
+    """What each context shares at most, on the one side, with another that it
+    shares ``length`` bytes or more with on both sides; -1 if with none.
+
+    All that share as much as some level on the other side are a group. In it
+    the nearest in the order of this side share most. What they share falls
+    with the level, so that the least level at which it is enough counts."""
+    n = len(order)
+    rank = np.empty(n, np.int64)
+    rank[other] = np.arange(n)
+    placed = rank[order]
+    least, out = _Least(lcp), np.full(n, -1, np.int64)
+    kind = np.uint16 if n <= 1 << 16 else np.int64
+    for level in np.unique(other_lcp).tolist():
+        group = np.append(0, np.cumsum(other_lcp < level)).astype(kind)[placed]
+        at = np.argsort(group, kind="stable")
+        near = np.flatnonzero(group[at[1:]] == group[at[:-1]])
+        low, high = at[near], at[near + 1]
+        share = least.of(low, high)
+        enough = share >= length - level
+        share, low, high = share[enough], low[enough], high[enough]
+        best = np.full(n, -1, np.int64)
+        best[low] = share
+        best[high] = np.maximum(best[high], share)
+        out = np.where(out < 0, best, out)
+        if out.min() >= 0:
+            break
+    found = np.empty(n, np.int64)
+    found[order] = out
+    return found
+
+
+def widest(contexts: list[tuple[bytes, bytes]], length: int) -> Iterator[tuple[int, int, int]]:
+    """(context, left, right) of contexts (bytes before the middle backwards,
+    bytes after it) that share ``length`` bytes or more across it with another:
+    the most that they share on either side with such a one.
+
+    Few contexts are held against each other; of many, all that share some
+    bytes on one side are looked through by their order on the other."""
+    n = len(contexts)
+    if n < _FEW:
+        most: dict[int, tuple[int, int]] = {}
+        for i in range(n):
+            for j in range(i):
+                left, right = (common(a, b) for a, b in zip(contexts[i], contexts[j], strict=True))
+                if left + right >= length:
+                    for m in (i, j):
+                        back, on = most.get(m, (0, 0))
+                        most[m] = max(back, left), max(on, right)
+        yield from ((m, *both) for m, both in most.items())
+        return
+    (before, before_lcp), (after, after_lcp) = (_sorted([c[side] for c in contexts]) for side in (0, 1))
+    if n <= _PAIRED:
+        rank = np.empty(n, np.int64)
+        rank[before] = np.arange(n)
+        placed = rank[after]
+        left, right = _shared(before_lcp)[np.ix_(placed, placed)], _shared(after_lcp)
+        np.fill_diagonal(left, -_MUCH)
+        fit = left + right >= length
+        found = np.empty((2, n), np.int64)
+        found[:, after] = [np.where(fit, side, -1).max(1) for side in (left, right)]
+    else:
+        found = np.stack([
+            _best(before, before_lcp, after, after_lcp, length), _best(after, after_lcp, before, before_lcp, length)
+        ])
+    hit = np.flatnonzero((found >= 0).all(0))
+    yield from zip(hit.tolist(), *found[:, hit].tolist(), strict=True)
+
+
 def _cover(rows: list[tuple], length: int) -> Iterator[tuple]:
     """Of each context the bytes that its repeats cover: they all meet where its
     anchor begins, so that the widest to either side are one run."""
     contexts = [(raw[:left][::-1], raw[left:]) for _, _, _, left, raw in rows]
-    widest: dict[int, tuple[int, int]] = {}
-    for members, left, right in maximal_repeats(contexts, length):
-        for m in members:
-            back, on = widest.get(m, (0, 0))
-            widest[m] = max(back, left), max(on, right)
-    for m, (left, right) in widest.items():
+    for m, left, right in widest(contexts, length):
         yield 0, rows[m][1], rows[m][2], left, right
 
 
